@@ -1,0 +1,68 @@
+"""Versioned state of a table or index: small JSON files on the cluster's file system.
+
+Data folders are written first and never changed; the commit file that names
+them is created last, without overwriting. A reader keeps the version it opened.
+"""
+
+from __future__ import annotations
+
+import json
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the same version first."""
+
+
+class Commits:
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm = spark._jvm
+        self.root = root.rstrip("/")
+        self._folder = self._path(f"{self.root}/_commits")
+        self._fs = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, text: str):
+        return self._jvm.org.apache.hadoop.fs.Path(text)
+
+    def version(self) -> int:
+        """The newest version, -1 when nothing was committed yet."""
+        if not self._fs.exists(self._folder):
+            return -1
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._folder)]
+        return max((int(n.split(".")[0]) for n in names if n.endswith(".json")), default=-1)
+
+    def read(self, version: int) -> dict:
+        stream = self._fs.open(self._path(f"{self.root}/_commits/{version:010d}.json"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def write(self, version: int, state: dict) -> None:
+        target = self._path(f"{self.root}/_commits/{version:010d}.json")
+        try:
+            stream = self._fs.create(target, False)
+        except Py4JJavaError as error:
+            if self._fs.exists(target):
+                raise CommitConflict(f"version {version} of {self.root} exists") from error
+            raise
+        try:
+            stream.write(bytearray(json.dumps(state).encode()))
+        finally:
+            stream.close()
+
+    def folders(self, path: str) -> list[str]:
+        """Names of the folders directly below ``path``."""
+        folder = self._path(path)
+        if not self._fs.exists(folder):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(folder) if s.isDirectory())
+
+    def delete_all(self) -> None:
+        self._fs.delete(self._path(self.root), True)
+
+    def move_to(self, root: str) -> None:
+        if self._fs.exists(self._path(root)) or not self._fs.rename(self._path(self.root), self._path(root)):
+            raise ValueError(f"cannot move {self.root} to {root}")

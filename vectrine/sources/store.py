@@ -1,0 +1,224 @@
+"""A folder of named tables with their indexes: the calls of a retrieval client.
+
+Reads return lazy DataFrames; writes take DataFrames, or a dict or list of dicts
+for a handful of rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from ..functions.sqlfuncs import run_sql
+from ..functions.vectors import Query
+from ..indexes.postings import TextIndex
+from ..indexes.vectors import VectorIndex
+from ..operators import filters
+from ..operators.bm25 import bm25_search, match_against
+from ..operators.hybrid import hybrid_search, search_hybrid
+from ..operators.knn import knn, search
+from .commits import Commits
+from .partitioning import Partition
+from .schema import DataType, quick_schema
+from .table import Table
+
+Rows = DataFrame | Mapping | Sequence[Mapping]
+
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/tables/{name}"
+
+    def _index_path(self, table: str, name: str) -> str:
+        return f"{self.root}/indexes/{table}/{name}"
+
+    # --- tables -------------------------------------------------------------------
+
+    def create_table(self, name: str, schema: T.StructType, partitions: Partition | None = None) -> Table:
+        """Create an empty table; an existing one is kept as it is."""
+        if self.has_collection(name):
+            return self.table(name)
+        return Table.create(self.spark, self._path(name), schema, partitions)
+
+    def create_collection(
+        self,
+        name: str,
+        dimension: int | None = None,
+        primary_field_name: str = "id",
+        id_type: DataType | str = DataType.INT64,
+        vector_field_name: str = "vector",
+        auto_id: bool = False,
+        max_length: int = 16384,
+        schema: T.StructType | None = None,
+        partitions: Partition | None = None,
+    ) -> Table:
+        """A table from ``schema``, or a quick one of a key and a vector."""
+        if schema is None:
+            schema = quick_schema(dimension, primary_field_name, id_type, vector_field_name, auto_id, max_length)
+        return self.create_table(name, schema, partitions)
+
+    def table(self, name: str) -> Table:
+        return Table(self.spark, self._path(name))
+
+    load_collection = table
+
+    def has_collection(self, name: str) -> bool:
+        return Table.exists(self.spark, self._path(name))
+
+    def drop_collection(self, name: str) -> None:
+        """Delete a table's folder, if it exists."""
+        Commits(self.spark, self._path(name)).delete_all()
+
+    def rename_collection(self, old: str, new: str) -> None:
+        Commits(self.spark, self._path(old)).move_to(self._path(new))
+
+    def get_collection_stats(self, name: str) -> DataFrame:
+        """One row: ``row_count``."""
+        return filters.row_count(self.table(name).df())
+
+    def _rows(self, table: Table, data: Rows) -> DataFrame | None:
+        if isinstance(data, DataFrame):
+            return data
+        records = [data] if isinstance(data, Mapping) else list(data)
+        if not records:
+            return None
+        names = list(dict.fromkeys(n for r in records for n in r))
+        unknown = set(names) - set(table.schema.fieldNames())
+        if unknown:
+            raise ValueError(f"unknown columns: {', '.join(sorted(unknown))}")
+        schema = T.StructType([T.StructField(n, table.schema[n].dataType) for n in names])
+        return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in records], schema)
+
+    def insert(self, name: str, data: Rows, partition: str | None = None, check_keys: bool = True) -> None:
+        table = self.table(name)
+        rows = self._rows(table, data)
+        if rows is not None:
+            table.insert(rows, partition, check_keys)
+
+    def upsert(self, name: str, data: Rows, partition: str | None = None, order_by: Column | str | None = None) -> None:
+        table = self.table(name)
+        rows = self._rows(table, data)
+        if rows is not None:
+            table.upsert(rows, partition, order_by)
+
+    def update(self, name: str, values: Mapping, where=None, partition: str | None = None) -> None:
+        self.table(name).update(values, where, partition)
+
+    def delete(self, name: str, ids=None, where=None, partition: str | None = None) -> None:
+        self.table(name).delete(ids, where, partition)
+
+    def add_columns(self, name: str, fields: Sequence[T.StructField]) -> None:
+        self.table(name).add_columns(fields)
+
+    def drop_columns(self, name: str, columns: Sequence[str]) -> None:
+        self.table(name).drop_columns(columns)
+
+    # --- reads --------------------------------------------------------------------
+
+    def _open(self, name: str, names: Sequence[str] | None) -> tuple[Table, DataFrame, Sequence[str]]:
+        table = self.table(name)
+        return table, table.df(labels=True), names or table.schema.fieldNames()
+
+    def get(self, name: str, ids=None, where=None, names=None, partitions=None, limit: int | None = None) -> DataFrame:
+        table, rows, names = self._open(name, names)
+        return filters.get(rows, table.key, ids, where, names, partitions, limit)
+
+    def query(self, name: str, where=None, names=None, columns=None, extra=None, partitions=None) -> DataFrame:
+        _, rows, names = self._open(name, names)
+        return filters.query(rows, where, names, columns, extra, partitions)
+
+    def ann_search(
+        self,
+        name: str,
+        query: Query,
+        column: str,
+        metric: str = "l2",
+        k: int = 10,
+        *,
+        names=None,
+        index: str | None = None,
+        nprobe: int = 8,
+        refine: int | None = None,
+        **options,
+    ) -> DataFrame:
+        """Nearest rows: exact, or through a vector index."""
+        table, rows, names = self._open(name, names)
+        if index is not None:
+            options.pop("post_filter", None)
+            found = self.vector_index(name, index)
+            return found.search(query, k, nprobe, refine=refine, names=names, **options)
+        return knn(rows, query, column, metric, k, key=table.key, names=names, **options)
+
+    def post_ann_search(self, name: str, query: Query, column: str, metric: str = "l2", k: int = 10, **options) -> DataFrame:
+        """``ann_search`` without a threshold or an index."""
+        if {"threshold", "index"} & set(options):
+            raise TypeError("post_ann_search takes no threshold and no index")
+        return self.ann_search(name, query, column, metric, k, **options)
+
+    def search(self, name: str, query: Query, column: str = "vector", *, names=None, **options) -> DataFrame:
+        table, rows, names = self._open(name, names)
+        return search(rows, query, column, key=table.key, names=names, **options)
+
+    def bm25_search(
+        self, name: str, text: str, column: str, k: int = 10, *, names=None, index: str | None = None, **options
+    ) -> DataFrame:
+        table, rows, names = self._open(name, names)
+        if index is not None:
+            return self.text_index(name, index).search(rows, text, k, names=names, **options)
+        return bm25_search(rows, text, column, k, key=table.key, names=names, **options)
+
+    def match_against(self, name: str, text: str, columns: Sequence[str], k: int = 10, *, names=None, **options) -> DataFrame:
+        table, rows, names = self._open(name, names)
+        return match_against(rows, text, columns, k, key=table.key, names=names, **options)
+
+    def hybrid_search(self, name: str, body: Mapping, **options) -> DataFrame:
+        table = self.table(name)
+        return hybrid_search(table.df(), body, key=filters.single_key(table.key), **options)
+
+    def search_hybrid(
+        self, name: str, query: Query, column: str, text: str, text_column: str, *, names=None, **options
+    ) -> DataFrame:
+        table, rows, names = self._open(name, names)
+        return search_hybrid(rows, query, column, text, text_column, key=table.key, names=names, **options)
+
+    def sql(self, text: str, tables: Sequence[str], args: Mapping | None = None) -> DataFrame:
+        """SQL text over the named tables, with the distance functions available."""
+        return run_sql(self.spark, text, {t: self.table(t).df() for t in tables}, args)
+
+    # --- indexes ------------------------------------------------------------------
+
+    def create_vector_index(self, name: str, index: str, column: str, **options) -> VectorIndex:
+        """An IVF index; on a partitioned table its cells are kept per partition."""
+        table = self.table(name)
+        local = table.partition.levels() if table.partition else []
+        key = filters.single_key(table.key)
+        path = self._index_path(name, index)
+        return VectorIndex.build(table.df(labels=True), path, key, column, local=local, **options)
+
+    def create_text_index(self, name: str, index: str, column: str, **options) -> TextIndex:
+        table = self.table(name)
+        return TextIndex.build(table.df(), self._index_path(name, index), filters.single_key(table.key), column, **options)
+
+    def vector_index(self, name: str, index: str) -> VectorIndex:
+        return VectorIndex(self.spark, self._index_path(name, index))
+
+    def text_index(self, name: str, index: str) -> TextIndex:
+        return TextIndex(self.spark, self._index_path(name, index))
+
+    def rebuild_index(self, name: str, index: str, full: bool = True) -> TextIndex | VectorIndex:
+        """Bring an index up to date: anew, or (``full=False``) from what changed."""
+        path = self._index_path(name, index)
+        commits = Commits(self.spark, path)
+        is_text = "column" in commits.read(commits.version())
+        found = TextIndex(self.spark, path) if is_text else VectorIndex(self.spark, path)
+        rows = self.table(name).df(labels=not is_text)
+        return found.rebuild(rows) if full else found.refresh(rows)
+
+    def drop_index(self, name: str, index: str) -> None:
+        Commits(self.spark, self._index_path(name, index)).delete_all()
