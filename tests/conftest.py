@@ -26,7 +26,7 @@ def folder(spark):
 
 @pytest.fixture
 def store(spark, folder):
-    from vectrine.sources import Store
+    from vectrine.store import Store
 
     return Store(spark, folder)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PRODUCT = "(x, y) -> cast(x as double) * cast(y as double)"
 _SQUARE_SUM = "(acc, x) -> acc + cast(x as double) * cast(x as double)"
@@ -43,8 +44,14 @@ def run_sql(
     tables: Mapping[str, DataFrame] | None = None,
     args: Mapping | None = None,
 ) -> DataFrame:
-    """Run SQL text with ``tables`` as views and the distance functions available."""
+    """Run SQL text with ``tables`` as views and the distance functions available.
+
+    ``args`` fills the named markers (``:name``) of the text; a list becomes an array.
+    """
     register_functions(spark)
     for name, df in (tables or {}).items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(args)) if args else spark.sql(text)
+    if not args:
+        return spark.sql(text)
+    values = {n: F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else v for n, v in args.items()}
+    return spark.sql(text, args=values)

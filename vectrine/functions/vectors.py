@@ -11,6 +11,7 @@ import struct
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def dense_query(query: Query) -> Column:
     values = list(query)
     if values and all(isinstance(v, bool) for v in values):
         return F.array(*[F.lit(v) for v in values])
-    return F.array(*[F.lit(float32(v)) for v in values])
+    return F.lit(np.array([float32(v) for v in values], dtype=np.float64))
 
 
 def _fold(terms: Column) -> Column:

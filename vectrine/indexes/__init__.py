@@ -1,4 +1,4 @@
-from .postings import TextIndex, postings_of, summed_scores
+from .postings import TextIndex, postings_of
 from .vectors import VectorIndex
 
-__all__ = ["TextIndex", "VectorIndex", "postings_of", "summed_scores"]
+__all__ = ["TextIndex", "VectorIndex", "postings_of"]

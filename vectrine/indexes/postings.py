@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,8 @@ from ..operators.bm25 import DIGITS, term_weight
 from ..operators.filters import Condition, apply_filter, in_partitions
 from ..operators.knn import SCORE
 from ..operators.projection import Output, output_columns
-from ..sources.commits import Commits
+from ..session import spread
+from ..commits import Commits
 
 BROADCAST_ROWS = 10_000
 DOCUMENTS_PER_BUCKET = 100_000
@@ -26,7 +26,7 @@ MOST_BUCKETS = 4096
 def postings_of(df: DataFrame, key: str, column: str | Column) -> DataFrame:
     """(key, term, tf, length): one row per document and distinct token."""
     text = F.col(column) if isinstance(column, str) else column
-    cut = df.select(F.col(key), tokens(text).alias("t"))
+    cut = spread(df.select(F.col(key), text.alias("x"))).select(key, tokens("x").alias("t"))
     exploded = cut.select(key, F.size("t").alias("length"), F.explode("t").alias("term"))
     return exploded.groupBy(key, "length", "term").agg(F.count("*").alias("tf")).select(key, "term", "tf", "length")
 
@@ -187,12 +187,3 @@ class TextIndex:
         if with_score:
             output.append(F.col("__bm25").alias(SCORE))
         return df.join(best, self.key).orderBy(*order).limit(k).select(*output)
-
-
-def summed_scores(clauses: Sequence[tuple[TextIndex, str]], digits: int | None = DIGITS) -> DataFrame:
-    """(key, score) summed over several (index, text) clauses on one table."""
-    if not clauses:
-        raise ValueError("at least one clause is needed")
-    key = clauses[0][0].key
-    union = reduce(DataFrame.unionByName, [index.scores(text, None) for index, text in clauses])
-    return union.groupBy(key).agg(rounded(F.sum(SCORE), digits).alias(SCORE))

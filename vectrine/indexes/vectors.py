@@ -18,7 +18,7 @@ from ..functions.kernels import batch_matrix, unit_rows
 from ..functions.vectors import float32, metric as find_metric, squared_norm
 from ..operators.filters import Condition, apply_filter, in_partitions
 from ..operators.knn import knn
-from ..sources.commits import Commits
+from ..commits import Commits
 
 METRICS = ("l2", "cosine")
 CELL, CODES = "cell", "codes"
@@ -264,7 +264,7 @@ class VectorIndex:
         """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on."""
         if nprobe >= self.nlist:
             return self.rows()
-        gap = F.zip_with("centroid", F.array(*[F.lit(float(v)) for v in self._trained_form(query)]), lambda x, y: x - y)
+        gap = F.zip_with("centroid", F.lit(self._trained_form(query)), lambda x, y: x - y)
         far = F.aggregate(gap, F.lit(0.0), lambda acc, d: acc + d * d)
         near = self.centroids().orderBy(far, CELL).limit(nprobe).select(CELL).collect()
         return self.rows().filter(F.col(CELL).isin([r[CELL] for r in near]))
@@ -274,7 +274,7 @@ class VectorIndex:
         q = self._trained_form(query)
         total = F.lit(0.0)
         for s, (book, (lo, hi)) in enumerate(zip(self._books(), segment_bounds(self.dim, self.state["segments"]))):
-            table = F.array(*[F.lit(float(d)) for d in ((book - q[lo:hi]) ** 2).sum(axis=1)])
+            table = F.lit(((book - q[lo:hi]) ** 2).sum(axis=1))
             total = total + F.get(table, F.get(F.col(CODES), s).cast("int"))
         return total
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import query_terms, tokens
 from ..functions.vectors import rounded
+from ..session import spread
 from .filters import Condition, apply_filter, in_partitions
 from .knn import SCORE, _keys
 from .projection import Output, output_columns
@@ -43,12 +44,12 @@ def term_weight(tf: Column, length: Column, mean_length: Column, k1: float = K1,
 def _counted(text: Column, terms: Sequence[str]) -> Column:
     """struct(length, tf per term) of a text, cutting it once.
 
-    The one-element array binds the tokens, so they are not cut again per use.
+    The one-element arrays bind a value to a name, so it is not computed per use.
     """
     known = F.array(*[F.lit(t) for t in terms])
 
     def count(cut: Column) -> Column:
-        hits = F.filter(cut, lambda x: F.array_contains(known, x))
+        hits = F.filter(cut, lambda x: x.isin(list(terms)))
         tf = F.transform(
             F.array(hits), lambda h: F.transform(known, lambda t: F.size(F.filter(h, lambda x: x == t)))
         )[0]
@@ -59,17 +60,28 @@ def _counted(text: Column, terms: Sequence[str]) -> Column:
 
 def _corpus_statistics(corpus: DataFrame, text: Column, terms: Sequence[str]) -> Column:
     """Scalar subquery: struct(n, mean_length, df per term) over the whole corpus."""
-    cut = corpus.select(tokens(text).alias("t"))
-    document_counts = [F.sum(F.array_contains("t", t).cast("double")) for t in terms]
-    return cut.agg(
+    counts = spread(corpus.select(text.alias("x"))).select(_counted(F.col("x"), terms).alias("c"))
+    # one SQL text: a Column call per term would take longer than the query itself
+    document_counts = ", ".join(f"sum(double(c.tf[{j}] > 0))" for j in range(len(terms)))
+    return counts.agg(
         F.struct(
             F.count("*").cast("double").alias("n"),
-            F.avg(F.size("t")).alias("mean_length"),
-            F.array(*document_counts).alias("df"),
+            F.avg("c.length").alias("mean_length"),
+            F.expr(f"array({document_counts})").alias("df"),
         ).alias("s")
     ).scalar()
 
 
+def _summed_weights(tf: Column, length: Column, stats: Column, k1: float, b: float) -> Column:
+    """Sum over the terms of idf times saturated frequency."""
+    weights = F.zip_with(
+        tf,
+        stats["df"],
+        lambda f, d: idf(stats["n"], d) * term_weight(f, length, stats["mean_length"], k1, b),
+    )
+    return F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
+
+
 def with_bm25(
     df: DataFrame,
     clauses: Sequence[tuple[str | Column, str]],
@@ -88,7 +100,7 @@ def with_bm25(
     """
     corpus = df if corpus is None else corpus
     parts, hits, helpers = [], [], []
-    out = df
+    out = spread(df) if clauses else df
     for i, (field, text) in enumerate(clauses):
         terms = query_terms(df.sparkSession, text)
         if not terms:
@@ -101,9 +113,7 @@ def with_bm25(
         )
         tf, length = F.col(counts)["tf"], F.col(counts)["length"]
         hits.append(F.array_max(tf) > 0)
-        for j in range(len(terms)):
-            weight = term_weight(tf[j], length, F.col(stats)["mean_length"], k1, b)
-            parts.append(idf(F.col(stats)["n"], F.col(stats)["df"][j]) * weight)
+        parts.append(_summed_weights(tf, length, F.col(stats), k1, b))
     total = reduce(add, parts) if parts else F.lit(0.0)
     any_hit = reduce(or_, hits) if hits else F.lit(False)
     return out.withColumns({score: rounded(total, digits), matched: any_hit}).drop(*helpers)
@@ -155,3 +165,9 @@ def match_against(
     if not columns:
         raise ValueError("match_against needs at least one column")
     return bm25_search(df, text, F.concat_ws(" ", *columns), k, key=key, **options)
+
+
+def sum_scores(parts: Sequence[DataFrame], key: str, digits: int | None = DIGITS) -> DataFrame:
+    """(key, score) summed over the (key, score) rows of several clauses."""
+    union = reduce(DataFrame.unionByName, parts)
+    return union.groupBy(key).agg(rounded(F.sum(SCORE), digits).alias(SCORE))

@@ -1,0 +1,4 @@
+from . import table_queries, text_queries, vector_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -1,6 +1,5 @@
 from .partitioning import DEFAULT, MAXVALUE, HashPartition, KeyPartition, ListPartition, RangePartition
 from .schema import DataType, field, quick_schema, table_schema
-from .store import Store
 from .table import DuplicateKey, Table
 
 __all__ = [
@@ -12,7 +11,6 @@ __all__ = [
     "ListPartition",
     "MAXVALUE",
     "RangePartition",
-    "Store",
     "Table",
     "field",
     "quick_schema",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.filters import IN_LIST_LIMIT, Condition, all_of, id_list, in_partitions, partition_test, single_key, with_ids
-from .commits import CommitConflict, Commits
+from ..commits import CommitConflict, Commits
 from .partitioning import PART, Partition, from_dict
 from .schema import auto_id_column, conform, key_columns
 

@@ -11,18 +11,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.sqlfuncs import run_sql
-from ..functions.vectors import Query
-from ..indexes.postings import TextIndex
-from ..indexes.vectors import VectorIndex
-from ..operators import filters
-from ..operators.bm25 import bm25_search, match_against
-from ..operators.hybrid import hybrid_search, search_hybrid
-from ..operators.knn import knn, search
+from .functions.sqlfuncs import run_sql
+from .functions.vectors import Query
+from .indexes.postings import TextIndex
+from .indexes.vectors import VectorIndex
+from .operators import filters
+from .operators.bm25 import bm25_search, match_against
+from .operators.hybrid import hybrid_search, search_hybrid
+from .operators.knn import knn, search
 from .commits import Commits
-from .partitioning import Partition
-from .schema import DataType, quick_schema
-from .table import Table
+from .sources.partitioning import Partition
+from .sources.schema import DataType, quick_schema
+from .sources.table import Table
 
 Rows = DataFrame | Mapping | Sequence[Mapping]
 
