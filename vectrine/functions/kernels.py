@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+# Entries of one matrix product held at a time: 32 MB.
+PRODUCT_CELLS = 4_000_000
+
 
 def batch_matrix(column: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows as a float64 matrix, and which rows are real vectors of length ``dim``."""
@@ -62,3 +65,16 @@ def cost_matrix(metric: str, x: np.ndarray, q: np.ndarray) -> tuple[np.ndarray,
         costs = -(q @ x.T)
         return costs, 1e-9 * float(np.abs(costs).max(initial=1.0))
     return 1.0 - unit_rows(q) @ unit_rows(x).T, 1e-9
+
+
+def nearest_rows(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the number of the nearest centre and a cost comparable between blocks of centres."""
+    squares = (centres * centres).sum(axis=1)[None, :]
+    step = max(1, PRODUCT_CELLS // len(centres))
+    best = np.empty(len(x), dtype=np.int64)
+    cost = np.empty(len(x))
+    for at in range(0, len(x), step):
+        part = squares - 2.0 * (x[at : at + step] @ centres.T)
+        best[at : at + step] = part.argmin(axis=1)
+        cost[at : at + step] = part.min(axis=1)
+    return best, cost

@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.kernels import batch_matrix, unit_rows
+from ..functions.kernels import batch_matrix, nearest_rows, unit_rows
 from ..functions.vectors import float32, metric as find_metric, squared_norm
 from ..operators.filters import Condition, apply_filter, in_partitions
 from ..operators.knn import knn
@@ -60,9 +60,7 @@ def _nearest_of(block, start: int, dim: int, metric: str):
         if metric == "cosine":
             ok = ok & (x != 0).any(axis=1)
             x = unit_rows(x)
-        cost = (c * c).sum(axis=1)[None, :] - 2.0 * (x @ c.T)
-        best = cost.argmin(axis=1)
-        costs = cost[np.arange(len(x)), best]
+        best, costs = nearest_rows(x, c)
         cells = (best + start).astype(np.int32)
         return pa.StructArray.from_arrays(
             [pa.array(costs), pa.array(cells)], names=["cost", "cell"], mask=pa.array(~ok)
@@ -101,8 +99,7 @@ def _encode(spark: SparkSession, vector: Column, codebooks: list[np.ndarray], di
             x = unit_rows(x)
         codes = np.empty((len(x), len(bounds)), dtype=np.int16)
         for s, (lo, hi) in enumerate(bounds):
-            c = books.value[s]
-            codes[:, s] = ((c * c).sum(axis=1)[None, :] - 2.0 * (x[:, lo:hi] @ c.T)).argmin(axis=1)
+            codes[:, s] = nearest_rows(x[:, lo:hi], books.value[s])[0]
         lists = pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), len(bounds)).cast(pa.list_(pa.int16()))
         return pa.compute.if_else(pa.array(ok), lists, pa.scalar(None, lists.type))
 

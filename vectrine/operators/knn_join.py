@@ -70,9 +70,8 @@ def _top_k_task(block, metric: str, k: int, digits: int | None, sign: float, nam
                 qi, xi, cost = _candidates(metric, x, ok, q[part], q_ok[part], worst[part], k, slack)
                 if digits is not None:
                     cost = np.round(cost, digits)
-                found.append(
-                    pa.table({"q": pa.array(qi + at), "cost": pa.array(cost), "key": batch.column(0).take(pa.array(xi))})
-                )
+                near = {"q": pa.array(qi + at), "cost": pa.array(cost), "key": batch.column(0).take(pa.array(xi))}
+                found.append(_best_of(pa.table(near), k))
             best = _best_of(pa.concat_tables(found), k)
             rows_of = best["q"].to_numpy()
             full = np.bincount(rows_of, minlength=len(ids)) >= k
@@ -126,10 +125,12 @@ def knn_join(
     for b in range(max(blocks, 1)):
         part = q_rows if blocks <= 1 else q_rows.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(blocks)) == b)
         rows = part.toArrow()
+        if rows.num_rows == 0:
+            continue
         matrix, ok = batch_matrix(rows["v"].combine_chunks(), dim)
         block = spark.sparkContext.broadcast((rows[QUERY_ID].combine_chunks(), matrix, ok))
         found.append(points.mapInArrow(_top_k_task(block, m.name, k, digits, sign, out.names), out))
     # numpy and Spark round half-way cases differently; settle on Spark's rule
-    merged = reduce(DataFrame.unionByName, found).withColumn("score", rounded(F.col("score"), digits))
+    merged = reduce(DataFrame.unionByName, found, spark.createDataFrame([], out)).withColumn("score", rounded(F.col("score"), digits))
     nearest = Window.partitionBy(QUERY_ID).orderBy(m.order(F.col("score")), F.col(key).asc())
     return merged.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)

@@ -13,7 +13,7 @@ from ..functions.vectors import binarise
 from ..indexes.vectors import VectorIndex
 from ..operators.knn import knn, search
 from ..operators.knn_join import knn_join
-from ..session import shared_dir
+from ..session import shared_dir, spread
 from ..sources.partitioning import MAXVALUE, RangePartition
 from .registry import DIGITS, SQL_VECTOR, query, query_vector, read
 from .text_queries import SEARCH_TEXT, SQL_TOKENS
@@ -230,7 +230,8 @@ INDEX_DIGITS = 7
 
 def sparse_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, v): token counts of each document as a sparse vector."""
-    words = read(spark, folder, "documents").select("doc_id", F.explode(tokens("text")).alias("token"))
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
+    words = docs.select("doc_id", F.explode(tokens("text")).alias("token"))
     index = F.conv(F.substring(F.md5("token"), 1, INDEX_DIGITS), 16, 10).cast("int")
     counts = words.groupBy("doc_id", index.alias("i")).agg(F.count("*").cast("float").alias("x"))
     entries = F.collect_list(F.struct("i", "x"))
