@@ -355,7 +355,7 @@ def scan_table(spark, folder):
     return stored(spark, orders(spark, folder), "o_orderkey").df().select("o_orderkey", "o_totalprice")
 
 
-@query("part_select", f"SELECT {SQL_ORDERS} FROM orders WHERE o_totalprice >= 100000")
+@query("part_select", f"SELECT {SQL_ORDERS} FROM orders WHERE {SQL_BY_PRICE} IN ('middle', 'rest')")
 def part_select(spark, folder):
     return stored(spark, orders(spark, folder), "o_orderkey", BY_PRICE).df(["middle", "rest"])
 
@@ -370,7 +370,7 @@ def ins_append(spark, folder):
 
 @query(
     "ups_replace",
-    """WITH last AS (SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS balance FROM orders GROUP BY o_custkey)
+    """WITH last AS (SELECT o_custkey, last(o_totalprice ORDER BY o_orderkey) AS balance FROM orders GROUP BY o_custkey)
        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
        WHERE c_custkey NOT IN (SELECT o_custkey FROM last)
        UNION ALL SELECT o_custkey, NULL, NULL, balance, NULL FROM last""",
@@ -424,14 +424,14 @@ def del_where(spark, folder):
 
 @query(
     "del_both",
-    f"SELECT {SQL_ORDERS} FROM orders WHERE NOT (o_orderkey IN {SQL_BUILDERS} AND o_totalprice > 150000)",
+    f"SELECT {SQL_ORDERS} FROM orders WHERE NOT coalesce(o_orderkey IN {SQL_BUILDERS} AND o_totalprice > 150000, FALSE)",
 )
 def del_both(spark, folder):
     table = stored(spark, orders(spark, folder), "o_orderkey", BY_PRICE)
     return table.delete(ids=builder_orders(spark, folder), where="o_totalprice > 150000").df()
 
 
-@query("del_partition", f"SELECT {SQL_ORDERS} FROM orders WHERE o_totalprice >= 100000")
+@query("del_partition", f"SELECT {SQL_ORDERS} FROM orders WHERE {SQL_BY_PRICE} <> 'cheap'")
 def del_partition(spark, folder):
     return stored(spark, orders(spark, folder), "o_orderkey", BY_PRICE).delete(partition="cheap").df()
 

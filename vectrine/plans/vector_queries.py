@@ -124,8 +124,9 @@ def sql_batch(score: str, order: str = "ASC") -> str:
     return f"""
         WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS qv FROM embeddings
                    WHERE vec_id IN (SELECT item_id FROM benchmark)),
-        d AS (SELECT query_id, vec_id, round({score}, 6) AS score FROM q, embeddings),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, vec_id) AS rank FROM d)
+        c AS (SELECT query_id, vec_id, round({score}, 6) AS x FROM q, embeddings),
+        d AS (SELECT query_id, vec_id, CASE WHEN isnan(x) THEN NULL ELSE x END AS score FROM c),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order} NULLS LAST, vec_id) AS rank FROM d)
         SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 10"""
 
 
@@ -196,7 +197,10 @@ def proj_extra(spark, folder):
     )
 
 
-@query("proj_score", f"SELECT vec_id, {L2} AS l2, {COSINE} AS cosine, {IP} AS ip FROM embeddings")
+@query(
+    "proj_score",
+    f"SELECT vec_id, {L2} AS l2, CASE WHEN isnan({COSINE}) THEN NULL ELSE {COSINE} END AS cosine, {IP} AS ip FROM embeddings",
+)
 def proj_score(spark, folder):
     from ..functions.vectors import cosine_distance, inner_product, l2_distance
 
@@ -211,7 +215,8 @@ def proj_score(spark, folder):
 
 @query(
     "raw_sql",
-    f"SELECT label, count(*) AS n, min({L2}) AS nearest, max({COSINE}) AS farthest FROM embeddings GROUP BY label",
+    f"SELECT label, count(*) AS n, min({L2}) AS nearest, "
+    f"max(CASE WHEN isnan({COSINE}) THEN NULL ELSE {COSINE} END) AS farthest FROM embeddings GROUP BY label",
 )
 def raw_sql(spark, folder):
     text = """
