@@ -325,3 +325,31 @@ def test_sql_over_tables(ann):
         {"low": 9},
     )
     assert [r["id"] for r in out.collect()] == [10, 11, 12, 111, 112, 9]
+
+
+def test_indexes_of_a_store(ann):
+    ann.create_vector_index("ann", "near", "embedding", nlist=2, metric="l2")
+    exact = ann.ann_search("ann", [0.0] * 3, "embedding", k=7, with_score=True).collect()
+    assert ann.ann_search("ann", [0.0] * 3, "embedding", k=7, with_score=True, index="near", nprobe=2).collect() == exact
+    only = ann.ann_search("ann", [0.0] * 3, "embedding", k=7, index="near", nprobe=2, partitions=["p1"])
+    assert ids(only) == {111, 112}
+    post = ann.ann_search("ann", FIRST, "embedding", k=5, index="near", nprobe=2, where="id > 3", post_filter=True, expand=1)
+    assert ids(post) == {4}
+    for wrong in (dict(metric="cosine"), dict(column="meta")):
+        with pytest.raises(ValueError):
+            ann.ann_search("ann", [0.0] * 3, **{"column": "embedding", **wrong}, index="near")
+    with pytest.raises(TypeError):
+        ann.post_ann_search("ann", [0.0] * 3, "embedding", threshold=1.0)
+    ann.insert("ann", {"id": 500, "embedding": [0.0, 0.0, 0.1], "meta": "deep sea"})
+    ann.create_text_index("ann", "words", "meta", buckets=2)
+    assert ids(ann.bm25_search("ann", "sea", "meta", index="words")) == {500}
+    ann.upsert("ann", {"id": 500, "meta": "high mountain"})
+    for full in (False, True):
+        ann.rebuild_index("ann", "words", full)
+        ann.rebuild_index("ann", "near", full)
+        assert ids(ann.bm25_search("ann", "sea mountain", "meta", index="words")) == {500}
+        assert ann.bm25_search("ann", "sea", "meta", index="words").count() == 0
+        assert ann.vector_index("ann", "near").rows().count() == 16
+    ann.drop_index("ann", "near")
+    with pytest.raises(ValueError):
+        ann.vector_index("ann", "near")

@@ -1,17 +1,22 @@
 """Versioned state of a table or index: small JSON files on the cluster's file system.
 
 Data folders are written first and never changed; the commit file that names
-them is created last, without overwriting. A reader keeps the version it opened.
+them appears last, whole, and never replaces another. A reader keeps the version
+it opened.
 """
 
 from __future__ import annotations
 
 import json
+import threading
+import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+_TURN = threading.Lock()
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed the same version first."""
 
@@ -41,17 +46,24 @@ class Commits:
             stream.close()
 
     def write(self, version: int, state: dict) -> None:
+        """Publish a version whole or not at all; fails if it exists.
+
+        The file is written under another name and renamed. HDFS refuses to
+        rename onto a file; for file systems that do not, writers of one driver
+        take turns.
+        """
         target = self._path(f"{self.root}/_commits/{version:010d}.json")
-        try:
-            stream = self._fs.create(target, False)
-        except Py4JJavaError as error:
-            if self._fs.exists(target):
-                raise CommitConflict(f"version {version} of {self.root} exists") from error
-            raise
+        draft = self._path(f"{self.root}/_commits/{uuid.uuid4().hex}.draft")
+        stream = self._fs.create(draft, False)
         try:
             stream.write(bytearray(json.dumps(state).encode()))
         finally:
             stream.close()
+        with _TURN:
+            done = not self._fs.exists(target) and self._fs.rename(draft, target)
+        if not done:
+            self._fs.delete(draft, False)
+            raise CommitConflict(f"version {version} of {self.root} exists")
 
     def folders(self, path: str) -> list[str]:
         """Names of the folders directly below ``path``."""

@@ -15,7 +15,6 @@ from ..operators.bm25 import DIGITS, term_weight
 from ..operators.filters import Condition, apply_filter, in_partitions
 from ..operators.knn import SCORE
 from ..operators.projection import Output, output_columns
-from ..session import spread
 from ..commits import Commits
 
 BROADCAST_ROWS = 10_000
@@ -24,9 +23,13 @@ MOST_BUCKETS = 4096
 
 
 def postings_of(df: DataFrame, key: str, column: str | Column) -> DataFrame:
-    """(key, term, tf, length): one row per document and distinct token."""
+    """(key, term, tf, length): one row per document and distinct token.
+
+    The texts are spread by key first. That moves less than moving the postings
+    would, and the grouping below then needs no shuffle of its own.
+    """
     text = F.col(column) if isinstance(column, str) else column
-    cut = spread(df.select(F.col(key), text.alias("x"))).select(key, tokens("x").alias("t"))
+    cut = df.select(F.col(key), text.alias("x")).repartition(key).select(key, tokens("x").alias("t"))
     exploded = cut.select(key, F.size("t").alias("length"), F.explode("t").alias("term"))
     return exploded.groupBy(key, "length", "term").agg(F.count("*").alias("tf")).select(key, "term", "tf", "length")
 
@@ -69,7 +72,7 @@ class TextIndex:
         (
             postings.withColumn("bucket", cls._bucket(F.col("term"), buckets))
             .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term", key)
+            .sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket")
             .parquet(f"{folder}/postings")
         )

@@ -30,18 +30,18 @@ BROADCAST_ROWS = 10_000
 
 
 def _normalised(vector: Column) -> Column:
-    norm = F.sqrt(squared_norm(vector))
-    return F.transform(vector, lambda x: F.try_divide(x.cast("double"), norm))
+    """The vector scaled to length one; the one-element array binds its norm, computed once."""
+    norm = F.array(F.sqrt(squared_norm(vector)))
+    return F.transform(norm, lambda n: F.transform(vector, lambda x: x.cast("double") / n))[0]
 
 
 def _trainable(df: DataFrame, vector: str, metric: str) -> DataFrame:
-    """One column ``v`` of double vectors that have a direction and no holes."""
+    """One column ``v`` of the vectors without holes, for cosine also without zero vectors."""
     v = F.col(vector)
     usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull())
-    rows = df.select(v).filter(usable)
     if metric == "cosine":
-        return rows.filter(squared_norm(v) > 0).select(_normalised(v).alias("v"))
-    return rows.select(v.cast("array<double>").alias("v"))
+        usable = usable & F.exists(v, lambda x: x != F.lit(0.0))
+    return df.select(v.alias("v")).filter(usable)
 
 
 def _centres(rows: DataFrame, k: int, seed: int) -> np.ndarray:
@@ -162,7 +162,8 @@ class VectorIndex:
         if size["n"] > wanted:
             usable = usable.sample(min(1.0, wanted / size["n"]), seed=seed)
         sample_path = f"{path.rstrip('/')}/{uuid.uuid4().hex}/training"
-        usable.write.parquet(sample_path)
+        v = F.col("v")
+        usable.select((_normalised(v) if name == "cosine" else v.cast("array<double>")).alias("v")).write.parquet(sample_path)
         sample = df.sparkSession.read.parquet(sample_path)
         centres = _centres(sample, nlist, seed)
         books = None
@@ -285,6 +286,7 @@ class VectorIndex:
         where: Condition | None = None,
         partitions: Sequence[str] | None = None,
         names: Sequence[str] | None = None,
+        post_filter: bool = False,
         **options,
     ) -> DataFrame:
         """Top ``k`` of the probed cells by exact distance; takes the options of ``knn``.
@@ -292,7 +294,11 @@ class VectorIndex:
         With ``refine``, the codes first pick the best ``k * refine`` rows and only
         those are ranked exactly. At ``nprobe=nlist`` without it the result is exact.
         """
-        rows = apply_filter(in_partitions(self.probe(query, nprobe), partitions), where)
+        rows = in_partitions(self.probe(query, nprobe), partitions)
+        if post_filter:
+            options |= {"where": where, "post_filter": True}
+        else:
+            rows = apply_filter(rows, where)
         if refine is not None:
             if not self.state["segments"]:
                 raise ValueError("this index holds no codes")

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sqlfuncs import run_sql
-from ..functions.text import query_terms, tokens
+from ..functions.text import query_terms
 from ..functions.vectors import binarise
+from ..indexes.postings import postings_of
 from ..indexes.vectors import VectorIndex
 from ..operators.knn import knn, search
 from ..operators.knn_join import knn_join
-from ..session import shared_dir, spread
+from ..session import shared_dir
 from ..sources.partitioning import MAXVALUE, RangePartition
 from .registry import DIGITS, SQL_VECTOR, query, query_vector, read
 from .text_queries import SEARCH_TEXT, SQL_TOKENS
@@ -234,11 +235,13 @@ INDEX_DIGITS = 7
 
 
 def sparse_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, v): token counts of each document as a sparse vector."""
-    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
-    words = docs.select("doc_id", F.explode(tokens("text")).alias("token"))
-    index = F.conv(F.substring(F.md5("token"), 1, INDEX_DIGITS), 16, 10).cast("int")
-    counts = words.groupBy("doc_id", index.alias("i")).agg(F.count("*").cast("float").alias("x"))
+    """(doc_id, v): token counts of each document as a sparse vector.
+
+    The postings arrive spread by document, so neither grouping shuffles again.
+    """
+    words = postings_of(read(spark, folder, "documents"), "doc_id", "text")
+    index = F.conv(F.substring(F.md5("term"), 1, INDEX_DIGITS), 16, 10).cast("int")
+    counts = words.groupBy("doc_id", index.alias("i")).agg(F.sum("tf").cast("float").alias("x"))
     entries = F.collect_list(F.struct("i", "x"))
     return counts.groupBy("doc_id").agg(F.map_from_entries(entries).alias("v"))
 

@@ -138,7 +138,7 @@ class Store:
         name: str,
         query: Query,
         column: str,
-        metric: str = "l2",
+        metric: str | None = None,
         k: int = 10,
         *,
         names=None,
@@ -147,15 +147,16 @@ class Store:
         refine: int | None = None,
         **options,
     ) -> DataFrame:
-        """Nearest rows: exact, or through a vector index."""
+        """Nearest rows by ``metric`` (l2 if absent): exact, or through a vector index."""
         table, rows, names = self._open(name, names)
-        if index is not None:
-            options.pop("post_filter", None)
-            found = self.vector_index(name, index)
-            return found.search(query, k, nprobe, refine=refine, names=names, **options)
-        return knn(rows, query, column, metric, k, key=table.key, names=names, **options)
-
-    def post_ann_search(self, name: str, query: Query, column: str, metric: str = "l2", k: int = 10, **options) -> DataFrame:
+        if index is None:
+            return knn(rows, query, column, metric or "l2", k, key=table.key, names=names, **options)
+        found = self.vector_index(name, index)
+        if column != found.vector or (metric or found.metric) != found.metric:
+            raise ValueError(f"index {index!r} serves {found.metric} on {found.vector!r}")
+        return found.search(query, k, nprobe, refine=refine, names=names, **options)
+
+    def post_ann_search(self, name: str, query: Query, column: str, metric: str | None = None, k: int = 10, **options) -> DataFrame:
         """``ann_search`` without a threshold or an index."""
         if {"threshold", "index"} & set(options):
             raise TypeError("post_ann_search takes no threshold and no index")
