@@ -52,7 +52,7 @@ def knn_ip(spark, folder):
     return knn(embeddings(spark, folder), query_vector(spark, folder), "embedding", "ip", **TOP)
 
 
-SQL_BITS = "list_transform({0}, lambda x: CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END)"
+SQL_BITS = "list_transform({0}, lambda x: CASE WHEN x > 0 THEN 1::DOUBLE ELSE 0::DOUBLE END)"
 
 
 @query(
