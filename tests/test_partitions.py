@@ -97,3 +97,17 @@ def test_two_level_table(spark, folder):
     assert table.df().filter("v = -1").count() == 50
     with pytest.raises(Exception, match="does not belong"):
         table.insert(spark.createDataFrame([(301, 1)], "id long, v long"), partition="p1/a")
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, folder):
+    rule = ListPartition([("hot", [0]), ("rest", DEFAULT)], expr="k")
+    table = Table.create(spark, folder, table_schema([field("id", DataType.INT64, primary=True), field("k", DataType.INT64)]), rule)
+    rows = spark.range(0, 300000, 1, 8).selectExpr("id", "if(id % 3 = 0, 0, id % 7 + 1) as k")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "200KB")
+    try:
+        table.insert(rows, check_keys=False)
+    finally:
+        spark.conf.unset(size)
+    files = table.df(["hot"]).select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1 and table.df(["hot"]).count() == 100000 and table.df().count() == 300000

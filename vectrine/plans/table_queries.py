@@ -448,13 +448,13 @@ def col_drop(spark, folder):
     return stored(spark, read(spark, folder, "customer"), "c_custkey").drop_columns(["c_acctbal", "c_nationkey"]).df()
 
 
-@query("auto_id")
+@query("auto_id", "SELECT row_number() OVER (ORDER BY event_id) AS id FROM events")
 def auto_id(spark, folder):
-    """Events under new consecutive ids."""
+    """The consecutive ids given to events; which event gets which is free."""
     fields = [
         field("id", T.LongType(), primary=True, auto_id=True),
         field("event_id", T.LongType()),
         field("event_type", T.StringType(), nullable=True),
     ]
     table = Table.create(spark, shared_dir(spark), table_schema(fields))
-    return table.insert(read(spark, folder, "events").select("event_id", "event_type")).df()
+    return table.insert(read(spark, folder, "events").select("event_id", "event_type")).df().select("id")

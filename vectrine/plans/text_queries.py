@@ -49,7 +49,8 @@ def benchmark_text(spark: SparkSession, folder: str) -> str:
 
 @query("tokens", f"SELECT doc_id, array_to_string({SQL_TOKENS.format('text')}, ' ') AS tokens FROM documents")
 def all_tokens(spark, folder):
-    return documents(spark, folder).select("doc_id", F.array_join(tokens("text"), " ").alias("tokens"))
+    docs = spread(documents(spark, folder).select("doc_id", "text"))
+    return docs.select("doc_id", F.array_join(tokens("text"), " ").alias("tokens"))
 
 
 @query("bm25_top", SCORES + " SELECT doc_id FROM s ORDER BY round(score, 6) DESC, doc_id LIMIT 10")
