@@ -36,6 +36,27 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(table(spark, folder, "documents"))
 
 
+@query("op3_simhash_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    from .classifier import score_quality
+
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from .decontaminate import contamination_report
+
+    return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     from .sharding import assign_shards
