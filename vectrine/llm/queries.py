@@ -57,6 +57,20 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def vocabulary() -> str:
+    """Path of the vocabulary file that the queries use."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, folder, "documents"), vocabulary())
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     from .sharding import assign_shards
