@@ -71,6 +71,24 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), vocabulary())
 
 
+@query("op8_token_files")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from vectrine.session import shared_dir
+
+    from .token_files import read_token_files, write_token_files
+
+    files = shared_dir(spark)
+    write_token_files(table(spark, folder, "documents"), files, vocabulary())
+    return read_token_files(spark, files)
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    from .html_extract import main_text
+
+    return main_text(table(spark, folder, "pages"))
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     from .sharding import assign_shards
