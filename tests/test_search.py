@@ -19,6 +19,7 @@ from vectrine.functions import (
     vector_to_text,
 )
 from vectrine.indexes import TextIndex, VectorIndex, postings_of
+from vectrine.indexes.vectors import CELL, CODES
 from vectrine.operators import (
     bm25_search,
     hybrid_search,
@@ -31,7 +32,6 @@ from vectrine.operators import (
     where,
 )
 from vectrine.operators.bm25 import with_bm25
-from vectrine.operators.knn import ARROW_FROM_DIM
 
 SENTENCES = [
     (1, "i love the sea"),
@@ -121,15 +121,23 @@ def test_undefined_distances_come_last(spark):
     assert [(r["id"], r["score"]) for r in got] == [(3, 0.0), (1, None), (2, None), (4, None), (5, None)]
 
 
-def test_long_vectors_score_alike_on_both_paths(spark):
-    rng = np.random.default_rng(5)
-    rows = [(i, rng.normal(size=ARROW_FROM_DIM).astype("float32").tolist()) for i in range(40)] + [(40, None), (41, [1.0])]
-    df = spark.createDataFrame(rows, "id int, v array<float>")
+@pytest.mark.parametrize("dim", [2, 255, 256, 768])
+@pytest.mark.parametrize("name", ["l2", "cosine", "ip"])
+def test_one_rule_for_every_length(spark, dim, name):
+    rng = np.random.default_rng(dim)
+    rows = [(i, rng.normal(size=dim).astype("float32").tolist()) for i in range(20)]
+    odd = [(20, None), (21, [1.0]), (22, [float("nan")] + [1.0] * (dim - 1)), (23, [None] + [1.0] * (dim - 1))]
+    df = spark.createDataFrame(rows + odd, "id int, v array<float>")
     q = rows[7][1]
-    for name in ("l2", "cosine", "ip"):
-        fast = knn(df, q, "v", name, 42, key="id", names=["id"], with_score=True, digits=6).collect()
-        plain = knn(df, F.array(*[F.lit(x) for x in q]), "v", name, 42, key="id", names=["id"], with_score=True, digits=6)
-        assert fast == plain.collect()
+    got = knn(df, q, "v", name, 24, key="id", names=["id"], with_score=True, digits=6).collect()
+    x, y = np.array([v for _, v in rows], dtype=np.float64), np.array(q, dtype=np.float64)
+    want = {"l2": np.linalg.norm(x - y, axis=1), "ip": x @ y, "cosine": 1 - x @ y / np.linalg.norm(x, axis=1) / np.linalg.norm(y)}[name]
+    order = np.argsort(-want if name == "ip" else want)
+    assert [r["id"] for r in got] == [*order.tolist(), 20, 21, 22, 23]
+    assert [r["score"] for r in got[:20]] == pytest.approx(want[order].tolist(), abs=2e-6)
+    assert all(r["score"] is None for r in got[20:])
+    joined = knn_join(df.filter("id = 7"), df, query_key="id", query_vector="v", key="id", vector="v", metric=name, k=24, digits=6)
+    assert [tuple(r) for r in joined.orderBy("rank").select("id", "score").collect()] == [tuple(r) for r in got]
 
 
 def test_distance_rounds_the_query_to_float32(spark):
@@ -229,14 +237,14 @@ def test_every_row_is_in_its_nearest_cell(points, index):
     assert sorted(r["vec_id"] for r in rows) == sorted(r["vec_id"] for r in points.select("vec_id").collect())
     for r in rows:
         gaps = ((centres - np.array(r["embedding"])) ** 2).sum(axis=1)
-        assert gaps[r["cell"]] <= gaps.min() + 1e-9
-        assert len(r["codes"]) == 8
+        assert gaps[r[CELL]] <= gaps.min() + 1e-9
+        assert len(r[CODES]) == 8
 
 
 def test_probe_reads_only_its_cells(points, index):
     q = list(points.first()["embedding"])
     plan = index.search(q, 5, 2, names=["vec_id"])._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
+    assert "PartitionFilters: [isnotnull(__cell" in plan or "PartitionFilters: [__cell" in plan
 
 
 def test_refresh_and_rebuild(spark, points, folder):
@@ -251,7 +259,7 @@ def test_refresh_and_rebuild(spark, points, folder):
 def test_rows_without_a_cell_are_kept(spark, points, folder):
     odd = spark.createDataFrame([(9001, None, 0), (9002, [0.0] * 64, 0)], points.schema)
     built = VectorIndex.build(points.unionByName(odd), folder, "vec_id", "embedding", 4, "cosine")
-    assert {r["vec_id"] for r in built.rows().filter("cell = -1").collect()} == {9001, 9002}
+    assert {r["vec_id"] for r in built.rows().filter("__cell = -1").collect()} == {9001, 9002}
     with pytest.raises(ValueError):
         VectorIndex.build(points, folder, "vec_id", "embedding", 4, "ip")
 
@@ -393,11 +401,8 @@ def test_scoring_clauses():
             "must_not": [{"match": {"e": "  "}}, {"query_string": {"query": "z", "fields": []}}],
         }
     }
-    assert scoring_clauses(body) == [("a", "x y"), ("b", "p q"), ("d", "z")] or sorted(scoring_clauses(body)) == [
-        ("a", "x y"),
-        ("b", "p q"),
-        ("d", "z"),
-    ]
+    # branches in the order must, filter, should, must_not
+    assert scoring_clauses(body) == [("a", "x y"), ("d", "z"), ("b", "p q")]
     with pytest.raises(NotImplementedError):
         scoring_clauses({"query_string": {"query": "z", "fields": ["a", "b"]}})
 
@@ -482,3 +487,74 @@ def test_linear_mix(articles):
     assert order(0.0, as_written=True)[0] == 1
     assert order(0.5, distance_threshold=0.0) == [4, 1]
     assert 1 not in order(0.5, bm25_score_threshold=0.01)
+
+
+def test_hybrid_reads_the_table_three_times(articles):
+    """Once for the statistics and once per branch."""
+    scans = hybrid_search(articles, body())._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation")
+    rdds = hybrid_search(articles, body())._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+    assert scans + rdds <= 3
+
+
+@pytest.mark.parametrize("wrong", [{"size": True}, {"size": "3"}, {"hybrid_weights": {"knn": True}}, {"hybrid_weights": [1]}])
+def test_truth_values_are_no_numbers(articles, wrong):
+    with pytest.raises(ValueError, match="body"):
+        hybrid_search(articles, {"knn": {"field": "vector", "query_vector": [1, 2, 3]}, **wrong})
+
+
+def test_post_filter_widens_until_enough_pass(points):
+    q = list(points.first()["embedding"])
+    wide = knn(points, q, "embedding", k=5, key="vec_id", names=["vec_id"], where="vec_id % 97 = 5", post_filter=True).collect()
+    assert wide == knn(points, q, "embedding", k=5, key="vec_id", names=["vec_id"], where="vec_id % 97 = 5").collect() and len(wide) == 5
+    assert knn(points, q, "embedding", k=5, key="vec_id", names=["vec_id"], where="vec_id % 97 = 5", post_filter=True, expand=1).count() < 5
+
+
+def test_joins_beyond_a_broadcast_do_not_pass_the_driver(points):
+    big = knn_join(points, points, query_key="vec_id", query_vector="embedding", key="vec_id", vector="embedding", k=3, digits=6, block_bytes=64 * 8 * 100)
+    plan = big._jdf.queryExecution().toString()
+    assert "FlatMapCoGroups" in plan and "MapInArrow" not in plan and "CartesianProduct" not in plan
+    one = knn_join(points, points, query_key="vec_id", query_vector="embedding", key="vec_id", vector="embedding", k=3, digits=6)
+    assert sorted(map(tuple, big.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_reserved_names_of_indexes(spark, points, folder):
+    user = points.withColumn("cell", F.lit(7)).withColumn("codes", F.lit("mine"))
+    built = VectorIndex.build(user, folder, "vec_id", "embedding", 4)
+    row = built.search([0.0] * 64, 1, 4, names=["cell", "codes"]).first()
+    assert tuple(row) == (7, "mine")
+    for name in (CELL, CODES):
+        with pytest.raises(ValueError):
+            VectorIndex.build(points.withColumn(name, F.lit(1)), folder, "vec_id", "embedding", 4)
+    with pytest.raises(ValueError):
+        TextIndex.build(spark.createDataFrame([("a", "x")], "term string, t string"), folder, "term", "t")
+
+
+def test_length_of_an_index_is_that_of_most_vectors(spark, folder):
+    rows = [(i, [float(i), 1.0]) for i in range(50)] + [(100 + i, [1.0, 2.0, 3.0]) for i in range(8)] + [(200, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<float>")
+    built = VectorIndex.build(df, folder, "id", "v", 4)
+    assert built.dim == 2 and built.rows().filter("__cell = -1").count() == 9
+    assert built.search([0.0, 1.0], 3, 4, names=["id"]).collect() == knn(df, [0.0, 1.0], "v", k=3, key="id", names=["id"]).collect()
+    assert VectorIndex.build(df, folder, "id", "v", 4, dim=3).dim == 3
+
+
+def test_all_rows_are_trained_on_and_training_data_goes(spark, points, folder):
+    built = VectorIndex.build(points, folder, "vec_id", "embedding", 2)
+    assert not [f for f in built._commits.folders(folder) if f.startswith("training")]
+    centres = built._centre_matrix()
+    members = {c: [r["embedding"] for r in built.rows().filter(F.col(CELL) == c).collect()] for c in range(2)}
+    for c, rows in members.items():
+        assert np.allclose(np.mean(rows, axis=0), centres[c], atol=0.05)
+
+
+def test_terms_are_counted_inside_the_row(spark, sentences):
+    plan = postings_of(sentences, "id", "doc")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+    df = spark.createDataFrame([(1, "b a b"), (2, ""), (3, None)], "id int, t string")
+    assert sorted(tuple(r) for r in postings_of(df, "id", "t").collect()) == [(1, "a", 1, 3), (1, "b", 2, 3)]
+
+
+def test_search_ranks_only_rows_the_table_has(sentences, folder):
+    index = TextIndex.build(sentences, folder, "id", "doc")
+    left = sentences.filter("id <> 5")
+    assert [r["id"] for r in index.search(left, "like", 1).collect()] == [4]

@@ -353,3 +353,215 @@ def test_indexes_of_a_store(ann):
     ann.drop_index("ann", "near")
     with pytest.raises(ValueError):
         ann.vector_index("ann", "near")
+
+
+# --- writes that meet each other, and names that need escaping ---------------------------
+
+
+def plain(store, name="t", partitions=None):
+    fields = [field("id", DataType.INT64, primary=True), field("v", DataType.INT64, nullable=True)]
+    store.create_table(name, table_schema(fields), partitions)
+    return Table(store.spark, f"{store.root}/tables/{name}")
+
+
+def test_a_column_added_through_an_older_handle_keeps_the_rows(store):
+    one = plain(store)
+    store.insert("t", [{"id": i} for i in range(3)])
+    one.add_columns([field("note", DataType.STRING, nullable=True)])
+    store.insert("t", [{"id": i, "note": "n"} for i in range(3, 6)])
+    assert {r["id"]: r["note"] for r in store.query("t").collect()} == {0: None, 1: None, 2: None, 3: "n", 4: "n", 5: "n"}
+
+
+def test_schema_changes_of_two_handles_both_hold(store):
+    one, two = plain(store), plain(store)
+    one.add_columns([field("a", DataType.STRING, nullable=True)])
+    two.drop_columns(["v"])
+    assert store.query("t").columns == ["id", "a"]
+    with pytest.raises(ValueError):
+        one.add_columns([field("a", DataType.STRING, nullable=True)])
+
+
+def test_readding_a_dropped_column_meets_an_insert(store, monkeypatch):
+    table = plain(store)
+    store.insert("t", [{"id": 1, "v": 7}])
+    table.drop_columns(["v"])
+    rewrite, turns = Table._rewrite, []
+
+    def rewrite_and_be_overtaken(self, folders, change):
+        written = rewrite(self, folders, change)
+        if not turns:
+            turns.append(1)
+            store.insert("t", [{"id": 2}])
+        return written
+
+    monkeypatch.setattr(Table, "_rewrite", rewrite_and_be_overtaken)
+    table.add_columns([field("v", DataType.INT64, nullable=True)])
+    assert {r["id"]: r["v"] for r in store.query("t").collect()} == {1: None, 2: None}
+
+
+def test_partition_names_that_need_escaping(store):
+    rule = RangePartition([("p:0", 100), ("a b%=c", MAXVALUE)], expr="id")
+    plain(store, partitions=rule)
+    store.insert("t", [{"id": i, "v": 0} for i in (1, 2, 3, 150, 160)])
+    store.update("t", {"v": 5}, where="id in (2, 150)")
+    store.upsert("t", [{"id": 3, "v": 9}, {"id": 160, "v": 9}])
+    assert {r["id"]: r["v"] for r in store.query("t").collect()} == {1: 0, 2: 5, 3: 9, 150: 5, 160: 9}
+    store.delete("t", where="id = 1")
+    store.delete("t", partition="a b%=c")
+    assert {r["id"]: r["v"] for r in store.query("t").collect()} == {2: 5, 3: 9}
+
+
+def test_parallel_inserts_with_auto_ids_all_arrive(store):
+    store.create_table("t", table_schema([field("id", DataType.INT64, primary=True, auto_id=True), field("v", DataType.INT64)]))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda b: store.insert("t", [{"v": 10 * b + i} for i in range(5)]), range(4)))
+    rows = store.query("t").collect()
+    assert sorted(r["v"] for r in rows) == sorted(10 * b + i for b in range(4) for i in range(5))
+    assert len({r["id"] for r in rows}) == 20
+
+
+def test_deleted_ids_are_not_given_again(store):
+    store.create_table("t", table_schema([field("id", DataType.INT64, primary=True, auto_id=True), field("v", DataType.INT64)]))
+    store.insert("t", [{"v": 1}, {"v": 2}])
+    store.delete("t", ids=[2])
+    store.insert("t", [{"v": 3}])
+    assert ids(store.query("t")) == {1, 3}
+    store.insert("t", [{"id": 50, "v": 4}])
+    store.insert("t", [{"v": 5}])
+    assert ids(store.query("t")) == {1, 3, 50, 51}
+
+
+def test_one_deleted_row_rewrites_one_bucket(store, spark):
+    table = plain(store)
+    store.insert("t", spark.range(2000).selectExpr("id", "id as v"))
+    before = set(table.refresh().sources)
+    store.delete("t", ids=[77])
+    after = set(table.refresh().sources)
+    assert len(before) == 16 and len(before - after) == 1 and len(after - before) == 1
+    assert store.query("t").count() == 1999
+
+
+def test_upsert_needs_an_order_for_repeated_keys(store, spark):
+    plain(store)
+    rows = spark.createDataFrame([(1, 1), (1, 2)], "id long, v long")
+    with pytest.raises(DuplicateKey):
+        store.upsert("t", rows)
+    store.upsert("t", rows, order_by="v")
+    assert store.get("t", 1).first()["v"] == 2
+
+
+@pytest.mark.parametrize("count", [1000, 1001])
+def test_ids_of_any_type(store, spark, count):
+    plain(store)
+    store.insert("t", spark.range(3000).selectExpr("id", "id as v"))
+    wanted = [str(i) for i in range(count - 1)] + ["no number"]
+    assert store.get("t", wanted).count() == count - 1
+    store.delete("t", ids=wanted)
+    assert store.query("t").count() == 3000 - (count - 1)
+
+
+def test_reserved_names(store):
+    for name in ("__snap", "__part", "__source"):
+        with pytest.raises(ValueError):
+            store.create_table(f"t{name}", table_schema([field(name, DataType.INT64, primary=True)]))
+
+
+def test_staged_rows_are_removed(store):
+    store.create_table("t", table_schema([field("id", DataType.INT64, primary=True, auto_id=True), field("v", DataType.INT64)]))
+    store.insert("t", [{"v": 1}])
+    assert Table(store.spark, f"{store.root}/tables/t")._commits.folders(f"{store.root}/tables/t/staged") == []
+
+
+# --- indexes that live with their table ---------------------------------------------------
+
+INDEXES = [
+    {"name": "near", "column": "embedding", "nlist": 2},
+    {"name": "words", "column": "meta", "kind": "text", "buckets": 2},
+]
+
+
+@pytest.fixture
+def indexed(store):
+    store.create_collection("t", schema=vector_schema(), index_params=INDEXES)
+    return store
+
+
+def nearest(store, **options):
+    rows = store.ann_search("t", [0.0, 0.0, 0.0], "embedding", k=3, index="near", nprobe=2, with_score=True, **options).collect()
+    return [(r["id"], r["score"]) for r in rows]
+
+
+def test_indexes_before_the_rows(indexed):
+    assert nearest(indexed) == [] and indexed.bm25_search("t", "sea", "meta", index="words").count() == 0
+    indexed.insert("t", [{"id": i, "embedding": [float(i), 0.0, 0.0], "meta": f"sea number {i}"} for i in range(1, 6)])
+    assert nearest(indexed) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert ids(indexed.bm25_search("t", "sea", "meta", index="words")) == {1, 2, 3, 4, 5}
+    for full in (False, True):
+        indexed.rebuild_index("t", "near", full)
+        indexed.rebuild_index("t", "words", full)
+        assert nearest(indexed) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+        assert indexed.vector_index("t", "near").rows().count() == 5
+
+
+def test_search_sees_the_table_as_it_is(indexed):
+    indexed.insert("t", [{"id": i, "embedding": [float(i), 0.0, 0.0], "meta": "deep sea" if i < 4 else "sea"} for i in range(6)])
+    indexed.rebuild_index("t", "near")
+    indexed.rebuild_index("t", "words")
+    indexed.delete("t", ids=[0, 1])
+    indexed.upsert("t", [{"id": 4, "embedding": [0.5, 0.0, 0.0], "meta": "mountain"}])
+    assert nearest(indexed) == [(4, 0.5), (2, 2.0), (3, 3.0)]
+    found = indexed.bm25_search("t", "deep sea", "meta", 2, index="words", with_score=True).collect()
+    plain_ = indexed.bm25_search("t", "deep sea", "meta", 2, with_score=True).collect()
+    assert found == plain_ and [r["id"] for r in found] == [2, 3]
+    indexed.rebuild_index("t", "near", full=False)
+    indexed.rebuild_index("t", "words", full=False)
+    assert nearest(indexed) == [(4, 0.5), (2, 2.0), (3, 3.0)]
+    assert indexed.bm25_search("t", "deep sea", "meta", 2, index="words", with_score=True).collect() == plain_
+
+
+def test_a_refresh_assigns_only_new_folders(indexed):
+    indexed.insert("t", [{"id": i, "embedding": [float(i), 0.0, 0.0]} for i in range(5)])
+    first = indexed.rebuild_index("t", "near")
+    indexed.insert("t", [{"id": 9, "embedding": [9.0, 0.0, 0.0]}])
+    second = indexed.rebuild_index("t", "near", full=False)
+    assert second.state["parts"][:-1] == first.state["parts"] and second.rows().count() == 6
+    assert indexed.rebuild_index("t", "near", full=False).version == second.version
+
+
+def test_dropped_tables_take_their_indexes_along(indexed):
+    indexed.insert("t", [{"id": 1, "embedding": [1.0, 0.0, 0.0], "meta": "old"}])
+    indexed.rebuild_index("t", "near")
+    indexed.insert("t", {"id": 2, "embedding": [5.0, 0.0, 0.0]})
+    indexed.rename_collection("t", "u")
+    assert ids(indexed.ann_search("u", [0.0] * 3, "embedding", k=1, index="near", nprobe=2)) == {1}
+    indexed.rename_collection("u", "t")
+    indexed.drop_collection("t")
+    indexed.create_collection("t", schema=vector_schema())
+    with pytest.raises(ValueError):
+        indexed.vector_index("t", "near")
+
+
+def test_usual_metric_of_a_quick_collection(store):
+    store.create_collection("q", dimension=2, metric_type="cosine")
+    store.insert("q", [{"id": 1, "vector": [10.0, 0.0]}, {"id": 2, "vector": [1.0, 0.5]}])
+    assert store.ann_search("q", [1.0, 0.0], "vector", k=1).first()["id"] == 1
+    assert store.ann_search("q", [1.0, 0.0], "vector", "l2", k=1).first()["id"] == 2
+
+
+def test_text_partition_labels_stay_text(store):
+    rule = RangePartition([("00", 100), ("01", MAXVALUE)], expr="id")
+    store.create_table("t", vector_schema(), rule)
+    store.insert("t", [{"id": 1, "embedding": [1.0, 0.0, 0.0]}, {"id": 200, "embedding": [2.0, 0.0, 0.0]}])
+    store.create_vector_index("t", "near", "embedding", nlist=1)
+    assert ids(store.ann_search("t", [0.0] * 3, "embedding", index="near", partitions=["00"])) == {1}
+
+
+def test_hybrid_search_through_the_indexes_of_a_store(indexed):
+    indexed.insert("t", [{"id": i, "embedding": [float(i), 0.0, 0.0], "meta": f"deep sea {i}"} for i in range(6)])
+    body = {"query": {"match": {"meta": "sea 3"}}, "knn": {"field": "embedding", "query_vector": [0, 0, 0]}, "size": 4}
+    indexed.rebuild_index("t", "near")
+    indexed.insert("t", [{"id": 7, "embedding": [0.1, 0.0, 0.0], "meta": "sea 3"}])
+    exact = indexed.hybrid_search("t", body).collect()
+    assert indexed.hybrid_search("t", body, text_indexes={"meta": "words"}, vector_index="near", nprobe=2).collect() == exact
+    linear = indexed.search_hybrid("t", [0.0] * 3, "embedding", "sea 3", "meta", k=4, names=["id"]).collect()
+    assert indexed.search_hybrid("t", [0.0] * 3, "embedding", "sea 3", "meta", k=4, names=["id"], text_index="words").collect() == linear

@@ -72,9 +72,14 @@ class Commits:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(folder) if s.isDirectory())
 
+    def delete(self, name: str) -> None:
+        """Remove a folder below the root."""
+        self._fs.delete(self._path(f"{self.root}/{name}"), True)
+
     def delete_all(self) -> None:
         self._fs.delete(self._path(self.root), True)
 
     def move_to(self, root: str) -> None:
+        self._fs.mkdirs(self._path(root).getParent())
         if self._fs.exists(self._path(root)) or not self._fs.rename(self._path(self.root), self._path(root)):
             raise ValueError(f"cannot move {self.root} to {root}")

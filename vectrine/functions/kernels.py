@@ -20,12 +20,11 @@ def batch_matrix(column: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray
     holes = np.zeros(len(flat), dtype=bool) if flat.null_count == 0 else flat.is_null().to_numpy(zero_copy_only=False)
     starts = np.concatenate(([0], np.cumsum(np.maximum(lengths, 0))))[:-1]
     matrix = np.zeros((len(column), dim))
-    for i in np.flatnonzero(ok):
-        cut = slice(starts[i], starts[i] + dim)
-        if holes[cut].any():
-            ok[i] = False
-        else:
-            matrix[i] = values[cut]
+    found = np.flatnonzero(ok)
+    places = starts[found][:, None] + np.arange(dim)
+    whole = ~holes[places].any(axis=1)
+    matrix[found[whole]] = values[places[whole]]
+    ok[found[~whole]] = False
     return matrix, ok
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,38 @@ def tokens(text: Column | str) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def query_terms(spark: SparkSession, text: str) -> list[str]:
-    """Distinct tokens of a query string, cut by the same expression as the corpus."""
-    if not isinstance(text, str):
+def terms_of(spark: SparkSession, texts: Sequence[str]) -> list[list[str]]:
+    """Distinct tokens of each query text, cut by the same expression as the corpus, in one small job."""
+    if not all(isinstance(t, str) for t in texts):
         raise ValueError("a search text must be a string")
-    row = spark.range(1).select(F.array_distinct(tokens(F.lit(text))).alias("t")).first()
-    return list(row["t"])
+    if not texts:
+        return []
+    cut = spark.range(1).select(F.array(*[F.array_distinct(tokens(F.lit(t))) for t in texts]).alias("t"))
+    return [list(t) for t in cut.first()["t"]]
+
+
+def query_terms(spark: SparkSession, text: str) -> list[str]:
+    """Distinct tokens of one query text."""
+    return terms_of(spark, [text])[0]
+
+
+def term_counts(text: Column | str) -> Column:
+    """struct(length, array of (term, tf)): a text's tokens counted inside its row.
+
+    The tokens are sorted, so a term's count is the distance to the next one's first
+    place. The one-element arrays bind a value to a name, so it is not computed per use.
+    """
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        first = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        counted = F.transform(
+            F.array(first),
+            lambda at: F.transform(
+                at, lambda i, j: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, j + 1), n) - i).cast("long").alias("tf"))
+            ),
+        )[0]
+        return F.struct(n.alias("length"), counted.alias("terms"))
+
+    return F.transform(F.array(F.sort_array(tokens(text))), runs)[0]

@@ -130,11 +130,12 @@ class Metric:
     ascending: bool = True
 
     def score(self, vector: Column | str, query: Query) -> Column:
+        """The score of a row; NULL, which ranks last, also where it is no number."""
         if isinstance(query, Mapping):
             if self.sparse is None:
                 raise ValueError(f"metric {self.name!r} has no sparse form")
-            return self.sparse(to_column(vector), query)
-        return self.dense(to_column(vector), query)
+            return F.nanvl(self.sparse(to_column(vector), query), F.lit(None).cast("double"))
+        return F.nanvl(self.dense(to_column(vector), query), F.lit(None).cast("double"))
 
     def order(self, score: Column) -> Column:
         return score.asc_nulls_last() if self.ascending else score.desc_nulls_last()

@@ -1,37 +1,38 @@
-"""BM25 index of one text column: postings and document counts as Parquet."""
+"""BM25 index of one text: postings and document counts as Parquet."""
 
 from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import query_terms, tokens
+from ..commits import Commits
+from ..functions.text import query_terms, term_counts, tokens
 from ..functions.vectors import rounded
 from ..operators.bm25 import DIGITS, term_weight
-from ..operators.filters import Condition, apply_filter, in_partitions
+from ..operators.filters import IN_LIST_LIMIT, Condition, apply_filter, in_partitions
 from ..operators.knn import SCORE
 from ..operators.projection import Output, output_columns
-from ..commits import Commits
+from ..sources.table import SOURCE
 
-BROADCAST_ROWS = 10_000
-DOCUMENTS_PER_BUCKET = 100_000
-MOST_BUCKETS = 4096
+DOCUMENTS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS = 8
+BUCKET = "__bucket"
+# The source of rows that belong to no versioned table.
+ANYWHERE = ""
 
 
 def postings_of(df: DataFrame, key: str, column: str | Column) -> DataFrame:
-    """(key, term, tf, length): one row per document and distinct token.
-
-    The texts are spread by key first. That moves less than moving the postings
-    would, and the grouping below then needs no shuffle of its own.
-    """
+    """(key, term, tf, length[, source]): one row per document and distinct token, counted inside the row."""
     text = F.col(column) if isinstance(column, str) else column
-    cut = df.select(F.col(key), text.alias("x")).repartition(key).select(key, tokens("x").alias("t"))
-    exploded = cut.select(key, F.size("t").alias("length"), F.explode("t").alias("term"))
-    return exploded.groupBy(key, "length", "term").agg(F.count("*").alias("tf")).select(key, "term", "tf", "length")
+    kept = [F.col(f"`{c}`") for c in (key, SOURCE) if c in df.columns]
+    counted = df.select(*kept, term_counts(text).alias("__c"))
+    exploded = counted.select(*kept, F.col("__c.length").alias("length"), F.explode("__c.terms").alias("__t"))
+    return exploded.select(kept[0], "__t.term", "__t.tf", "length", *kept[1:])
 
 
 class TextIndex:
@@ -40,8 +41,14 @@ class TextIndex:
     A search reads only the folders of its terms, and within them only the row
     groups that can hold the term. Frequent terms fill several files: the layout
     shuffle splits oversized partitions instead of binding a term to one task.
+
+    An index of a versioned table (rows with the column ``SOURCE``) knows which of
+    the table's folders it covers. Folders are never changed, so a refresh adds
+    the postings of new ones, and those of folders that are gone are passed over.
     """
 
+    RESERVED = ("term", "tf", "length", BUCKET, SOURCE)
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -51,90 +58,135 @@ class TextIndex:
             raise ValueError(f"no text index at {path}")
         self.version = version
         self.state = self._commits.read(version)
-        self.key, self.column, self.buckets = self.state["key"], self.state["column"], self.state["buckets"]
+        self.key, self.columns, self.buckets = self.state["key"], self.state["columns"], self.state["buckets"]
 
     # --- building -----------------------------------------------------------------
 
     @classmethod
-    def build(cls, df: DataFrame, path: str, key: str, column: str, buckets: int | None = None) -> TextIndex:
-        """Index the whole table; an existing index at ``path`` gets a new version."""
+    def build(cls, df: DataFrame, path: str, key: str, column: str | Sequence[str], buckets: int | None = None) -> TextIndex:
+        """Index the whole table; an existing index at ``path`` gets a new version.
+
+        Several columns are read as one text, joined by spaces.
+        """
+        if key in cls.RESERVED:
+            raise ValueError(f"{key!r} is a name the index uses itself")
+        columns = [column] if isinstance(column, str) else list(column)
         if buckets is None:
-            buckets = min(MOST_BUCKETS, max(8, df.count() // DOCUMENTS_PER_BUCKET))
-        return cls._write(df, path, key, column, buckets, postings_of(df, key, column))
+            buckets = max(LEAST_BUCKETS, df.count() // DOCUMENTS_PER_BUCKET)
+        state = {"key": key, "columns": columns, "buckets": buckets, "parts": [], "sources": {}}
+        return cls._append(df, path, state)
+
+    @staticmethod
+    def _text(columns: Sequence[str]) -> Column:
+        return F.col(f"`{columns[0]}`") if len(columns) == 1 else F.concat_ws(" ", *[F.col(f"`{c}`") for c in columns])
 
     @classmethod
-    def _write(
-        cls, df: DataFrame, path: str, key: str, column: str, buckets: int, postings: DataFrame
-    ) -> TextIndex:
-        spark = df.sparkSession
-        commits = Commits(spark, path)
-        folder = f"{commits.root}/{uuid.uuid4().hex}"
+    def _append(cls, df: DataFrame, path: str, state: dict, kept: DataFrame | None = None) -> TextIndex:
+        """Commit ``state`` with the postings of ``df`` (beside those of ``kept``) as one more part."""
+        spark, commits = df.sparkSession, Commits(df.sparkSession, path)
+        part = uuid.uuid4().hex
+        folder = f"{commits.root}/{part}"
+        key, text = state["key"], cls._text(state["columns"])
+        rows = df if SOURCE in df.columns else df.withColumn(SOURCE, F.lit(ANYWHERE))
+        postings = postings_of(rows, key, text)
+        if kept is not None:
+            postings = postings.unionByName(kept)
         (
-            postings.withColumn("bucket", cls._bucket(F.col("term"), buckets))
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "term")
-            .write.partitionBy("bucket")
+            postings.withColumn(BUCKET, cls._bucket(F.col("term"), state["buckets"]))
+            .hint("rebalance", BUCKET)
+            .sortWithinPartitions(BUCKET, "term")
+            .write.partitionBy(BUCKET)
             .parquet(f"{folder}/postings")
         )
-        (
-            spark.read.parquet(f"{folder}/postings")
-            .groupBy("bucket", "term")
-            .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-            .repartition("bucket")
-            .sortWithinPartitions("bucket", "term")
-            .write.partitionBy("bucket")
-            .parquet(f"{folder}/terms")
-        )
-        df.select(key, *cls._digest(column)).write.parquet(f"{folder}/documents")
-        n = spark.read.parquet(f"{folder}/documents").count()
-        total = spark.read.parquet(f"{folder}/terms").agg(F.sum("cf")).first()[0] or 0
-        state = {"folder": folder, "key": key, "column": column, "buckets": buckets, "n": n, "tokens": total}
-        commits.write(commits.version() + 1, state)
-        return cls(spark, path)
+        state = {**state, "parts": [*state["parts"], part], "key_type": df.schema[key].dataType.simpleString()}
+        return cls._documents_of(rows, folder, state, commits, spark)
+
+    @classmethod
+    def _documents_of(cls, rows: DataFrame, folder: str, state: dict, commits: Commits, spark: SparkSession) -> TextIndex:
+        text = F.coalesce(cls._text(state["columns"]), F.lit(""))
+        digest = [F.xxhash64(text).alias("digest"), F.length(text).alias("chars")]
+        rows.select(F.col(f"`{state['key']}`"), SOURCE, *digest).write.parquet(f"{folder}/documents")
+        sizes = cls._read_part(spark, folder, state, "documents").groupBy(SOURCE).agg(F.count("*").alias("n"))
+        words = cls._read_part(spark, folder, state, "postings").groupBy(SOURCE).agg(F.sum("tf").alias("t"))
+        found = {r[SOURCE]: [r["n"], r["t"] or 0] for r in sizes.join(words, SOURCE, "left").collect()}  # a row per folder
+        commits.write(commits.version() + 1, {**state, "sources": {**state["sources"], **found}})
+        return cls(spark, commits.root)
 
     @staticmethod
     def _bucket(term: Column, buckets: int) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
-    @staticmethod
-    def _digest(column: str) -> list[Column]:
-        text = F.coalesce(F.col(column), F.lit(""))
-        return [F.xxhash64(text).alias("digest"), F.length(text).alias("chars")]
-
     def rebuild(self, df: DataFrame) -> TextIndex:
         """A full new version from the current table."""
-        return self.build(df, self.path, self.key, self.column, self.buckets)
+        return self.build(df, self.path, self.key, self.columns, self.buckets)
 
-    def refresh(self, df: DataFrame) -> TextIndex:
-        """A new version that cuts only new and changed texts into tokens again."""
+    def refresh(self, df: DataFrame, sources: Sequence[str] | None = None) -> TextIndex:
+        """A new version that cuts only new and changed texts into tokens.
+
+        With the table's ``sources`` only the rows of folders not covered yet are
+        read; else texts are compared by their digests with those indexed.
+        """
+        if sources is not None and ANYWHERE not in self.state["sources"]:
+            fresh = [s for s in sources if s not in self.state["sources"]]
+            state = {**self.state, "sources": {s: v for s, v in self.state["sources"].items() if s in set(sources)}}
+            return self._append(df.filter(F.col(SOURCE).isin(fresh)), self.path, state)
         identity = [self.key, "digest", "chars"]
-        now = df.select(self.key, *self._digest(self.column))
+        text = F.coalesce(self._text(self.columns), F.lit(""))
+        now = df.select(F.col(f"`{self.key}`"), F.xxhash64(text).alias("digest"), F.length(text).alias("chars"))
         before = self.documents()
         gone = before.join(now, identity, "left_anti").select(self.key)
         new = now.join(before, identity, "left_anti").select(self.key)
-        kept = self.postings().join(gone, self.key, "left_anti").select(self.key, "term", "tf", "length")
-        added = postings_of(df.join(new, self.key, "left_semi"), self.key, self.column)
-        return self._write(df, self.path, self.key, self.column, self.buckets, kept.unionByName(added))
+        kept = self.postings().join(gone, self.key, "left_anti").select(self.key, "term", "tf", "length", F.lit(ANYWHERE).alias(SOURCE))
+        added = df.drop(SOURCE).join(new, self.key, "left_semi")
+        return self._replace(df.drop(SOURCE), added, kept)
+
+    def _replace(self, df: DataFrame, added: DataFrame, kept: DataFrame) -> TextIndex:
+        """One part from postings kept and rows added; the documents are those of ``df``."""
+        state = {**self.state, "parts": [], "sources": {}}
+        commits = Commits(self.spark, self.path)
+        part = uuid.uuid4().hex
+        folder = f"{commits.root}/{part}"
+        rows = postings_of(added.withColumn(SOURCE, F.lit(ANYWHERE)), self.key, self._text(self.columns)).unionByName(kept)
+        rows.withColumn(BUCKET, self._bucket(F.col("term"), self.buckets)).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "term").write.partitionBy(
+            BUCKET
+        ).parquet(f"{folder}/postings")
+        state["parts"] = [part]
+        return self._documents_of(df.withColumn(SOURCE, F.lit(ANYWHERE)), folder, state, commits, self.spark)
 
     # --- reading ------------------------------------------------------------------
 
-    def _read(self, part: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.state['folder']}/{part}")
+    @staticmethod
+    def _read_part(spark: SparkSession, folder: str, state: Mapping, part: str) -> DataFrame:
+        key = f"`{state['key']}` {state['key_type']}"
+        schemas = {
+            "postings": f"{key}, term string, tf long, length int, {SOURCE} string, {BUCKET} int",
+            "documents": f"{key}, {SOURCE} string, digest long, chars int",
+        }
+        return spark.read.schema(schemas[part]).parquet(f"{folder}/{part}")
+
+    def _read(self, part: str, sources: Sequence[str] | None = None) -> DataFrame:
+        """All parts; only rows of these sources, or of all that the index counts."""
+        rows = reduce(DataFrame.unionByName, [self._read_part(self.spark, f"{self.path}/{f}", self.state, part) for f in self.state["parts"]])
+        wanted = list(self.state["sources"]) if sources is None else [s for s in sources if s in self.state["sources"]]
+        return rows.filter(F.col(SOURCE).isin(wanted)) if wanted != [ANYWHERE] else rows
+
+    def covered(self, sources: Sequence[str]) -> list[str]:
+        return [s for s in sources if s in self.state["sources"]]
 
     def postings(self) -> DataFrame:
-        """(key, term, tf, length, bucket)."""
-        return self._read("postings")
+        """(key, term, tf, length)."""
+        return self._read("postings").select(self.key, "term", "tf", "length")
 
     def terms(self) -> DataFrame:
-        """(term, df, cf, bucket): documents holding the term and its occurrences."""
-        return self._read("terms")
+        """(term, df, cf): documents holding the term and its occurrences."""
+        return self._read("postings").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
     def documents(self) -> DataFrame:
-        return self._read("documents")
+        return self._read("documents").drop(SOURCE)
 
     def statistics(self) -> DataFrame:
-        """One row: documents, tokens and mean document length."""
-        n, total = self.state["n"], self.state["tokens"]
+        """One row: documents, tokens, mean document length and terms."""
+        n, total = self._totals(None)
         return self.terms().agg(
             F.lit(n).cast("long").alias("n_docs"),
             F.coalesce(F.sum("cf"), F.lit(0)).alias("n_tokens"),
@@ -142,18 +194,31 @@ class TextIndex:
             F.count("*").alias("n_terms"),
         )
 
-    def scores(self, text: str, digits: int | None = DIGITS) -> DataFrame:
-        """(key, score) of every document holding a query term."""
+    def _totals(self, sources: Sequence[str] | None) -> tuple[int, int]:
+        counts = self.state["sources"]
+        rows = list(counts.values()) if sources is None else [counts[s] for s in sources if s in counts]
+        return sum(r[0] for r in rows), sum(r[1] for r in rows)
+
+    def scores(self, text: str, digits: int | None = DIGITS, *, sources: Sequence[str] | None = None, fresh: DataFrame | None = None) -> DataFrame:
+        """(key, score) of every document holding a query term.
+
+        ``sources`` limits the index to folders the table still has; ``fresh`` are
+        the table's rows in folders the index does not cover, counted in place.
+        """
         wanted = query_terms(self.spark, text)
         # at most one row per query term comes back
         probes = self.spark.createDataFrame([(t,) for t in wanted], "term string")
         buckets = [r[0] for r in probes.select(self._bucket(F.col("term"), self.buckets)).distinct().collect()]
-        known = (
-            self.terms().filter(F.col("bucket").isin(buckets) & F.col("term").isin(wanted)).select("term", "df").collect()
-        )
-        n = self.state["n"]
-        mean_length = F.lit(self.state["tokens"] / n if n else 0.0)
-        hits = self.postings().filter(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
+        stored = self._read("postings", sources).filter(F.col(BUCKET).isin(buckets) & F.col("term").isin(wanted))
+        hits = stored.select(self.key, "term", "tf", "length")
+        n, total = self._totals(sources)
+        if fresh is not None:
+            new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns))
+            hits = hits.unionByName(new.filter(F.col("term").isin(wanted)))
+            more = fresh.select(F.size(tokens(self._text(self.columns))).alias("x")).agg(F.count("*"), F.coalesce(F.sum("x"), F.lit(0))).first()
+            n, total = n + more[0], total + more[1]
+        known = hits.groupBy("term").agg(F.count("*").alias("df")).collect()
+        mean_length = F.lit(total / n if n else 0.0)
         weight = F.lit(0.0)
         for row in known:
             weight = F.when(F.col("term") == row["term"], math.log(1 + (n - row["df"] + 0.5) / (row["df"] + 0.5))).otherwise(weight)
@@ -174,19 +239,33 @@ class TextIndex:
         extra: Sequence[Output] | None = None,
         with_score: bool = False,
         digits: int | None = DIGITS,
+        sources: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Top ``k`` rows of the indexed table ``df`` by BM25, ties by key."""
-        output = output_columns(df.columns, names, columns, extra)
-        found = self.scores(text, digits).withColumnRenamed(SCORE, "__bm25")
+        """Top ``k`` rows of the table ``df`` by BM25, ties by key.
+
+        Only rows that ``df`` has now are ranked, before the cut to ``k``. With the
+        table's ``sources`` the result is that of an index built anew: folders that
+        are gone are passed over, and new ones are counted in place.
+        """
+        output = output_columns([c for c in df.columns if c != SOURCE], names, columns, extra)
+        tracked = sources is not None and ANYWHERE not in self.state["sources"]
+        fresh = None
+        if tracked:
+            missing = [s for s in sources if s not in self.state["sources"]]
+            fresh = df.filter(F.col(SOURCE).isin(missing)) if missing else None
+        found = self.scores(text, digits, sources=sources if tracked else None, fresh=fresh).withColumnRenamed(SCORE, "__bm25")
         if threshold is not None:
             found = found.filter(F.col("__bm25") >= F.lit(float(threshold)))
         order = [F.col("__bm25").desc_nulls_last(), F.col(self.key).asc()]
-        if where is not None or partitions is not None:
+        if where is not None or partitions is not None or not tracked:
             allowed = apply_filter(in_partitions(df, partitions), where)
             found = found.join(allowed.select(self.key), self.key, "left_semi")
         best = found.orderBy(*order).limit(k)
-        if k <= BROADCAST_ROWS:
-            best = F.broadcast(best)
         if with_score:
             output.append(F.col("__bm25").alias(SCORE))
+        if k <= IN_LIST_LIMIT:
+            # at most k rows come back; their keys reach the scan of the table
+            rows = best.collect()
+            best = F.broadcast(self.spark.createDataFrame(rows, best.schema))
+            df = df.filter(F.col(self.key).isin([r[self.key] for r in rows]) if rows else F.lit(False))
         return df.join(best, self.key).orderBy(*order).limit(k).select(*output)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,18 +14,21 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.kernels import batch_matrix, nearest_rows, unit_rows
-from ..functions.vectors import float32, metric as find_metric, squared_norm
+from ..functions.vectors import float32, metric as find_metric, rounded, squared_norm
 from ..operators.filters import Condition, apply_filter, in_partitions
 from ..operators.knn import knn
 from ..commits import Commits
+from ..sources.table import SOURCE
 
 METRICS = ("l2", "cosine")
-CELL, CODES = "cell", "codes"
-# Rows whose vector is NULL, or zero under cosine, have no nearest centroid.
+# Columns that indexed rows carry beside the table's.
+CELL, CODES = "__cell", "__codes"
+# Rows whose vector has no nearest centroid: NULL, of another length, with a hole or
+# NaN, or zero under cosine.
 NO_CELL = -1
-ROWS_PER_CENTROID = 256
 BLOCK_BYTES = 64 << 20
 BROADCAST_ROWS = 10_000
 
@@ -36,15 +40,20 @@ def _normalised(vector: Column) -> Column:
 
 
 def _trainable(df: DataFrame, vector: str, metric: str) -> DataFrame:
-    """One column ``v`` of the vectors without holes, for cosine also without zero vectors."""
-    v = F.col(vector)
-    usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull())
+    """One column ``v`` of the vectors without holes and NaN, for cosine also without zero vectors."""
+    v = F.col(f"`{vector}`")
+    usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x))
     if metric == "cosine":
         usable = usable & F.exists(v, lambda x: x != F.lit(0.0))
     return df.select(v.alias("v")).filter(usable)
 
 
 def _centres(rows: DataFrame, k: int, seed: int) -> np.ndarray:
+    """Centroids by KMeans; no more than there are different vectors."""
+    k = min(k, rows.select(F.xxhash64("v")).distinct().limit(k).count())
+    if k == 1:
+        n = len(rows.first()["v"])
+        return np.array([rows.agg(*[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(n)]).first()])
     points = rows.select(array_to_vector(F.col("v")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=10, initSteps=2).fit(points)
     return np.array(model.clusterCenters())
@@ -57,6 +66,7 @@ def _nearest_of(block, start: int, dim: int, metric: str):
     def nearest(batch: pa.Array) -> pa.Array:
         c = block.value
         x, ok = batch_matrix(batch, dim)
+        ok = ok & ~np.isnan(x).any(axis=1)
         if metric == "cosine":
             ok = ok & (x != 0).any(axis=1)
             x = unit_rows(x)
@@ -109,9 +119,14 @@ def _encode(spark: SparkSession, vector: Column, codebooks: list[np.ndarray], di
 class VectorIndex:
     """The table's rows stored by cell; a search reads only the cells nearest the query.
 
-    Centroids and codebooks are trained on a bounded number of rows; every row
-    is then assigned. Cells that hold far more rows than others are written as
-    several files by several tasks.
+    Centroids and codebooks are trained once; every row is then assigned. Cells that
+    hold far more rows than others are written as several files by several tasks.
+    Without a usable vector an index is untrained: its rows have no cell and every
+    search reads them all; a refresh trains it.
+
+    An index of a versioned table (rows with the column ``SOURCE``) knows which of the
+    table's folders it covers. Folders are never changed, so a refresh assigns the
+    rows of new ones only, and rows of folders that are gone are passed over.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -142,105 +157,158 @@ class VectorIndex:
         pq_codes: int = 256,
         train_rows: int | None = None,
         seed: int = 42,
+        dim: int | None = None,
+        sources: Sequence[str] | None = None,
+        centroids: Sequence[Sequence[float]] | None = None,
+        codebooks: Sequence[Sequence[Sequence[float]]] | None = None,
     ) -> VectorIndex:
         """Train centroids (and codebooks), assign every row, write a new version.
 
-        ``local`` names partition columns: cells are then kept per partition.
-        ``train_rows`` bounds the rows KMeans sees, not the rows indexed.
+        ``local`` names partition columns: cells are then kept per partition. All
+        usable rows are trained on, unless ``train_rows`` bounds the rows KMeans
+        sees; every row is indexed. The vectors' length is ``dim``, else the one
+        declared in the column's metadata, else the most frequent one; rows of
+        another length have no cell. Given ``centroids`` (and ``codebooks``, one
+        list of codes per segment) are used as they are.
         """
         name = find_metric(metric).name
         if name not in METRICS:
             raise ValueError(f"an IVF index serves {', '.join(METRICS)}, not {name}")
         if not 1 <= pq_codes <= 1 << 15:
             raise ValueError("pq_codes must lie between 1 and 32768")
-        usable = _trainable(df, vector, name)
-        size = usable.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-        if not size["n"]:
-            raise ValueError("no vectors to train on")
-        wanted = train_rows or ROWS_PER_CENTROID * max(nlist, pq_codes if pq_segments else 0)
-        usable = usable.filter(F.size("v") == size["dim"])
-        if size["n"] > wanted:
-            usable = usable.sample(min(1.0, wanted / size["n"]), seed=seed)
-        sample_path = f"{path.rstrip('/')}/{uuid.uuid4().hex}/training"
+        taken = {CELL, CODES} & set(df.columns)
+        if taken:
+            raise ValueError(f"reserved column names: {', '.join(sorted(taken))}")
+        options = {"nlist": nlist, "pq_segments": pq_segments, "pq_codes": pq_codes, "train_rows": train_rows, "seed": seed}
+        dim = dim or df.schema[vector].metadata.get("dim") or (len(centroids[0]) if centroids else None)
+        centres, books = None, None
+        if centroids is not None:
+            centres = np.array([[float32(x) for x in c] for c in centroids])
+            books = [np.array(b, dtype=np.float64) for b in codebooks] if codebooks is not None else None
+            if name == "cosine":
+                centres = unit_rows(centres)
+        else:
+            dim, centres, books = cls._train(df, path, vector, name, dim, **options)
+        state = {
+            "key": key,
+            "vector": vector,
+            "metric": name,
+            "local": list(local),
+            "nlist": 0 if centres is None else len(centres),
+            "dim": dim,
+            "segments": len(books) if books is not None else 0,
+            "columns": [c for c in df.columns if c not in (SOURCE, *local)],
+            "schema": df.schema.jsonValue(),
+            "options": options,
+            "parts": [],
+            "sources": None,
+        }
+        return cls._append(df, path, state, centres, books, sources)
+
+    @classmethod
+    def _train(cls, df, path, vector, metric, dim, nlist, pq_segments, pq_codes, train_rows, seed):
+        """(length, centroids, codebooks); no centroids where no row can be trained on."""
+        spark, commits = df.sparkSession, Commits(df.sparkSession, path)
+        usable = _trainable(df, vector, metric)
+        lengths = {r["d"]: r["n"] for r in usable.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+        lengths.pop(0, None)
+        if dim is None and lengths:
+            dim = max(lengths, key=lambda d: (lengths[d], d))
+        rows = lengths.get(dim, 0)
+        if not rows:
+            return dim, None, None
+        usable = usable.filter(F.size("v") == dim)
+        if train_rows and rows > train_rows:
+            usable = usable.sample(min(1.0, train_rows / rows), seed=seed)
+        training = f"training-{uuid.uuid4().hex}"
         v = F.col("v")
-        usable.select((_normalised(v) if name == "cosine" else v.cast("array<double>")).alias("v")).write.parquet(sample_path)
-        sample = df.sparkSession.read.parquet(sample_path)
-        centres = _centres(sample, nlist, seed)
-        books = None
+        usable.select((_normalised(v) if metric == "cosine" else v.cast("array<double>")).alias("v")).write.parquet(f"{commits.root}/{training}")
+        sample = spark.read.schema("v array<double>").parquet(f"{commits.root}/{training}")
+        centres, books = _centres(sample, nlist, seed), None
         if pq_segments:
-            bounds = segment_bounds(size["dim"], pq_segments)
 
             def train(cut: tuple[int, int]) -> np.ndarray:
-                part = sample.select(F.slice("v", cut[0] + 1, cut[1] - cut[0]).alias("v"))
-                return _centres(part, pq_codes, seed)
+                return _centres(sample.select(F.slice("v", cut[0] + 1, cut[1] - cut[0]).alias("v")), pq_codes, seed)
 
+            bounds = segment_bounds(dim, pq_segments)
             with ThreadPoolExecutor(min(8, len(bounds))) as pool:
                 books = list(pool.map(train, bounds))
-        return cls._write(df, path, key, vector, name, list(local), centres, books)
+        commits.delete(training)
+        return dim, centres, books
 
     @classmethod
-    def _write(cls, df, path, key, vector, metric, local, centres, books) -> VectorIndex:
-        spark = df.sparkSession
-        commits = Commits(spark, path)
-        folder = f"{commits.root}/{uuid.uuid4().hex}"
-        dim = centres.shape[1]
-        cell = F.coalesce(_nearest(spark, F.col(vector), centres, metric), F.lit(NO_CELL))
+    def _append(cls, df, path, state, centres, books, sources) -> VectorIndex:
+        """Assign the rows of ``df`` and commit ``state`` with them as one more part."""
+        spark, commits = df.sparkSession, Commits(df.sparkSession, path)
+        part = uuid.uuid4().hex
+        folder = f"{commits.root}/{part}"
+        metric, local, dim = state["metric"], state["local"], state["dim"]
+        vector = F.col(f"`{state['vector']}`")
+        cell = F.lit(NO_CELL) if centres is None else F.coalesce(_nearest(spark, vector, centres, metric), F.lit(NO_CELL))
         rows = df.withColumn(CELL, cell)
         if books is not None:
-            rows = rows.withColumn(CODES, _encode(spark, F.col(vector), books, dim, metric))
-            tables = [(s, c, row.tolist()) for s, book in enumerate(books) for c, row in enumerate(book)]
-            spark.createDataFrame(tables, "segment int, code int, centre array<double>").write.parquet(
-                f"{folder}/codebooks"
-            )
+            rows = rows.withColumn(CODES, _encode(spark, vector, books, dim, metric))
         rows.hint("rebalance", *local, CELL).write.partitionBy(*local, CELL).parquet(f"{folder}/rows")
-        spark.createDataFrame(
-            [(i, c.tolist()) for i, c in enumerate(centres)], "cell int, centroid array<double>"
-        ).write.parquet(f"{folder}/centroids")
-        state = {
-            "folder": folder,
-            "key": key,
-            "vector": vector,
-            "metric": metric,
-            "local": local,
-            "nlist": len(centres),
-            "dim": dim,
-            "segments": len(books) if books is not None else 0,
-            "columns": df.columns,
-        }
-        commits.write(commits.version() + 1, state)
+        if not state["parts"]:
+            cls._write_trained(spark, folder, centres, books)
+        covered = None if sources is None else sorted(set(sources))
+        commits.write(commits.version() + 1, {**state, "parts": [*state["parts"], part], "sources": covered})
         return cls(spark, path)
 
+    @staticmethod
+    def _write_trained(spark: SparkSession, folder: str, centres, books) -> None:
+        tables = [(s, c, row.tolist()) for s, book in enumerate(books or []) for c, row in enumerate(book)]
+        spark.createDataFrame(tables, "segment int, code int, centre array<double>").write.parquet(f"{folder}/codebooks")
+        rows = [] if centres is None else [(i, c.tolist()) for i, c in enumerate(centres)]
+        spark.createDataFrame(rows, f"{CELL} int, centroid array<double>").write.parquet(f"{folder}/centroids")
+
     def rebuild(self, df: DataFrame, **options) -> VectorIndex:
         """Train again on the current table."""
-        if self.state["segments"]:
-            options = {
-                "pq_segments": self.state["segments"],
-                "pq_codes": self.codebooks().agg(F.max("code")).first()[0] + 1,
-                **options,
-            }
-        options = {"nlist": self.nlist, "metric": self.metric, "local": self.local, **options}
+        options = {**self.state["options"], "metric": self.metric, "local": self.local, "dim": self.dim, **options}
         return self.build(df, self.path, self.key, self.vector, **options)
 
-    def refresh(self, df: DataFrame) -> VectorIndex:
-        """Assign the current table to the centroids already trained."""
-        return self._write(
-            df, self.path, self.key, self.vector, self.metric, self.local, self._centre_matrix(), self._books()
-        )
+    def refresh(self, df: DataFrame, sources: Sequence[str] | None = None) -> VectorIndex:
+        """Assign the current table to the centroids already trained.
 
-    # --- reading ------------------------------------------------------------------
+        With the table's ``sources`` only rows of folders not covered yet are
+        assigned; else all rows are. An untrained index is built.
+        """
+        if not self.nlist:
+            return self.rebuild(df, sources=sources)
+        centres, books = self._centre_matrix(), self._books()
+        if sources is None or self.state["sources"] is None:
+            state = {**self.state, "parts": [], "schema": df.schema.jsonValue()}
+            return self._append(df, self.path, state, centres, books, sources)
+        fresh = [s for s in sources if s not in self.state["sources"]]
+        return self._append(df.filter(F.col(SOURCE).isin(fresh)), self.path, self.state, centres, books, sources)
 
-    def _read(self, part: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.state['folder']}/{part}")
+    # --- reading ------------------------------------------------------------------
 
-    def rows(self) -> DataFrame:
-        """The table's columns plus ``cell`` (and ``codes``)."""
-        return self._read("rows")
+    def _read(self, part: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{self.state['parts'][0]}/{part}")
+
+    def rows(self, sources: Sequence[str] | None = None) -> DataFrame:
+        """The table's columns plus ``CELL`` (and ``CODES``); only rows of folders the table has (or of ``sources``)."""
+        fields = [f for f in T.StructType.fromJson(self.state["schema"]) if f.name not in self.local]
+        fields += [T.StructField(CODES, T.ArrayType(T.ShortType()))] if self.state["segments"] else []
+        fields += [T.StructField(c, T.StringType()) for c in self.local] + [T.StructField(CELL, T.IntegerType())]
+        rows = [self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{p}/rows") for p in self.state["parts"]]
+        out = reduce(DataFrame.unionByName, rows)
+        if self.state["sources"] is None:
+            return out
+        held = self.state["sources"] if sources is None else self.covered(sources)
+        return out.filter(F.col(SOURCE).isin(held))
+
+    def covered(self, sources: Sequence[str]) -> list[str]:
+        """The folders among ``sources`` whose rows are indexed."""
+        known = set(self.state["sources"] or ())
+        return [s for s in sources if s in known]
 
     def centroids(self) -> DataFrame:
-        return self._read("centroids")
+        return self._read("centroids", f"{CELL} int, centroid array<double>")
 
     def codebooks(self) -> DataFrame:
-        return self._read("codebooks")
+        return self._read("codebooks", "segment int, code int, centre array<double>")
 
     def _centre_matrix(self) -> np.ndarray:
         return np.array([r["centroid"] for r in self.centroids().orderBy(CELL).collect()])
@@ -258,14 +326,15 @@ class VectorIndex:
         norm = float(np.sqrt((q * q).sum()))
         return q / norm if self.metric == "cosine" and norm > 0 else q
 
-    def probe(self, query: Sequence[float], nprobe: int) -> DataFrame:
-        """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on."""
-        if nprobe >= self.nlist:
-            return self.rows()
+    def near_cells(self, query: Sequence[float], nprobe: int) -> list[int]:
         gap = F.zip_with("centroid", F.lit(self._trained_form(query)), lambda x, y: x - y)
         far = F.aggregate(gap, F.lit(0.0), lambda acc, d: acc + d * d)
-        near = self.centroids().orderBy(far, CELL).limit(nprobe).select(CELL).collect()
-        return self.rows().filter(F.col(CELL).isin([r[CELL] for r in near]))
+        return [r[CELL] for r in self.centroids().orderBy(far, CELL).limit(nprobe).select(CELL).collect()]
+
+    def probe(self, query: Sequence[float], nprobe: int, sources: Sequence[str] | None = None) -> DataFrame:
+        """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on."""
+        rows = self.rows(sources)
+        return rows if nprobe >= self.nlist else rows.filter(F.col(CELL).isin(self.near_cells(query, nprobe)))
 
     def _approximate(self, query: Sequence[float]) -> Column:
         """Squared distance from the query to the coded form of a row, by table lookup."""
@@ -287,29 +356,39 @@ class VectorIndex:
         partitions: Sequence[str] | None = None,
         names: Sequence[str] | None = None,
         post_filter: bool = False,
+        expand: int | None = None,
+        sources: Sequence[str] | None = None,
+        fresh: DataFrame | None = None,
+        digits: int | None = None,
         **options,
     ) -> DataFrame:
         """Top ``k`` of the probed cells by exact distance; takes the options of ``knn``.
 
         With ``refine``, the codes first pick the best ``k * refine`` rows and only
         those are ranked exactly. At ``nprobe=nlist`` without it the result is exact.
+        ``sources`` are the folders the table has now and ``fresh`` its rows in
+        folders the index does not cover: they are ranked exactly beside the cells.
         """
-        rows = in_partitions(self.probe(query, nprobe), partitions)
-        if post_filter:
-            options |= {"where": where, "post_filter": True}
+        rows = in_partitions(self.probe(query, nprobe, sources), partitions)
+        new = None if fresh is None else in_partitions(fresh, partitions)
+        narrow = post_filter and expand is not None
+        if narrow:
+            options |= {"where": where, "post_filter": True, "expand": expand}
         else:
             rows = apply_filter(rows, where)
+            new = None if new is None else apply_filter(new, where)
         if refine is not None:
             if not self.state["segments"]:
                 raise ValueError("this index holds no codes")
             picked = (
-                rows.select(self.key, self._approximate(query).alias("__near"))
+                rows.select(self.key, rounded(self._approximate(query), digits).alias("__near"))
                 .orderBy(F.col("__near").asc_nulls_last(), self.key)
                 .limit(k * refine)
                 .select(self.key)
             )
             small = k * refine <= BROADCAST_ROWS
             rows = rows.join(F.broadcast(picked) if small else picked, self.key, "left_semi")
-        return knn(
-            rows, query, self.vector, self.metric, k, key=self.key, names=names or self.state["columns"], **options
-        )
+        rows = rows.drop(CELL, CODES, SOURCE)
+        if new is not None:
+            rows = rows.unionByName(new.select(*rows.columns))
+        return knn(rows, query, self.vector, self.metric, k, key=self.key, names=names or self.state["columns"], digits=digits, **options)

@@ -9,19 +9,24 @@ the rows where they lie; nothing is exploded or shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import add, or_
+from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import query_terms, tokens
+from ..functions.text import terms_of, tokens
 from ..functions.vectors import rounded
 from ..session import spread
 from .filters import Condition, apply_filter, in_partitions
 from .knn import SCORE, _keys
 from .projection import Output, output_columns
 
+if TYPE_CHECKING:
+    from ..indexes.postings import TextIndex
+
 # The usual saturation and length weights.
 K1 = 1.2
 B = 0.75
@@ -58,27 +63,54 @@ def _counted(text: Column, terms: Sequence[str]) -> Column:
     return F.transform(F.array(tokens(text)), count)[0]
 
 
-def _corpus_statistics(corpus: DataFrame, text: Column, terms: Sequence[str]) -> Column:
-    """Scalar subquery: struct(n, mean_length, df per term) over the whole corpus."""
-    counts = spread(corpus.select(text.alias("x"))).select(_counted(F.col("x"), terms).alias("c"))
-    # one SQL text: a Column call per term would take longer than the query itself
-    document_counts = ", ".join(f"sum(double(c.tf[{j}] > 0))" for j in range(len(terms)))
-    return counts.agg(
-        F.struct(
-            F.count("*").cast("double").alias("n"),
-            F.avg("c.length").alias("mean_length"),
-            F.expr(f"array({document_counts})").alias("df"),
-        ).alias("s")
-    ).scalar()
+@dataclass
+class _Texts:
+    """The clauses on one text: its distinct query terms, and how many clauses hold each."""
+
+    column: Column
+    terms: list[str]
+    times: list[int]
 
 
-def _summed_weights(tf: Column, length: Column, stats: Column, k1: float, b: float) -> Column:
-    """Sum over the terms of idf times saturated frequency."""
+def _by_text(spark: SparkSession, clauses: Sequence[tuple[str | Column, str]]) -> list[_Texts]:
+    """Clauses on one named column share its cut; clauses without a term fall away."""
+    found: dict[object, _Texts] = {}
+    for i, ((field, _), terms) in enumerate(zip(clauses, terms_of(spark, [text for _, text in clauses]))):
+        if not terms:
+            continue
+        named = isinstance(field, str)
+        group = found.setdefault(field if named else i, _Texts(F.col(field) if named else field, [], []))
+        for t in terms:
+            if t in group.terms:
+                group.times[group.terms.index(t)] += 1
+            else:
+                group.terms.append(t)
+                group.times.append(1)
+    return list(found.values())
+
+
+def _corpus_statistics(corpus: DataFrame, texts: Sequence[_Texts]) -> Column:
+    """Scalar subquery, one pass over the corpus: per text a struct(n, mean_length, df per term)."""
+    cuts = [_counted(F.col(f"x{i}"), t.terms).alias(f"c{i}") for i, t in enumerate(texts)]
+    counts = spread(corpus.select(*[t.column.alias(f"x{i}") for i, t in enumerate(texts)])).select(*cuts)
+    # SQL text: a Column call per term would take longer than the query itself
+    parts = [
+        f"named_struct('n', double(count(1)), 'mean_length', avg(c{i}.length), "
+        f"'df', array({', '.join(f'sum(double(c{i}.tf[{j}] > 0))' for j in range(len(t.terms)))})) AS s{i}"
+        for i, t in enumerate(texts)
+    ]
+    return counts.selectExpr(*parts).agg(F.first(F.struct(*[f"s{i}" for i in range(len(texts))])).alias("s")).scalar()
+
+
+def _summed_weights(counts: Column, text: _Texts, stats: Column, k1: float, b: float) -> Column:
+    """Sum over the terms of idf times saturated frequency, a term counting once per clause that holds it."""
     weights = F.zip_with(
-        tf,
+        counts["tf"],
         stats["df"],
-        lambda f, d: idf(stats["n"], d) * term_weight(f, length, stats["mean_length"], k1, b),
+        lambda f, d: idf(stats["n"], d) * term_weight(f, counts["length"], stats["mean_length"], k1, b),
     )
+    if any(n > 1 for n in text.times):
+        weights = F.zip_with(weights, F.lit([float(n) for n in text.times]), lambda w, n: w * n)
     return F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
 
 
@@ -92,31 +124,24 @@ def with_bm25(
     digits: int | None = DIGITS,
     k1: float = K1,
     b: float = B,
+    few_rows: bool = False,
 ) -> DataFrame:
     """Append the summed BM25 score of (text column, query text) clauses, and whether any term matched.
 
     Without a clause or a query term the score is 0.0 and nothing matches.
-    ``corpus`` supplies the statistics when ``df`` is a filtered part of it.
+    ``corpus`` supplies the statistics when ``df`` is a part of it; ``few_rows``
+    says that this part is small and need not be spread over the cores.
     """
     corpus = df if corpus is None else corpus
-    parts, hits, helpers = [], [], []
-    out = spread(df) if clauses else df
-    for i, (field, text) in enumerate(clauses):
-        terms = query_terms(df.sparkSession, text)
-        if not terms:
-            continue
-        column = F.col(field) if isinstance(field, str) else field
-        counts, stats = f"__counts{i}", f"__stats{i}"
-        helpers += [counts, stats]
-        out = out.withColumns(
-            {counts: _counted(column, terms), stats: _corpus_statistics(corpus, column, terms)}
-        )
-        tf, length = F.col(counts)["tf"], F.col(counts)["length"]
-        hits.append(F.array_max(tf) > 0)
-        parts.append(_summed_weights(tf, length, F.col(stats), k1, b))
-    total = reduce(add, parts) if parts else F.lit(0.0)
-    any_hit = reduce(or_, hits) if hits else F.lit(False)
-    return out.withColumns({score: rounded(total, digits), matched: any_hit}).drop(*helpers)
+    texts = _by_text(df.sparkSession, clauses)
+    if not texts:
+        return df.withColumns({score: F.lit(0.0), matched: F.lit(False)})
+    out = df if few_rows else spread(df)
+    counts = {f"__counts{i}": _counted(t.column, t.terms) for i, t in enumerate(texts)}
+    out = out.withColumns({**counts, "__stats": _corpus_statistics(corpus, texts)})
+    parts = [_summed_weights(F.col(c), t, F.col("__stats")[f"s{i}"], k1, b) for i, (c, t) in enumerate(zip(counts, texts))]
+    hits = [F.array_max(F.col(c)["tf"]) > 0 for c in counts]
+    return out.withColumns({score: rounded(reduce(add, parts), digits), matched: reduce(or_, hits)}).drop(*counts, "__stats")
 
 
 def bm25_search(
@@ -159,11 +184,22 @@ def bm25_search(
 
 
 def match_against(
-    df: DataFrame, text: str, columns: Sequence[str], k: int = 10, *, key: str | Sequence[str], **options
+    df: DataFrame,
+    text: str,
+    columns: Sequence[str],
+    k: int = 10,
+    *,
+    key: str | Sequence[str],
+    index: TextIndex | None = None,
+    **options,
 ) -> DataFrame:
-    """BM25 of one query against several columns read as one text."""
+    """BM25 of one query against several columns read as one text; through an index over the same columns if given."""
     if not columns:
         raise ValueError("match_against needs at least one column")
+    if index is not None:
+        if index.columns != list(columns):
+            raise ValueError(f"the index reads {index.columns}, not {list(columns)}")
+        return index.search(df, text, k, **options)
     return bm25_search(df, text, F.concat_ws(" ", *columns), k, key=key, **options)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .projection import Output, expression, project
 
 Condition = Column | str | Sequence[Column | str]
+# A longer list would make the plan's text, not the result, unwieldy.
 IN_LIST_LIMIT = 1000
 
 
@@ -58,6 +59,18 @@ def single_key(key: str | Sequence[str]) -> str:
     return keys[0]
 
 
+def id_test(df: DataFrame, key: str, ids: list) -> Column:
+    """TRUE for a row whose key is among ``ids``; an id that is no value of the key's type is absent."""
+    dtype = df.schema[key].dataType
+    return F.col(key).isin([F.lit(i).try_cast(dtype) for i in ids]) if ids else F.lit(False)
+
+
+def id_rows(df: DataFrame, key: str, ids: list) -> DataFrame:
+    """The ids as rows, cast as ``id_test`` does."""
+    rows = df.sparkSession.createDataFrame([(str(i),) for i in ids], "id string")
+    return rows.select(F.col("id").try_cast(df.schema[key].dataType).alias(key))
+
+
 def with_ids(df: DataFrame, key: str, ids, keep: bool = True) -> DataFrame:
     """Rows whose key is (or, with ``keep=False``, is not) among ``ids``.
 
@@ -67,10 +80,9 @@ def with_ids(df: DataFrame, key: str, ids, keep: bool = True) -> DataFrame:
     if not isinstance(ids, DataFrame):
         ids = id_list(ids)
         if len(ids) <= IN_LIST_LIMIT:
-            hit = F.col(key).isin(ids)
+            hit = id_test(df, key, ids)
             return df.filter(hit if keep else ~F.coalesce(hit, F.lit(False)))
-        dtype = df.schema[key].dataType.simpleString()
-        ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{key}` {dtype}")
+        ids = id_rows(df, key, ids)
     return df.join(ids.select(key), key, "left_semi" if keep else "left_anti")
 
 

@@ -4,41 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import batch_matrix, exact_cost
-from ..functions.vectors import Metric, Query, float32, metric as find_metric, rounded
+from ..functions.vectors import Metric, Query, metric as find_metric, rounded
 from .filters import Condition, apply_filter, in_partitions
 from .projection import Output, output_columns
 
 SCORE = "score"
 _RANK = "__score"
-# Above this length one Arrow batch product beats the array expressions clearly.
-ARROW_FROM_DIM = 256
-
-
-def _arrow_score(m: Metric, vector: str, query: Sequence[float]) -> Column:
-    """The same score as ``m.score``, computed per Arrow batch for long vectors."""
-    q = np.array([float32(v) for v in query])
-    name, sign = m.name, (1.0 if m.ascending else -1.0)
-
-    @F.arrow_udf("double")
-    def score(batch: pa.Array) -> pa.Array:
-        rows, ok = batch_matrix(batch, len(q))
-        cost = exact_cost(name, rows, q)
-        return pa.array(sign * cost, mask=~ok | np.isnan(cost))
-
-    return score(F.col(vector))
 
 
 def score_column(m: Metric, vector: str, query: Query) -> Column:
-    long_floats = (
-        isinstance(query, (list, tuple)) and len(query) >= ARROW_FROM_DIM and m.name != "hamming"
-    )
-    return _arrow_score(m, vector, query) if long_floats else m.score(vector, query)
+    return m.score(vector, query)
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -62,14 +40,15 @@ def knn(
     with_score: bool = False,
     digits: int | None = None,
     post_filter: bool = False,
-    expand: int = 4,
+    expand: int | None = None,
 ) -> DataFrame:
     """Top ``k`` rows by distance, ties by ``key``, NULL distances last.
 
     ``query`` is a list of numbers, or ``{index: value}`` for a sparse column.
-    ``where`` filters before ranking; with ``post_filter`` it filters the best
-    ``k * expand`` rows afterwards and may leave fewer than ``k``. ``threshold``
-    is inclusive. ``digits`` rounds the distance before it is ranked.
+    ``where`` filters before ranking. With ``post_filter`` and ``expand`` it filters
+    the best ``k * expand`` rows in a single pass and may leave fewer than ``k``;
+    without ``expand`` the candidates widen until ``k`` rows pass or none are left,
+    which are the rows that filtering first gives. ``threshold`` is inclusive. ``digits`` rounds the distance before it is ranked.
     Each task keeps its own best ``k`` and only those travel.
     """
     if not isinstance(query, (list, tuple, Mapping, Column)):
@@ -79,11 +58,12 @@ def knn(
     if with_score:
         output.append(F.col(_RANK).alias(SCORE))
     rows = in_partitions(df, partitions)
-    if not post_filter:
+    narrow = post_filter and expand is not None
+    if not narrow:
         rows = apply_filter(rows, where)
     rows = rows.withColumn(_RANK, rounded(score_column(m, column, query), digits))
     order = [m.order(F.col(_RANK)), *[F.col(c).asc() for c in _keys(key)]]
-    if post_filter:
+    if narrow:
         rows = apply_filter(rows.orderBy(*order).limit(k * expand), where)
     best = rows.orderBy(*order).limit(k)
     if threshold is not None:

@@ -18,6 +18,8 @@ QUERY_ID = "query_id"
 BROADCAST_BYTES = 64 << 20
 QUERY_ROWS_PER_PRODUCT = 256
 PAIRS_PER_CHECK = 100_000
+ROWS_PER_BATCH = 4096
+MERGE_GROUPS = 64
 
 
 def _best_of(rows: pa.Table, k: int) -> pa.Table:
@@ -54,39 +56,97 @@ def _candidates(
     return qi, xi, exact
 
 
-def _top_k_task(block, metric: str, k: int, digits: int | None, sign: float, names: list[str]):
+def _numbers(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows as a matrix and which of them can be scored; zeros stand in for the others."""
+    x, ok = batch_matrix(column, dim)
+    ok = ok & ~np.isnan(x).any(axis=1)
+    x[~ok] = 0.0
+    return x, ok
+
+
+class _Best:
+    """The best k so far of every query of a block."""
+
+    def __init__(self, ids: pa.Array, vectors: pa.Array, dim: int, metric: str, k: int, digits: int | None):
+        self.ids, (self.q, self.q_ok) = ids, _numbers(vectors, dim)
+        self.metric, self.k, self.digits = metric, k, digits
+        self.slack = 0.0 if digits is None else 10.0**-digits
+        self.worst = np.full(len(ids), np.inf)
+        self.best: pa.Table | None = None
+
+    def add(self, keys: pa.Array, vectors: pa.Array) -> None:
+        """Take in one batch of corpus rows."""
+        x, ok = _numbers(vectors, self.q.shape[1])
+        found = [] if self.best is None else [self.best]
+        for at in range(0, len(self.ids), QUERY_ROWS_PER_PRODUCT):
+            part = slice(at, at + QUERY_ROWS_PER_PRODUCT)
+            qi, xi, cost = _candidates(self.metric, x, ok, self.q[part], self.q_ok[part], self.worst[part], self.k, self.slack)
+            if self.digits is not None:
+                cost = np.round(cost, self.digits)
+            near = {"q": pa.array(qi + at), "cost": pa.array(cost), "key": keys.take(pa.array(xi))}
+            found.append(_best_of(pa.table(near), self.k))
+        self.best = _best_of(pa.concat_tables(found), self.k)
+        rows_of = self.best["q"].to_numpy()
+        full = np.bincount(rows_of, minlength=len(self.ids)) >= self.k
+        highest = np.full(len(self.ids), -np.inf)
+        np.maximum.at(highest, rows_of, self.best["cost"].to_numpy())
+        self.worst = np.where(full, highest, np.inf)
+
+    def table(self, sign: float, names: list[str]) -> pa.Table | None:
+        if self.best is None or not self.best.num_rows:
+            return None
+        cost = self.best["cost"].to_numpy()
+        score = pa.array(sign * cost, mask=np.isinf(cost))
+        keys = self.best["key"]
+        return pa.table([self.ids.take(self.best["q"].combine_chunks()), keys, score], names=names)
+
+
+def _beside_broadcast(block, dim: int, metric: str, k: int, digits: int | None, sign: float, names: list[str]):
     """A mapInArrow function: the best k of this task's rows for every broadcast query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q, q_ok = block.value
-        slack = 0.0 if digits is None else 10.0**-digits
-        worst = np.full(len(ids), np.inf)
-        best = None
+        best = _Best(*block.value, dim, metric, k, digits)
         for batch in batches:
-            x, ok = batch_matrix(batch.column(1), q.shape[1])
-            found = [] if best is None else [best]
-            for at in range(0, len(ids), QUERY_ROWS_PER_PRODUCT):
-                part = slice(at, at + QUERY_ROWS_PER_PRODUCT)
-                qi, xi, cost = _candidates(metric, x, ok, q[part], q_ok[part], worst[part], k, slack)
-                if digits is not None:
-                    cost = np.round(cost, digits)
-                near = {"q": pa.array(qi + at), "cost": pa.array(cost), "key": batch.column(0).take(pa.array(xi))}
-                found.append(_best_of(pa.table(near), k))
-            best = _best_of(pa.concat_tables(found), k)
-            rows_of = best["q"].to_numpy()
-            full = np.bincount(rows_of, minlength=len(ids)) >= k
-            highest = np.full(len(ids), -np.inf)
-            np.maximum.at(highest, rows_of, best["cost"].to_numpy())
-            worst = np.where(full, highest, np.inf)
-        if best is not None and best.num_rows:
-            cost = best["cost"].to_numpy()
-            score = pa.array(sign * cost, mask=np.isinf(cost))
-            query = ids.take(best["q"].combine_chunks())
-            yield from pa.table([query, best["key"], score], names=names).combine_chunks().to_batches()
+            best.add(batch.column(0), batch.column(1))
+        found = best.table(sign, names)
+        if found is not None:
+            yield from found.combine_chunks().to_batches()
 
     return run
 
 
+def _beside_group(dim: int, metric: str, k: int, digits: int | None, sign: float, out: StructType):
+    """A cogrouped function: the best k of a group of corpus rows for a block of queries."""
+
+    def run(queries: pa.Table, points: pa.Table) -> pa.Table:
+        names = out.names
+        if queries.num_rows:
+            best = _Best(queries["id"].combine_chunks(), queries["v"].combine_chunks(), dim, metric, k, digits)
+            for batch in points.to_batches(ROWS_PER_BATCH):
+                best.add(batch.column("key"), batch.column("v"))
+            found = best.table(sign, names)
+            if found is not None:
+                return found
+        return pa.table([queries["id"].slice(0, 0), points["key"].slice(0, 0), pa.array([], pa.float64())], names=names)
+
+    return run
+
+
+def _grid(q: DataFrame, points: DataFrame, dim: int, n: int, block_bytes: int, task: tuple, out: StructType) -> DataFrame:
+    """Queries beyond a broadcast: blocks of them meet groups of the corpus, each pair in one task of bounded memory."""
+    metric, k, digits, sign = task
+    per_block = max(1, block_bytes // (8 * dim))
+    blocks, groups = -(-n // per_block), max(1, -(-points.count() // per_block))
+
+    def numbers(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    left = q.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("g", numbers(groups))
+    right = points.withColumn("g", F.pmod(F.xxhash64("key"), F.lit(groups))).withColumn("b", numbers(blocks))
+    by = [F.col("g").cast("long"), F.col("b").cast("long")]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_beside_group(dim, metric, k, digits, sign, out), out)
+
+
 def knn_join(
     queries: DataFrame,
     corpus: DataFrame,
@@ -102,35 +162,36 @@ def knn_join(
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: (query_id, key, score, rank).
 
-    The queries are cut by a hash of their key into blocks whose size is bounded
-    by ``block_bytes``; each block is broadcast and the corpus is read in place,
-    so no vector is shuffled and no pair of rows is ever materialised: a task
-    emits at most ``k`` rows per query. One block suffices for about 130,000
-    queries of 64 numbers; beyond that the corpus is scanned once per block.
+    Queries are scored by their own length; one that is NULL or has a hole has NULL
+    scores, as have corpus rows of another length. Queries of one length that fit
+    ``block_bytes`` (counted first) are broadcast and the corpus is read in place.
+    More of them are dealt into blocks that meet groups of the corpus in a
+    cogrouped shuffle, without passing the driver. A task emits at most ``k`` rows
+    per query; these are merged in two stages, so no group of the second holds more
+    than ``k`` rows for each of ``MERGE_GROUPS``.
     """
     m = find_metric(metric)
     spark = corpus.sparkSession
-    q_rows = queries.select(F.col(query_key).alias(QUERY_ID), F.col(query_vector).alias("v"))
-    size = q_rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    dim = size["dim"] or 1
-    per_block = max(1, block_bytes // (8 * dim))
-    blocks = -(-size["n"] // per_block)
-
-    id_field = q_rows.schema[QUERY_ID]
-    key_field = corpus.schema[key]
-    out = StructType([id_field, key_field, StructField("score", DoubleType())])
-    sign = 1.0 if m.ascending else -1.0
-    points = corpus.select(key, vector)
+    q_rows = queries.select(F.col(f"`{query_key}`").alias("id"), F.col(f"`{query_vector}`").alias("v"))
+    length = F.coalesce(F.when(F.size("v") > 0, F.size("v")), F.lit(0))
+    lengths = {r["d"]: r["n"] for r in q_rows.groupBy(length.alias("d")).agg(F.count("*").alias("n")).collect()}
+    out = StructType([StructField(QUERY_ID, q_rows.schema["id"].dataType), corpus.schema[key], StructField("score", DoubleType())])
+    task = (m.name, k, digits, 1.0 if m.ascending else -1.0)
+    points = corpus.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("v"))
     found = []
-    for b in range(max(blocks, 1)):
-        part = q_rows if blocks <= 1 else q_rows.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(blocks)) == b)
-        rows = part.toArrow()
-        if rows.num_rows == 0:
-            continue
-        matrix, ok = batch_matrix(rows["v"].combine_chunks(), dim)
-        block = spark.sparkContext.broadcast((rows[QUERY_ID].combine_chunks(), matrix, ok))
-        found.append(points.mapInArrow(_top_k_task(block, m.name, k, digits, sign, out.names), out))
+    for dim, n in lengths.items():
+        part = q_rows.filter(length == dim)
+        width = max(dim, 1)
+        if 8 * width * n <= block_bytes:
+            rows = part.toArrow()
+            block = spark.sparkContext.broadcast((rows["id"].combine_chunks(), rows["v"].combine_chunks()))
+            found.append(points.mapInArrow(_beside_broadcast(block, width, *task, out.names), out))
+        else:
+            found.append(_grid(part, points, width, n, block_bytes, task, out))
     # numpy and Spark round half-way cases differently; settle on Spark's rule
     merged = reduce(DataFrame.unionByName, found, spark.createDataFrame([], out)).withColumn("score", rounded(F.col("score"), digits))
-    nearest = Window.partitionBy(QUERY_ID).orderBy(m.order(F.col("score")), F.col(key).asc())
-    return merged.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+    order = [m.order(F.col("score")), F.col(f"`{key}`").asc()]
+    first = Window.partitionBy(QUERY_ID, "__group").orderBy(*order)
+    some = merged.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))).withColumn("rank", F.row_number().over(first))
+    some = some.filter(F.col("rank") <= k).drop("__group", "rank")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy(QUERY_ID).orderBy(*order))).filter(F.col("rank") <= k)

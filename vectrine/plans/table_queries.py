@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import tokens
 from ..operators import filters
-from ..operators.search_dict import where
+from ..operators.search_dict import scoring_clauses, where
 from ..session import shared_dir
 from ..sources.partitioning import (
     DEFAULT,
@@ -24,8 +24,8 @@ from ..sources.table import Table
 from .registry import query, read
 from .text_queries import SQL_TOKENS
 
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-SQL_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+SQL_ORDERS = ", ".join(ORDER_COLUMNS)
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,14 +242,52 @@ SPACED = f"concat(' ', array_to_string({SQL_TOKENS.format('text')}, ' '), ' ')"
 @query(
     "dsl_match_filter",
     SQL_LABELLED
-    + f"len(list_intersect({SQL_TOKENS.format('text')}, ['history', 'people'])) > 0 AND contains({SPACED}, ' of the ')",
+    + f"len(list_intersect({SQL_TOKENS.format('text')}, ['history', 'der', 'the'])) > 0 AND "
+    + f"(contains({SPACED}, ' and the ') OR contains({SPACED}, ' ist der '))",
 )
 def dsl_match_filter(spark, folder):
     """With ``text_filters``, text clauses are predicates too."""
-    body = [{"match": {"text": "history people"}}, {"match_phrase": {"text": "of the"}}]
+    phrases = [{"match_phrase": {"text": "and the"}}, {"match_phrase": {"text": {"query": "ist der"}}}]
+    body = [{"match": {"text": "history der the"}}, {"bool": {"should": phrases}}]
     return find_documents(spark, folder, body, text_filters=True)
 
 
+@query(
+    "dsl_scoring",
+    "SELECT field, count(*) AS n FROM (VALUES ('lang'), ('text'), ('source')) v(field), documents GROUP BY field",
+)
+def dsl_scoring(spark, folder):
+    """The fields that a dictionary scores, read from all its branches, over every document."""
+    body = {
+        "bool": {
+            "must": [{"query_string": {"query": "history", "fields": ["text^3"]}}, {"term": {"doc_id": 1}}],
+            "should": [{"match_phrase": {"lang": {"query": "fr src3"}}}, {"match": {"text": "   "}}],
+            "must_not": [{"bool": {"filter": [{"match": {"source": " src3 "}}]}}],
+        }
+    }
+    fields = F.array(*[F.lit(name) for name, _ in scoring_clauses(body)])
+    return read(spark, folder, "documents").select(F.explode(fields).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
+
+
+@query(
+    "dsl_checked",
+    SQL_LABELLED + "lang = 'en' AND quality = 1",
+)
+def dsl_checked(spark, folder):
+    """Bad dictionaries are refused; the good one among them filters."""
+    columns = labelled_documents(spark, folder).schema
+    good = {"bool": {"must": [{"term": {"lang": "en"}}, {"term": {"quality": True}}]}}
+    refused = [{"term": {"no such": 1}}, {"term": {"lang": "a\nb"}}, {"wildcard": {"lang": "e*"}}, {"term": {"absent": 1}}, {"term": {"lang": None}}]
+    accepted = []
+    for body in (*refused, good):
+        try:
+            where(body, columns)
+            accepted.append(body)
+        except (ValueError, TypeError, NotImplementedError):
+            continue
+    return find_documents(spark, folder, accepted)
+
+
 # --- partition rules ---------------------------------------------------------------------
 
 BY_PRICE = RangePartition([("cheap", 100000), ("middle", 300000), ("rest", MAXVALUE)], expr="o_totalprice")
@@ -386,7 +424,7 @@ def ups_replace(spark, folder):
 
 @query(
     "upd_where",
-    """SELECT o_orderkey, o_custkey, o_orderstatus,
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
               CASE WHEN o_orderstatus = 'F' AND o_totalprice > 200000 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
               CASE WHEN o_orderstatus = 'F' AND o_totalprice > 200000 THEN '0-DONE' ELSE o_orderpriority END AS o_orderpriority
        FROM orders""",
@@ -436,6 +474,30 @@ def del_partition(spark, folder):
     return stored(spark, orders(spark, folder), "o_orderkey", BY_PRICE).delete(partition="cheap").df()
 
 
+@query("del_escaped", f"SELECT {SQL_ORDERS} FROM orders WHERE o_totalprice >= 100000 AND o_custkey % 3 <> 0")
+def del_escaped(spark, folder):
+    """Partitions whose names need escaping in paths: replace, change and delete rows in them."""
+    rule = RangePartition([("a:1 b%c", 100000), ("p=2%", MAXVALUE)], expr="o_totalprice")
+    rows = orders(spark, folder)
+    table = stored(spark, rows.withColumn("o_orderstatus", F.lit("?")), "o_orderkey", rule)
+    table.upsert(rows)
+    table.update({"o_custkey": F.col("o_custkey") - 3}, where="o_totalprice >= 0")
+    table.update({"o_custkey": F.col("o_custkey") + 3}, where="o_totalprice >= 0")
+    return table.delete(where="o_custkey % 3 = 0").delete(partition="a:1 b%c").df()
+
+
+@query(
+    "ins_partition",
+    f"SELECT {SQL_ORDERS}, {SQL_BY_PRICE} AS part FROM orders",
+)
+def ins_partition(spark, folder):
+    """Rows inserted into the partition they belong to."""
+    rows = orders(spark, folder)
+    table = stored(spark, rows.filter("o_totalprice < 100000"), "o_orderkey", BY_PRICE)
+    table.insert(rows.filter("o_totalprice between 100000 and 299999.999999"), partition="middle")
+    return table.insert(rows.filter("o_totalprice >= 300000"), partition="rest").df(labels=True)
+
+
 @query("col_add", "SELECT c_custkey, c_name, NULL::VARCHAR AS note, NULL::INT AS age FROM customer")
 def col_add(spark, folder):
     rows = read(spark, folder, "customer").select("c_custkey", "c_name")

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..indexes.postings import TextIndex
+from ..indexes.vectors import VectorIndex
 from ..operators.bm25 import bm25_search, match_against, with_bm25
-from ..operators.hybrid import hybrid_search, search_hybrid
+from ..operators.hybrid import Body, hybrid_search, search_hybrid
 from ..session import shared_dir, spread
+from ..sources.schema import DataType, field, table_schema
+from ..store import Store
 from .registry import DIGITS, SQL_VECTOR, query, query_vector, read
 
 SEARCH_TEXT = "the history of the people"
@@ -170,9 +173,9 @@ def bm25_refresh(spark, folder):
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with the vector of the same number."""
+    """Every document, with the vector of the same number if there is one."""
     vectors = read(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return spread(documents(spark, folder).select("doc_id", "lang", "source", "text")).join(vectors, "doc_id")
+    return spread(documents(spark, folder).select("doc_id", "lang", "source", "text")).join(vectors, "doc_id", "left")
 
 
 def search_body(spark: SparkSession, folder: str) -> dict:
@@ -198,7 +201,7 @@ def search_body(spark: SparkSession, folder: str) -> dict:
 SQL_CORPUS = f"""
     WITH base AS (SELECT doc_id, lang, source, text,
                          round(list_distance(embedding::DOUBLE[], {SQL_VECTOR}), 6) AS dist
-                  FROM documents JOIN embeddings ON doc_id = vec_id),"""
+                  FROM documents LEFT JOIN embeddings ON doc_id = vec_id),"""
 SQL_BRANCHES = (
     SQL_CORPUS
     + bm25_ctes("a", "text", TEXT_LITERAL, "base")
@@ -208,7 +211,7 @@ SQL_BRANCHES = (
     scores AS (SELECT doc_id, round(coalesce(a.score, 0) + coalesce(b.score, 0), 6) AS score
                FROM a FULL JOIN b USING (doc_id)),
     allowed AS (SELECT * FROM base WHERE lang <> 'fr' AND lang IN ('en', 'de', 'fr')),
-    near AS (SELECT doc_id, dist AS _distance, 0.0::DOUBLE AS _score FROM allowed ORDER BY dist, doc_id LIMIT 15),
+    near AS (SELECT doc_id, dist AS _distance, 0.0::DOUBLE AS _score FROM allowed ORDER BY dist NULLS LAST, doc_id LIMIT 15),
     matching AS (SELECT doc_id, 0.0::DOUBLE AS _distance, score AS _score FROM allowed JOIN scores USING (doc_id)
                  ORDER BY score DESC, doc_id LIMIT 15),
     merged AS (SELECT doc_id, min(_distance) AS _distance, max(_score) AS _score
@@ -220,7 +223,7 @@ SQL_BRANCHES = (
     "hybrid_written",
     SQL_BRANCHES
     + """ SELECT doc_id, lang, _distance, _score, round(_score * 0.6 - _distance * 0.4, 6) AS hybrid_score
-          FROM merged JOIN base USING (doc_id) ORDER BY hybrid_score DESC, doc_id LIMIT 15""",
+          FROM merged JOIN base USING (doc_id) ORDER BY hybrid_score DESC NULLS LAST, doc_id LIMIT 15""",
 )
 def hybrid_written(spark, folder):
     found = hybrid_search(corpus(spark, folder), search_body(spark, folder), key="doc_id", digits=DIGITS)
@@ -233,7 +236,7 @@ def hybrid_written(spark, folder):
     + """ SELECT doc_id, lang, dist AS _distance, coalesce(score, 0) AS _score,
                  round(coalesce(score, 0) * 0.6 - dist * 0.4, 6) AS hybrid_score
           FROM merged JOIN base USING (doc_id) LEFT JOIN scores USING (doc_id)
-          ORDER BY hybrid_score DESC, doc_id LIMIT 15""",
+          ORDER BY hybrid_score DESC NULLS LAST, doc_id LIMIT 15""",
 )
 def hybrid_true(spark, folder):
     body = search_body(spark, folder)
@@ -245,7 +248,7 @@ def hybrid_true(spark, folder):
     "hybrid_index",
     SQL_BRANCHES
     + """ SELECT doc_id, lang, _distance, _score, round(_score * 0.6 - _distance * 0.4, 6) AS hybrid_score
-          FROM merged JOIN base USING (doc_id) ORDER BY hybrid_score DESC, doc_id LIMIT 15""",
+          FROM merged JOIN base USING (doc_id) ORDER BY hybrid_score DESC NULLS LAST, doc_id LIMIT 15""",
 )
 def hybrid_index(spark, folder):
     """The text branch answered by stored postings."""
@@ -255,6 +258,37 @@ def hybrid_index(spark, folder):
     return found.select("doc_id", "lang", "_distance", "_score", "hybrid_score")
 
 
+@query(
+    "hybrid_vector_index",
+    SQL_BRANCHES
+    + """ SELECT doc_id, lang, _distance, _score, round(_score * 0.6 - _distance * 0.4, 6) AS hybrid_score
+          FROM merged JOIN base USING (doc_id) ORDER BY hybrid_score DESC NULLS LAST, doc_id LIMIT 15""",
+)
+def hybrid_vector_index(spark, folder):
+    """Both branches answered by indexes; all cells are read, so the result is exact."""
+    rows = corpus(spark, folder)
+    near = VectorIndex.build(rows, shared_dir(spark), "doc_id", "embedding", nlist=8)
+    words = {c: TextIndex.build(rows, shared_dir(spark), "doc_id", c) for c in ("text", "source")}
+    body = search_body(spark, folder)
+    found = hybrid_search(rows, body, key="doc_id", digits=DIGITS, text_indexes=words, vector_index=near, nprobe=near.nlist)
+    return found.select("doc_id", "lang", "_distance", "_score", "hybrid_score")
+
+
+@query("hybrid_body", "SELECT doc_id, 0.5::DOUBLE AS knn_weight, 0.5::DOUBLE AS bm25_weight, 10 AS size FROM documents")
+def hybrid_body(spark, folder):
+    """What a body without weights and size stands for, beside every document; bad bodies are refused."""
+    near = {"field": "embedding", "query_vector": query_vector(spark, folder)}
+    for bad in ({}, {"knn": {**near, "query_vector": "x"}}, {"knn": near, "size": True}, {"knn": near, "hybrid_weights": {"bm25": -1}}):
+        try:
+            Body.read(bad, (0.5, 0.5))
+        except ValueError:
+            continue
+        raise AssertionError(f"accepted {bad}")
+    body = Body.read({"knn": near}, (0.5, 0.5))
+    weights = [F.lit(body.knn_weight).alias("knn_weight"), F.lit(body.bm25_weight).alias("bm25_weight"), F.lit(body.size).alias("size")]
+    return documents(spark, folder).select("doc_id", *weights)
+
+
 def sql_linear(sign: str) -> str:
     return (
         SQL_CORPUS
@@ -268,7 +302,7 @@ def sql_linear(sign: str) -> str:
     )
 
 
-def linear(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
+def linear(spark: SparkSession, folder: str, as_written: bool, **options) -> DataFrame:
     return search_hybrid(
         corpus(spark, folder),
         query_vector(spark, folder),
@@ -285,6 +319,7 @@ def linear(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
         with_bm25_score=True,
         as_written=as_written,
         digits=DIGITS,
+        **options,
     )
 
 
@@ -296,3 +331,69 @@ def hybrid_linear(spark, folder):
 @query("hybrid_linear_plus", sql_linear("+"))
 def hybrid_linear_plus(spark, folder):
     return linear(spark, folder, True)
+
+
+@query("hybrid_linear_index", sql_linear("-"))
+def hybrid_linear_index(spark, folder):
+    """The text score from postings."""
+    rows = corpus(spark, folder)
+    index = TextIndex.build(rows, shared_dir(spark), "doc_id", "text")
+    return linear(spark, folder, False, text_index=index)
+
+
+# --- indexes that live with their table ------------------------------------------------
+
+
+def text_store(spark: SparkSession) -> Store:
+    store = Store(spark, shared_dir(spark))
+    fields = [field("doc_id", DataType.INT64, primary=True)]
+    fields += [field(c, DataType.STRING, nullable=True) for c in ("lang", "source", "text")]
+    indexes = [{"name": "words", "column": "text", "kind": "text"}, {"name": "all", "column": ["lang", "source", "text"], "kind": "text"}]
+    store.create_collection("docs", schema=table_schema(fields), index_params=indexes)
+    return store
+
+
+SQL_LATEST = f"""
+    WITH latest AS (SELECT doc_id, lang, source, text FROM documents WHERE lang <> 'de' AND doc_id % 7 <> 0),
+    {bm25_ctes("s", "text", TEXT_LITERAL, "latest")}
+    SELECT doc_id, round(score, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 20"""
+
+
+def changed(spark: SparkSession, folder: str) -> Store:
+    """Rows indexed, then changed, deleted and added."""
+    store, docs = text_store(spark), documents(spark, folder).select("doc_id", "lang", "source", "text")
+    early = docs.filter("doc_id % 5 <> 1").withColumn("text", F.when(F.col("lang") == "fr", F.upper("source")).otherwise(F.col("text")))
+    store.insert("docs", early)
+    store.rebuild_index("docs", "words")
+    store.upsert("docs", docs.filter("lang = 'fr' AND doc_id % 5 <> 1"))
+    store.delete("docs", where="lang = 'de'")
+    store.insert("docs", docs.filter("doc_id % 5 = 1 AND lang <> 'de'"))
+    store.delete("docs", where="doc_id % 7 = 0")
+    return store
+
+
+@query("bm25_after_delete", SQL_LATEST)
+def bm25_after_delete(spark, folder):
+    """Search through an index that is behind its table."""
+    return changed(spark, folder).bm25_search("docs", SEARCH_TEXT, "text", 20, index="words", names=["doc_id"], with_score=True)
+
+
+@query("bm25_refreshed", SQL_LATEST)
+def bm25_refreshed(spark, folder):
+    """The same after an incremental refresh."""
+    store = changed(spark, folder)
+    store.rebuild_index("docs", "words", full=False)
+    return store.bm25_search("docs", SEARCH_TEXT, "text", 20, index="words", names=["doc_id"], with_score=True)
+
+
+@query(
+    "bm25_columns_index",
+    "WITH " + bm25_ctes("s", "concat_ws(' ', lang, source, text)", "'fr src3 history'")
+    + " SELECT doc_id, round(score, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 10",
+)
+def bm25_columns_index(spark, folder):
+    """Several columns as one text, through an index made with the table."""
+    store = text_store(spark)
+    store.insert("docs", documents(spark, folder).select("doc_id", "lang", "source", "text"))
+    store.rebuild_index("docs", "all", full=False)
+    return store.match_against("docs", "fr src3 history", ["lang", "source", "text"], names=["doc_id"], with_score=True, index="all")

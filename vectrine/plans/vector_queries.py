@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import hashlib
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.codec import decode_vectors, sparse_from_text, sparse_to_text, split_valid, vector_to_text
 from ..functions.sqlfuncs import run_sql
-from ..functions.text import query_terms
-from ..functions.vectors import binarise
-from ..indexes.postings import postings_of
-from ..indexes.vectors import VectorIndex
+from ..functions.text import query_terms, term_counts
+from ..functions.vectors import binarise, metric
+from ..indexes.vectors import CELL, VectorIndex
+from ..operators.filters import vector_equals
 from ..operators.knn import knn, search
 from ..operators.knn_join import knn_join
-from ..session import shared_dir
+from ..session import shared_dir, spread
+from ..sources.schema import DataType, field, table_schema
+from ..store import Store
 from ..sources.partitioning import MAXVALUE, RangePartition
 from .registry import DIGITS, SQL_VECTOR, query, query_vector, read
 from .text_queries import SEARCH_TEXT, SQL_TOKENS
@@ -80,8 +83,17 @@ def knn_prefilter(spark, folder):
 
 @query("knn_postfilter", f"SELECT vec_id, score FROM ({top_sql(L2, k=40, out='*')}) WHERE label <> 3 ORDER BY score, vec_id LIMIT 10")
 def knn_postfilter(spark, folder):
+    """A single pass over the best 40 candidates."""
     return knn(
-        embeddings(spark, folder), query_vector(spark, folder), "embedding", where="label <> 3", post_filter=True, **TOP
+        embeddings(spark, folder), query_vector(spark, folder), "embedding", where="label <> 3", post_filter=True, expand=4, **TOP
+    )
+
+
+@query("knn_postfilter_all", top_sql(L2, where="label = 3 AND vec_id % 5 = 2"))
+def knn_postfilter_all(spark, folder):
+    """As many rows as asked for, though few of the nearest pass."""
+    return knn(
+        embeddings(spark, folder), query_vector(spark, folder), "embedding", where="label = 3 AND vec_id % 5 = 2", post_filter=True, **TOP
     )
 
 
@@ -163,6 +175,57 @@ def knn_batch_ip(spark, folder):
     return batch(spark, folder, "ip")
 
 
+# Vectors that lack their last number, are NULL, or begin with NaN, beside the whole ones.
+SQL_MIXED = """
+    mixed AS (SELECT vec_id, label, label AS cell, embedding::DOUBLE[] AS v FROM embeddings
+              UNION ALL SELECT vec_id + 1000000, label, label, (embedding::DOUBLE[])[1:63] FROM embeddings WHERE vec_id % 10 = 0
+              UNION ALL SELECT vec_id + 2000000, label, label, NULL FROM embeddings WHERE vec_id % 10 = 1
+              UNION ALL SELECT vec_id + 3000000, label, label, list_prepend('nan'::DOUBLE, (embedding::DOUBLE[])[2:]) FROM embeddings
+                        WHERE vec_id % 10 = 2)"""
+
+
+def mixed_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    whole = embeddings(spark, folder).select("vec_id", "label", F.col("label").alias("cell"), "embedding")
+    nan = F.array(F.lit(float("nan")).cast("float"))
+    changes = [
+        (1_000_000, 0, F.slice("embedding", 1, 63)),
+        (2_000_000, 1, F.lit(None).cast("array<float>")),
+        (3_000_000, 2, F.concat(nan, F.slice("embedding", 2, 63))),
+    ]
+    odd = [whole.filter(F.col("vec_id") % 10 == d).withColumns({"embedding": v, "vec_id": F.col("vec_id") + n}) for n, d, v in changes]
+    return reduce(DataFrame.unionByName, odd, whole)
+
+
+@query(
+    "knn_batch_mixed",
+    f"""WITH {SQL_MIXED},
+        q AS (SELECT vec_id AS query_id, v AS qv FROM mixed
+              WHERE vec_id % 1000000 IN (SELECT item_id FROM benchmark) AND vec_id % 1000000 < 40),
+        d AS (SELECT query_id, vec_id, CASE WHEN len(v) = len(qv) THEN round(list_distance(v, qv), 6) END AS x FROM q, mixed),
+        s AS (SELECT query_id, vec_id, CASE WHEN isnan(x) THEN NULL ELSE x END AS score FROM d),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score NULLS LAST, vec_id) AS rank FROM s)
+        SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 10""",
+)
+def knn_batch_mixed(spark, folder):
+    """Malformed vectors on both sides: a query is scored by its own length."""
+    points = mixed_embeddings(spark, folder)
+    items = read(spark, folder, "benchmark").select((F.col("item_id")).alias("m"))
+    base = F.col("vec_id") % 1_000_000
+    wanted = points.join(items, (base == F.col("m")) & (base < 40), "left_semi")
+    return knn_join(wanted, points, query_key="vec_id", query_vector="embedding", key="vec_id", vector="embedding", digits=DIGITS)
+
+
+@query("knn_batch_blocks", sql_batch("list_distance(embedding::DOUBLE[], qv)"))
+def knn_batch_blocks(spark, folder):
+    """More queries than a broadcast may hold: blocks of them meet groups of the corpus."""
+    points = embeddings(spark, folder)
+    items = read(spark, folder, "benchmark").select(F.col("item_id").alias("vec_id"))
+    wanted = points.join(items, "vec_id", "left_semi")
+    return knn_join(
+        wanted, points, query_key="vec_id", query_vector="embedding", key="vec_id", vector="embedding", digits=DIGITS, block_bytes=8 * 64 * 150
+    )
+
+
 # --- output columns ----------------------------------------------------------------
 
 
@@ -230,44 +293,43 @@ def raw_sql(spark, folder):
 
 # --- sparse vectors ------------------------------------------------------------------
 
-# A token's index is the first 28 bits of its MD5.
-INDEX_DIGITS = 7
 
+def place_of(term: Column) -> Column:
+    """A term's place in a sparse vector: 64 bits, so a billion terms hardly ever share one."""
+    return F.xxhash64(term)
 
-def sparse_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, v): token counts of each document as a sparse vector.
 
-    The postings arrive spread by document, so neither grouping shuffles again.
-    """
-    words = postings_of(read(spark, folder, "documents"), "doc_id", "text")
-    index = F.conv(F.substring(F.md5("term"), 1, INDEX_DIGITS), 16, 10).cast("int")
-    counts = words.groupBy("doc_id", index.alias("i")).agg(F.sum("tf").cast("float").alias("x"))
-    entries = F.collect_list(F.struct("i", "x"))
-    return counts.groupBy("doc_id").agg(F.map_from_entries(entries).alias("v"))
+def sparse_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, v): token counts of each document as a sparse vector, made inside the row."""
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
+    pairs = F.transform(term_counts("text")["terms"], lambda t: F.struct(place_of(t["term"]).alias("i"), t["tf"].cast("float").alias("x")))
+    return docs.select("doc_id", F.map_from_entries(pairs).alias("v"))
 
 
 def sparse_query(spark: SparkSession) -> dict[int, float]:
     terms = query_terms(spark, SEARCH_TEXT)
-    return {int(hashlib.md5(t.encode()).hexdigest()[:INDEX_DIGITS], 16): 0.5 + i for i, t in enumerate(terms)}
+    places = spark.range(1).select(F.array(*[place_of(F.lit(t)) for t in terms])).first()[0]
+    return {p: 0.5 + i for i, p in enumerate(places)}
 
 
 SQL_SPARSE = f"""
     WITH words AS (SELECT doc_id, unnest({SQL_TOKENS.format('text')}) AS token FROM documents),
-    a AS (SELECT doc_id, ('0x' || substr(md5(token), 1, 7))::BIGINT AS i, count(*)::DOUBLE AS x FROM words GROUP BY ALL),
+    a AS (SELECT doc_id, token, count(*)::DOUBLE AS x FROM words GROUP BY ALL),
     terms AS (SELECT unnest({SQL_TOKENS.format("'" + SEARCH_TEXT + "'")}) AS token),
     places AS (SELECT token, row_number() OVER () AS p FROM terms),
-    q AS (SELECT ('0x' || substr(md5(token), 1, 7))::BIGINT AS i,
-                 0.5 + (row_number() OVER (ORDER BY min(p)) - 1) AS y FROM places GROUP BY token),
+    q AS (SELECT token, 0.5 + (row_number() OVER (ORDER BY min(p)) - 1) AS y FROM places GROUP BY token),
     qn AS (SELECT sum(y * y)::DOUBLE AS qq FROM q),
-    s AS (SELECT doc_id, coalesce(sum(x * y), 0)::DOUBLE AS ip, sum(x * x) AS aa
-          FROM a LEFT JOIN q USING (i) GROUP BY doc_id)"""
+    s AS (SELECT doc_id, coalesce(sum(x * y), 0)::DOUBLE AS ip, coalesce(sum(x * x), 0) AS aa
+          FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN q USING (token) GROUP BY doc_id)"""
+
+
+def sparse_top(spark: SparkSession, folder: str, metric: str) -> DataFrame:
+    return knn(sparse_documents(spark, folder), sparse_query(spark), "v", metric, key="doc_id", names=["doc_id"], with_score=True, digits=DIGITS)
 
 
 @query("sparse_dot", SQL_SPARSE + " SELECT doc_id, round(ip, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 10")
 def sparse_dot(spark, folder):
-    return knn(
-        sparse_documents(spark, folder), sparse_query(spark), "v", "ip", key="doc_id", names=["doc_id"], with_score=True, digits=DIGITS
-    )
+    return sparse_top(spark, folder, "ip")
 
 
 @query(
@@ -275,20 +337,78 @@ def sparse_dot(spark, folder):
     SQL_SPARSE + " SELECT doc_id, round(sqrt(aa + qq - 2 * ip), 6) AS score FROM s, qn ORDER BY score, doc_id LIMIT 10",
 )
 def sparse_l2(spark, folder):
-    return knn(
-        sparse_documents(spark, folder), sparse_query(spark), "v", "l2", key="doc_id", names=["doc_id"], with_score=True, digits=DIGITS
-    )
+    return sparse_top(spark, folder, "l2")
 
 
 @query(
     "sparse_cosine",
     SQL_SPARSE
-    + " SELECT doc_id, round(1 - ip / (sqrt(aa) * sqrt(qq)), 6) AS score FROM s, qn ORDER BY score, doc_id LIMIT 10",
+    + """ SELECT doc_id, CASE WHEN aa > 0 THEN round(1 - ip / (sqrt(aa) * sqrt(qq)), 6) END AS score FROM s, qn
+          ORDER BY score NULLS LAST, doc_id LIMIT 10""",
 )
 def sparse_cosine(spark, folder):
-    return knn(
-        sparse_documents(spark, folder), sparse_query(spark), "v", "cosine", key="doc_id", names=["doc_id"], with_score=True, digits=DIGITS
-    )
+    return sparse_top(spark, folder, "cosine")
+
+
+# --- text forms and checks -------------------------------------------------------------
+
+
+@query("vec_round_trip", "SELECT vec_id, embedding::DOUBLE[] AS embedding, len(embedding) AS n FROM embeddings")
+def vec_round_trip(spark, folder):
+    """Every vector to its text, its bytes, and back."""
+    rows = embeddings(spark, folder).select("vec_id", vector_to_text("embedding").alias("text"))
+    texts, _ = decode_vectors(rows.filter("vec_id % 2 = 0"), "text", "embedding", 64)
+    raw, _ = decode_vectors(rows.filter("vec_id % 2 <> 0").withColumn("text", F.col("text").cast("binary")), "text", "embedding", 64)
+    both = texts.select("vec_id", "embedding").unionByName(raw.select("vec_id", "embedding"))
+    return both.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.size("embedding").cast("long").alias("n"))
+
+
+@query(
+    "sparse_round_trip",
+    "SELECT vec_id, round(list_sum(embedding::DOUBLE[]), 4) AS total, len(list_filter(embedding, lambda x: x <> 0)) AS n FROM embeddings",
+)
+def sparse_round_trip(spark, folder):
+    """Every vector as sparse text and back."""
+    places = F.transform("embedding", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    entries = F.filter(places, lambda e: e["x"] != 0)
+    text = embeddings(spark, folder).select("vec_id", sparse_to_text(F.map_from_entries(entries)).alias("text"))
+    back = text.select("vec_id", sparse_from_text("text").alias("v"))
+    total = F.aggregate(F.map_values("v"), F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    return back.select("vec_id", F.round(total, 4).alias("total"), F.size("v").cast("long").alias("n"))
+
+
+@query(
+    "split_valid",
+    f"""WITH {SQL_MIXED} SELECT vec_id, v IS NULL OR len(v) = 64 AS usable FROM mixed""",
+)
+def split_usable(spark, folder):
+    usable, rest = split_valid(mixed_embeddings(spark, folder), "embedding", 64)
+    return usable.select("vec_id", F.lit(True).alias("usable")).unionByName(rest.select("vec_id", F.lit(False).alias("usable")))
+
+
+@query("vec_equals", f"SELECT vec_id FROM embeddings WHERE embedding::DOUBLE[] = {SQL_VECTOR}")
+def vec_equals(spark, folder):
+    return embeddings(spark, folder).filter(vector_equals("embedding", query_vector(spark, folder))).select("vec_id")
+
+
+@query(
+    "sql_distances",
+    f"""SELECT vec_id, {IP} AS ip, list_sum(list_transform(list_zip({SQL_BITS.format('embedding')}, {SQL_BITS.format(SQL_VECTOR)}),
+        lambda p: abs(p[1] - p[2]))) AS bits FROM embeddings""",
+)
+def sql_distances(spark, folder):
+    text = """
+        SELECT vec_id, round(inner_product(embedding, :q), 6) AS ip,
+               hamming_bool_distance(transform(embedding, x -> x > 0), transform(:q, x -> x > 0)) AS bits FROM vectors_sql"""
+    return run_sql(spark, text, {"vectors_sql": embeddings(spark, folder)}, {"q": query_vector(spark, folder)})
+
+
+@query("metric_names", f"SELECT vec_id, {L2} AS l2, {IP} AS ip FROM embeddings")
+def metric_names(spark, folder):
+    """Metrics by name, in any case."""
+    q = query_vector(spark, folder)
+    scores = [F.round(metric(n).score("embedding", q), DIGITS).alias(a) for n, a in (("L2", "l2"), ("Ip", "ip"))]
+    return embeddings(spark, folder).select("vec_id", *scores)
 
 
 # --- vector indexes --------------------------------------------------------------------
@@ -312,15 +432,129 @@ def ivf_full(spark, folder):
 @query("ivf_cells", "SELECT vec_id, 1::BIGINT AS cells FROM embeddings")
 def ivf_cells(spark, folder):
     """Every row sits in exactly one cell."""
-    return ivf(spark, folder).rows().groupBy("vec_id").agg(F.count("cell").alias("cells"))
+    return ivf(spark, folder).rows().groupBy("vec_id").agg(F.count(CELL).alias("cells"))
+
+
+# Given centroids: the vectors of the first 16 benchmark items.
+SQL_CENTRES = """
+    centres AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS c, embedding::DOUBLE[] AS m FROM embeddings
+                WHERE vec_id IN (SELECT item_id FROM benchmark) AND vec_id < 16),
+    e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)"""
+
+
+def given_centres(spark: SparkSession, folder: str) -> list[list[float]]:
+    items = read(spark, folder, "benchmark").select(F.col("item_id").alias("vec_id"))
+    rows = embeddings(spark, folder).filter("vec_id < 16").join(items, "vec_id", "left_semi")
+    return [list(r["embedding"]) for r in rows.orderBy("vec_id").collect()]
+
+
+def given(spark: SparkSession, folder: str, df: DataFrame | None = None, **options) -> VectorIndex:
+    df = embeddings(spark, folder) if df is None else df
+    return VectorIndex.build(df, shared_dir(spark), "vec_id", "embedding", centroids=given_centres(spark, folder), **options)
+
 
+SQL_PROBED = f"""
+    {SQL_CENTRES},
+    cells AS (SELECT vec_id, arg_min(c, list_distance(v, m)) AS cell FROM e, centres GROUP BY vec_id),
+    near AS (SELECT c FROM centres ORDER BY list_distance(m, {SQL_VECTOR}), c LIMIT 4),
+    probed AS (SELECT vec_id, v FROM e JOIN cells USING (vec_id) WHERE cell IN (SELECT c FROM near))"""
 
-@query("ivf_probe")
+
+@query(
+    "ivf_probe",
+    f"""WITH {SQL_PROBED}
+        SELECT vec_id, round(list_distance(v, {SQL_VECTOR}), 6) AS score FROM probed ORDER BY score, vec_id LIMIT 10""",
+)
 def ivf_probe(spark, folder):
-    return index_search(ivf(spark, folder, metric="cosine"), spark, folder, nprobe=4)
+    """Four of sixteen given cells."""
+    return index_search(given(spark, folder), spark, folder, nprobe=4)
+
+
+PQ_SEGMENTS = 8
+SQL_CODED = ", ".join(
+    f"(SELECT arg_min(m[{8 * s + 1}:{8 * s + 8}], list_distance(m[{8 * s + 1}:{8 * s + 8}], p.v[{8 * s + 1}:{8 * s + 8}])) FROM centres)"
+    for s in range(PQ_SEGMENTS)
+)
 
 
-@query("pq_rerank")
+@query(
+    "pq_rerank",
+    f"""WITH {SQL_PROBED},
+        coded AS (SELECT vec_id, v, flatten([{SQL_CODED}]) AS w FROM probed p),
+        picked AS (SELECT vec_id, v FROM coded
+                   ORDER BY round(list_inner_product(list_transform(list_zip(w, {SQL_VECTOR}), lambda x: x[1] - x[2]),
+                                                     list_transform(list_zip(w, {SQL_VECTOR}), lambda x: x[1] - x[2])), 6), vec_id
+                   LIMIT 30)
+        SELECT vec_id, round(list_distance(v, {SQL_VECTOR}), 6) AS score FROM picked ORDER BY score, vec_id LIMIT 10""",
+)
 def pq_rerank(spark, folder):
-    index = ivf(spark, folder, pq_segments=8, pq_codes=16)
-    return index_search(index, spark, folder, nprobe=index.nlist, refine=8)
+    """Codes pick thirty rows of four cells; the exact distance ranks them."""
+    centres = given_centres(spark, folder)
+    books = [[c[8 * s : 8 * s + 8] for c in centres] for s in range(PQ_SEGMENTS)]
+    return index_search(given(spark, folder, codebooks=books), spark, folder, nprobe=4, refine=3)
+
+
+@query(
+    "ivf_mixed",
+    f"""WITH {SQL_MIXED},
+        d AS (SELECT vec_id, cell, CASE WHEN len(v) = 64 THEN round(list_distance(v, {SQL_VECTOR}), 6) END AS x FROM mixed)
+        SELECT vec_id, cell, CASE WHEN isnan(x) THEN NULL ELSE x END AS score FROM d""",
+)
+def ivf_mixed(spark, folder):
+    """An index over malformed vectors too, and a column named ``cell`` of the user's own."""
+    rows = mixed_embeddings(spark, folder)
+    index = VectorIndex.build(rows, shared_dir(spark), "vec_id", "embedding", nlist=8)
+    return index.search(query_vector(spark, folder), 1_000_000, index.nlist, names=["vec_id", "cell"], with_score=True, digits=DIGITS)
+
+
+# --- indexes that live with their table ------------------------------------------------
+
+
+def vector_store(spark: SparkSession) -> Store:
+    store = Store(spark, shared_dir(spark))
+    fields = [
+        field("vec_id", DataType.INT64, primary=True),
+        field("embedding", DataType.FLOAT_VECTOR, dim=64, nullable=True),
+        field("label", DataType.INT32, nullable=True),
+    ]
+    store.create_collection("points", schema=table_schema(fields), index_params=[{"name": "near", "column": "embedding", "nlist": 8}])
+    return store
+
+
+def store_search(store: Store, spark, folder) -> DataFrame:
+    q = query_vector(spark, folder)
+    return store.ann_search("points", q, "embedding", "l2", 10, names=["vec_id"], index="near", nprobe=8, with_score=True, digits=DIGITS)
+
+
+@query("index_then_insert", top_sql(L2))
+def index_then_insert(spark, folder):
+    """The index exists before the rows; one half is indexed, the other is not yet."""
+    store, rows = vector_store(spark), embeddings(spark, folder)
+    store.insert("points", rows.filter("vec_id % 2 = 0"))
+    store.rebuild_index("points", "near", full=False)
+    store.insert("points", rows.filter("vec_id % 2 = 1"))
+    return store_search(store, spark, folder)
+
+
+@query("ivf_after_delete", top_sql(L2, where="label <> 3 AND vec_id <> 0"))
+def ivf_after_delete(spark, folder):
+    """Rows deleted and changed since the index was built."""
+    store, rows = vector_store(spark), embeddings(spark, folder)
+    store.insert("points", rows.withColumn("embedding", F.when(F.col("vec_id") % 3 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))))
+    store.rebuild_index("points", "near")
+    store.delete("points", where="label = 3")
+    store.upsert("points", rows.filter("vec_id % 3 = 0 AND label <> 3"))
+    store.delete("points", ids=[0])
+    return store_search(store, spark, folder)
+
+
+@query("ivf_refreshed", top_sql(L2, where="label <> 3"))
+def ivf_refreshed(spark, folder):
+    """The same after an incremental refresh."""
+    store, rows = vector_store(spark), embeddings(spark, folder)
+    store.insert("points", rows.filter("vec_id % 2 = 0"))
+    store.rebuild_index("points", "near")
+    store.insert("points", rows.filter("vec_id % 2 = 1"))
+    store.delete("points", where="label = 3")
+    store.rebuild_index("points", "near", full=False)
+    return store_search(store, spark, folder)

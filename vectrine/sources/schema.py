@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.vectors import metric
+
 
 class DataType(IntEnum):
     """The type codes of declared fields."""
@@ -46,13 +48,15 @@ SIMPLE_TYPES = {
 }
 VECTORS = (DataType.FLOAT_VECTOR, DataType.BOOL_VECTOR)
 KEY_TYPES = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
+# What a quick collection's key may be called, and its default length.
 QUICK_ID_TYPES = {
     "str": DataType.VARCHAR,
     "string": DataType.VARCHAR,
     "int": DataType.INT64,
     "integer": DataType.INT64,
 }
-RESERVED = ("snap", "part", "subpart")
+MAX_LENGTH = 16384
+RESERVED = ("__snap", "__part", "__source", "part", "subpart")
 
 
 def field(
@@ -117,9 +121,10 @@ def quick_schema(
     id_type: DataType | str = DataType.INT64,
     vector_field_name: str = "vector",
     auto_id: bool = False,
-    max_length: int = 16384,
+    max_length: int = MAX_LENGTH,
+    metric_type: str = "l2",
 ) -> T.StructType:
-    """Two columns: a key and a vector."""
+    """Two columns: a key and a vector, searched by ``metric_type`` unless a search names another."""
     if isinstance(id_type, str):
         if id_type not in QUICK_ID_TYPES:
             raise ValueError(f"id_type must be one of {', '.join(QUICK_ID_TYPES)}")
@@ -131,7 +136,9 @@ def quick_schema(
         raise ValueError("a quick collection needs its dimension")
     length = max_length if id_type == DataType.VARCHAR else None
     key = field(primary_field_name, id_type, primary=True, auto_id=auto_id, max_length=length)
-    return table_schema([key, field(vector_field_name, DataType.FLOAT_VECTOR, dim=dimension, nullable=True)])
+    vector = field(vector_field_name, DataType.FLOAT_VECTOR, dim=dimension, nullable=True)
+    vector.metadata["metric"] = metric(metric_type).name
+    return table_schema([key, vector])
 
 
 def key_columns(schema: T.StructType) -> list[str]:

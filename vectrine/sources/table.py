@@ -11,18 +11,22 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.filters import IN_LIST_LIMIT, Condition, all_of, id_list, in_partitions, partition_test, single_key, with_ids
+from ..operators.filters import IN_LIST_LIMIT, Condition, all_of, id_list, id_rows, id_test, in_partitions, partition_test, single_key
 from ..commits import CommitConflict, Commits
-from .partitioning import PART, Partition, from_dict
+from .partitioning import PART, KeyPartition, Partition, from_dict
 from .schema import auto_id_column, conform, key_columns
 
-SNAP = "snap"
-RETRIES = 20
+# Names of columns that rows carry inside the library only.
+SNAP, BUCKET, SOURCE = "__snap", "__part", "__source"
+# A table without partitions is stored by a hash of its key, so that a change rewrites
+# a bucket and not everything.
+KEY_BUCKETS = 16
 BROADCAST_FILES = 200_000
 
 
@@ -50,14 +54,13 @@ def with_dense_ids(spark: SparkSession, path: str, column: str, start: int, dtyp
     )
 
 
-def last_per_key(rows: DataFrame, key: Sequence[str], order_by: Column | str | None = None) -> DataFrame:
-    """One row per key, the last by ``order_by`` (default: the order within the batch).
+def last_per_key(rows: DataFrame, key: Sequence[str], order_by: Column | str) -> DataFrame:
+    """One row per key, the last by ``order_by``.
 
     Aggregates before the shuffle, so a key repeated a million times sends one
     row per task.
     """
-    order = F.monotonically_increasing_id() if order_by is None else order_by
-    ordered = rows.withColumn("__order", F.expr(order) if isinstance(order, str) else order)
+    ordered = rows.withColumn("__order", F.expr(order_by) if isinstance(order_by, str) else order_by)
     kept = ordered.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), "__order").alias("row"))
     return kept.select("row.*")
 
@@ -87,14 +90,20 @@ class Table:
 
     @classmethod
     def create(
-        cls, spark: SparkSession, root: str, schema: T.StructType, partition: Partition | None = None
+        cls, spark: SparkSession, root: str, schema: T.StructType, partition: Partition | None = None, key_buckets: int = KEY_BUCKETS
     ) -> Table:
-        """An empty table, version 0."""
+        """An empty table, version 0. Without partitions, rows are stored in ``key_buckets`` buckets of their key."""
+        hidden = {SNAP, BUCKET, SOURCE} & set(schema.fieldNames())
+        if hidden:
+            raise ValueError(f"reserved column names: {', '.join(sorted(hidden))}")
+        keys = key_columns(schema)
+        buckets = KeyPartition(keys, [f"b{i:04d}" for i in range(key_buckets)]) if keys and partition is None and key_buckets > 1 else None
         Commits(spark, root).write(
             0,
             {
                 "schema": schema.jsonValue(),
                 "partition": partition.to_dict() if partition else None,
+                "buckets": buckets.to_dict() if buckets else None,
                 "folders": [],
                 "retired": [],
             },
@@ -133,9 +142,30 @@ class Table:
     def _labels(self) -> list[str]:
         return self.partition.levels() if self.partition else []
 
+    @property
+    def _layout(self) -> dict[str, Column]:
+        """The columns that name a row's folder, from the outermost level on."""
+        if self.partition is not None:
+            rules = [self.partition, self.partition.sub]
+            return {name: rule.label() for name, rule in zip(self._labels, rules)}
+        buckets = self._state.get("buckets")
+        return {BUCKET: from_dict(buckets).label()} if buckets else {}
+
+    @property
+    def sources(self) -> list[str]:
+        """Names of the folders that make up the table; the rows in one never change."""
+        return [unquote(f) for f in self._state["folders"]]
+
+    def _source(self) -> Column:
+        """The name of a row's folder."""
+        parts = [F.lit(f"{SNAP}="), F.col(SNAP)]
+        for level in list(self._layout)[:1]:
+            parts += [F.lit(f"/{level}="), F.col(level)]
+        return F.concat(*parts)
+
     def _scan(self, folders: Sequence[str]) -> DataFrame:
-        """Rows of these folders with the columns ``snap``, ``part``, ``subpart``."""
-        labels = [T.StructField(name, T.StringType()) for name in [SNAP, *self._labels]]
+        """Rows of these folders with the columns that name them."""
+        labels = [T.StructField(name, T.StringType()) for name in [SNAP, *self._layout]]
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema] + labels)
         if not folders:
             return self.spark.createDataFrame([], schema)
@@ -143,10 +173,11 @@ class Table:
         paths = [f"{data}/{folder}" for folder in folders]
         return self.spark.read.schema(schema).option("basePath", data).parquet(*paths)
 
-    def df(self, partitions: Sequence[str] | None = None, labels: bool = False) -> DataFrame:
-        """The table's rows; ``labels`` keeps the partition columns."""
+    def df(self, partitions: Sequence[str] | None = None, labels: bool = False, source: bool = False) -> DataFrame:
+        """The table's rows; ``labels`` keeps the partition columns, ``source`` names each row's folder."""
         rows = in_partitions(self._scan(self._state["folders"]), partitions)
-        return rows.select(*self.schema.fieldNames(), *(self._labels if labels else []))
+        extra = [F.col(c) for c in (self._labels if labels else [])] + ([self._source().alias(SOURCE)] if source else [])
+        return rows.select(*[F.col(f"`{c}`") for c in self.schema.fieldNames()], *extra)
 
     # --- writing ------------------------------------------------------------------
 
@@ -154,20 +185,23 @@ class Table:
         """Write rows under a new snapshot id; returns the folders that hold them."""
         snap = f"{SNAP}={uuid.uuid4().hex}"
         path = f"{self.root}/data/{snap}"
-        rule = self.partition
-        if rule is None:
+        layout = self._layout
+        if not layout:
             rows.write.parquet(path)
             return [snap]
-        labelled = rule.assign(rows)
         misfit = F.raise_error(F.lit("a row fits no partition")).cast("string")
-        labelled = labelled.withColumns({c: F.coalesce(F.col(c), misfit) for c in rule.levels()})
+        labelled = rows.withColumns({name: F.coalesce(label, misfit) for name, label in layout.items()})
         # brings a partition's rows together, and splits a partition too big for one task
-        labelled.hint("rebalance", *rule.levels()).write.partitionBy(*rule.levels()).parquet(path)
+        labelled.hint("rebalance", *layout).write.partitionBy(*layout).parquet(path)
         return [f"{snap}/{name}" for name in self._commits.folders(path)]
 
-    def _commit(self, build: Callable[[dict], dict | None], retries: int = 0) -> None:
-        """Apply ``build`` to the newest state; it may run again after a conflict."""
-        for attempt in range(retries + 1):
+    def _commit(self, build: Callable[[dict], dict | None], again: bool = False) -> None:
+        """Apply ``build`` to the newest state.
+
+        With ``again`` it is repeated after a conflict, on the state that won, until
+        it is committed; every conflict means that another writer got on.
+        """
+        while True:
             self.refresh()
             changed = build(dict(self._state))
             if changed is None:
@@ -176,7 +210,7 @@ class Table:
                 self._commits.write(self.version + 1, changed)
                 break
             except CommitConflict:
-                if attempt == retries:
+                if not again:
                     raise
         self.refresh()
 
@@ -194,10 +228,8 @@ class Table:
 
     def _folders_of(self, rows: DataFrame) -> list[str]:
         """Folders holding any of these rows (at most one entry per folder comes back)."""
-        levels = [SNAP] + ([PART] if self._labels else [])
-        hit = rows.select(*levels).distinct().collect()
-        names = {f"{SNAP}={r[SNAP]}" + (f"/{PART}={r[PART]}" if self._labels else "") for r in hit}
-        return [f for f in self._state["folders"] if f in names]
+        names = {r[0] for r in rows.select(self._source().alias(SOURCE)).distinct().collect()}
+        return [f for f in self._state["folders"] if unquote(f) in names]
 
     def _no_duplicates(self, rows: DataFrame) -> None:
         twice = rows.groupBy(*self.key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
@@ -226,45 +258,68 @@ class Table:
         The rows are written before they are checked, so an expensive input is
         computed once. Concurrent inserts retry until each is committed.
         """
-        auto = auto_id_column(self.schema)
+        auto, staged = auto_id_column(self.schema), None
         if auto is not None and auto not in rows.columns:
-            staged = f"{self.root}/staged/{uuid.uuid4().hex}"
-            conform(rows, self.schema, skip=[auto]).write.parquet(staged)
-            start = (self.df().agg(F.max(auto)).first()[0] or 0) + 1
-            rows = with_dense_ids(self.spark, staged, auto, start, self.schema[auto].dataType)
+            staged = f"staged/{uuid.uuid4().hex}"
+            path = f"{self.root}/{staged}"
+            conform(rows, self.schema, skip=[auto]).write.parquet(path)
+            start = self._reserve(auto, self.spark.read.parquet(path).count())
+            rows = with_dense_ids(self.spark, path, auto, start, self.schema[auto].dataType)
         folders = self._write(self._belongs(conform(rows, self.schema), partition))
+        if staged:
+            self._commits.delete(staged)
         written = self._scan(folders)
         if not folders or written.isEmpty():
             return self
         if check_keys and self.key:
             self._no_duplicates(written)
+        highest = written.agg(F.max(auto)).first()[0] if auto and not staged else None
 
         def build(state: dict) -> dict:
             if check_keys and self.key:
-                taken = self._scan(folders).select(*self.key).join(self.df().select(*self.key), self.key, "left_semi")
+                taken = self.df().select(*self.key).join(self._scan(folders).select(*self.key), self.key, "left_semi")
                 clash = taken.limit(1).collect()
                 if clash:
                     raise DuplicateKey(f"key {list(clash[0])} exists already")
+            if highest is not None:
+                state["next_id"] = max(state.get("next_id", 1), int(highest) + 1)
             return {**state, "folders": state["folders"] + folders}
 
-        self._commit(build, RETRIES)
+        self._commit(build, again=True)
         return self
 
+    def _reserve(self, auto: str, count: int) -> int:
+        """The first of ``count`` ids that no other insert gets; ids once reserved are not given again."""
+        start = 0
+
+        def build(state: dict) -> dict:
+            nonlocal start
+            start = state.get("next_id")
+            if start is None:
+                start = (self.df().agg(F.max(auto)).first()[0] or 0) + 1
+            return {**state, "next_id": start + count}
+
+        self._commit(build, again=True)
+        return start
+
     def upsert(self, rows: DataFrame, partition: str | None = None, order_by: Column | str | None = None) -> Table:
-        """Replace whole rows by key, add those that are new; the last of equal keys wins.
+        """Replace whole rows by key, add those that are new.
 
-        Columns the batch lacks become NULL.
+        ``order_by`` says which of several rows of one key is the last, which wins;
+        without it a key may occur once. Columns the batch lacks become NULL.
         """
         if not self.key:
             raise ValueError("upsert needs a primary key")
         self.refresh()
-        if isinstance(order_by, str) and order_by in rows.columns and order_by not in self.schema.fieldNames():
-            latest = last_per_key(rows, self.key, order_by).drop(order_by)
-        else:
-            latest = last_per_key(rows, self.key, order_by)
-        added = self._write(self._belongs(conform(latest, self.schema), partition))
+        if order_by is not None:
+            extra = isinstance(order_by, str) and order_by in rows.columns and order_by not in self.schema.fieldNames()
+            rows = last_per_key(rows, self.key, order_by)
+            rows = rows.drop(order_by) if extra else rows
+        added = self._write(self._belongs(conform(rows, self.schema), partition))
         if not added:
             return self
+        if order_by is None:
+            self._no_duplicates(self._scan(added))
         keys = self._scan(added).select(*self.key)
         touched = self._folders_of(self._scan(self._state["folders"]).join(keys, self.key, "left_semi"))
         kept = self._rewrite(touched, lambda old: old.join(keys, self.key, "left_anti"))
@@ -305,20 +360,23 @@ class Table:
         self.refresh()
         everything = self._state["folders"]
         if ids is None and where is None and (not partition or "/" not in partition):
-            gone = [f for f in everything if not partition or f.endswith(f"/{PART}={partition}")]
+            gone = [f for f in everything if not partition or unquote(f).endswith(f"/{PART}={partition}")]
             self._replace(gone, [])
             return self
         hit = self._condition(where, partition)
         rows = self._scan(everything)
         key = single_key(self.key) if ids is not None else None
-        if ids is not None and not isinstance(ids, DataFrame) and len(id_list(ids)) <= IN_LIST_LIMIT:
-            hit = F.coalesce(hit & F.col(key).isin(id_list(ids)), F.lit(False))
-            ids = None
+        if ids is not None and not isinstance(ids, DataFrame):
+            ids = id_list(ids)
+            if len(ids) <= IN_LIST_LIMIT:
+                hit, ids = F.coalesce(hit & id_test(rows, key, ids), F.lit(False)), None
+            else:
+                ids = id_rows(rows, key, ids)
         if ids is None:
             touched = self._folders_of(rows.filter(hit))
             kept = self._rewrite(touched, lambda old: old.filter(~hit))
         else:
-            doomed = with_ids(rows.filter(hit), key, ids)
+            doomed = rows.filter(hit).join(ids.select(key), key, "left_semi")
             touched = self._folders_of(doomed)
             kept = self._rewrite(touched, lambda old: old.join(doomed.select(key), key, "left_anti"))
         self._replace(touched, kept)
@@ -332,40 +390,34 @@ class Table:
         Only re-adding a name that was dropped before rewrites the rows, so that
         the old values cannot reappear.
         """
-        self.refresh()
-        names = self.schema.fieldNames()
-        for f in fields:
-            if f.name in names:
-                raise ValueError(f"column {f.name!r} exists already")
-            if not f.nullable and self._state["folders"]:
-                raise ValueError(f"column {f.name!r} must be nullable")
-        folders, retired = self._state["folders"], set(self._state["retired"])
-        if retired & {f.name for f in fields}:
-            folders, retired = self._rewrite(folders, lambda old: old), set()
-        schema = T.StructType(list(self.schema) + list(fields))
-        self._commit(
-            lambda state: {
-                **state,
-                "schema": schema.jsonValue(),
-                "folders": folders,
-                "retired": sorted(retired),
-            }
-        )
+
+        def build(state: dict) -> dict:
+            schema = T.StructType.fromJson(state["schema"])
+            for f in fields:
+                if f.name in schema.fieldNames():
+                    raise ValueError(f"column {f.name!r} exists already")
+                if f.name in (SNAP, BUCKET, SOURCE):
+                    raise ValueError(f"reserved column name {f.name!r}")
+                if not f.nullable and state["folders"]:
+                    raise ValueError(f"column {f.name!r} must be nullable")
+            changed = {**state, "schema": T.StructType([*schema, *fields]).jsonValue()}
+            if set(state["retired"]) & {f.name for f in fields}:
+                changed |= {"folders": self._rewrite(state["folders"], lambda old: old), "retired": []}
+            return changed
+
+        self._commit(build, again=True)
         return self
 
     def drop_columns(self, names: Sequence[str]) -> Table:
         """Remove columns from the schema; their stored values are no longer read."""
-        self.refresh()
-        missing = set(names) - set(self.schema.fieldNames())
-        if missing:
-            raise ValueError(f"no columns {', '.join(sorted(missing))}")
-        schema = T.StructType([f for f in self.schema if f.name not in names])
-        self._commit(
-            lambda state: {
-                **state,
-                "schema": schema.jsonValue(),
-                "retired": sorted({*state["retired"], *names}),
-            }
-        )
-        return self
 
+        def build(state: dict) -> dict:
+            schema = T.StructType.fromJson(state["schema"])
+            missing = set(names) - set(schema.fieldNames())
+            if missing:
+                raise ValueError(f"no columns {', '.join(sorted(missing))}")
+            left = T.StructType([f for f in schema if f.name not in names])
+            return {**state, "schema": left.jsonValue(), "retired": sorted({*state["retired"], *names})}
+
+        self._commit(build, again=True)
+        return self

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.sqlfuncs import run_sql
@@ -21,8 +22,8 @@ from .operators.hybrid import hybrid_search, search_hybrid
 from .operators.knn import knn, search
 from .commits import Commits
 from .sources.partitioning import Partition
-from .sources.schema import DataType, quick_schema
-from .sources.table import Table
+from .sources.schema import MAX_LENGTH, DataType, quick_schema
+from .sources.table import SOURCE, Table
 
 Rows = DataFrame | Mapping | Sequence[Mapping]
 
@@ -40,11 +41,23 @@ class Store:
 
     # --- tables -------------------------------------------------------------------
 
-    def create_table(self, name: str, schema: T.StructType, partitions: Partition | None = None) -> Table:
-        """Create an empty table; an existing one is kept as it is."""
+    def create_table(
+        self, name: str, schema: T.StructType, partitions: Partition | None = None, index_params: Sequence[Mapping] = ()
+    ) -> Table:
+        """Create an empty table with its indexes; an existing one is kept as it is.
+
+        Each of ``index_params`` holds ``name`` and ``column``, for a text index
+        ``kind="text"``, and the options of ``create_vector_index`` or
+        ``create_text_index``.
+        """
         if self.has_collection(name):
             return self.table(name)
-        return Table.create(self.spark, self._path(name), schema, partitions)
+        table = Table.create(self.spark, self._path(name), schema, partitions)
+        for params in index_params:
+            given = dict(params)
+            make = {"vector": self.create_vector_index, "text": self.create_text_index}[given.pop("kind", "vector")]
+            make(name, given.pop("name"), given.pop("column"), **given)
+        return table
 
     def create_collection(
         self,
@@ -54,14 +67,16 @@ class Store:
         id_type: DataType | str = DataType.INT64,
         vector_field_name: str = "vector",
         auto_id: bool = False,
-        max_length: int = 16384,
+        max_length: int = MAX_LENGTH,
         schema: T.StructType | None = None,
         partitions: Partition | None = None,
+        metric_type: str = "l2",
+        index_params: Sequence[Mapping] = (),
     ) -> Table:
-        """A table from ``schema``, or a quick one of a key and a vector."""
+        """A table from ``schema``, or a quick one of a key and a vector with its usual metric."""
         if schema is None:
-            schema = quick_schema(dimension, primary_field_name, id_type, vector_field_name, auto_id, max_length)
-        return self.create_table(name, schema, partitions)
+            schema = quick_schema(dimension, primary_field_name, id_type, vector_field_name, auto_id, max_length, metric_type)
+        return self.create_table(name, schema, partitions, index_params)
 
     def table(self, name: str) -> Table:
         return Table(self.spark, self._path(name))
@@ -72,11 +87,16 @@ class Store:
         return Table.exists(self.spark, self._path(name))
 
     def drop_collection(self, name: str) -> None:
-        """Delete a table's folder, if it exists."""
+        """Delete a table and its indexes, if it exists."""
+        Commits(self.spark, f"{self.root}/indexes/{name}").delete_all()
         Commits(self.spark, self._path(name)).delete_all()
 
     def rename_collection(self, old: str, new: str) -> None:
+        """Move a table; its indexes go along."""
         Commits(self.spark, self._path(old)).move_to(self._path(new))
+        indexes = Commits(self.spark, f"{self.root}/indexes/{old}")
+        for index in indexes.folders(indexes.root):
+            Commits(self.spark, self._index_path(old, index)).move_to(self._index_path(new, index))
 
     def get_collection_stats(self, name: str) -> DataFrame:
         """One row: ``row_count``."""
@@ -102,7 +122,12 @@ class Store:
             table.insert(rows, partition, check_keys)
 
     def upsert(self, name: str, data: Rows, partition: str | None = None, order_by: Column | str | None = None) -> None:
+        """Replace or add rows by key; of the dicts of a list with one key the last wins."""
         table = self.table(name)
+        if not isinstance(data, DataFrame) and order_by is None:
+            records = [data] if isinstance(data, Mapping) else list(data)
+            last = {tuple(r.get(c) for c in table.key): r for r in records}
+            data = list(last.values())
         rows = self._rows(table, data)
         if rows is not None:
             table.upsert(rows, partition, order_by)
@@ -147,14 +172,21 @@ class Store:
         refine: int | None = None,
         **options,
     ) -> DataFrame:
-        """Nearest rows by ``metric`` (l2 if absent): exact, or through a vector index."""
+        """Nearest rows by ``metric`` (else the column's, else l2): exact, or through a vector index.
+
+        Through an index, rows written after it was built are ranked too and rows
+        gone since are not found.
+        """
         table, rows, names = self._open(name, names)
+        usual = table.schema[column].metadata.get("metric", "l2") if column in table.schema.fieldNames() else "l2"
         if index is None:
-            return knn(rows, query, column, metric or "l2", k, key=table.key, names=names, **options)
+            return knn(rows, query, column, metric or usual, k, key=table.key, names=names, **options)
         found = self.vector_index(name, index)
         if column != found.vector or (metric or found.metric) != found.metric:
             raise ValueError(f"index {index!r} serves {found.metric} on {found.vector!r}")
-        return found.search(query, k, nprobe, refine=refine, names=names, **options)
+        missing = set(table.sources) - set(found.covered(table.sources))
+        fresh = table.df(labels=True, source=True).filter(F.col(SOURCE).isin(sorted(missing))) if missing else None
+        return found.search(query, k, nprobe, refine=refine, names=names, sources=table.sources, fresh=fresh, **options)
 
     def post_ann_search(self, name: str, query: Query, column: str, metric: str | None = None, k: int = 10, **options) -> DataFrame:
         """``ann_search`` without a threshold or an index."""
@@ -171,21 +203,41 @@ class Store:
     ) -> DataFrame:
         table, rows, names = self._open(name, names)
         if index is not None:
-            return self.text_index(name, index).search(rows, text, k, names=names, **options)
+            found = self.text_index(name, index)
+            if found.columns != [column]:
+                raise ValueError(f"index {index!r} reads {found.columns}, not {column!r}")
+            return found.search(table.df(labels=True, source=True), text, k, names=names, sources=table.sources, **options)
         return bm25_search(rows, text, column, k, key=table.key, names=names, **options)
 
-    def match_against(self, name: str, text: str, columns: Sequence[str], k: int = 10, *, names=None, **options) -> DataFrame:
+    def match_against(
+        self, name: str, text: str, columns: Sequence[str], k: int = 10, *, names=None, index: str | None = None, **options
+    ) -> DataFrame:
         table, rows, names = self._open(name, names)
+        if index is not None:
+            rows = table.df(labels=True, source=True)
+            options |= {"index": self.text_index(name, index), "sources": table.sources}
         return match_against(rows, text, columns, k, key=table.key, names=names, **options)
 
-    def hybrid_search(self, name: str, body: Mapping, **options) -> DataFrame:
+    def hybrid_search(
+        self, name: str, body: Mapping, *, text_indexes: Mapping[str, str] | None = None, vector_index: str | None = None, **options
+    ) -> DataFrame:
+        """``text_indexes`` names the index of each scored field, ``vector_index`` that of the vector.
+
+        Indexes are brought up to date first, so the result is that of the table.
+        """
         table = self.table(name)
+        if text_indexes:
+            options["text_indexes"] = {field: self.rebuild_index(name, index, full=False) for field, index in text_indexes.items()}
+        if vector_index is not None:
+            options["vector_index"] = self.rebuild_index(name, vector_index, full=False)
         return hybrid_search(table.df(), body, key=filters.single_key(table.key), **options)
 
     def search_hybrid(
-        self, name: str, query: Query, column: str, text: str, text_column: str, *, names=None, **options
+        self, name: str, query: Query, column: str, text: str, text_column: str, *, names=None, text_index: str | None = None, **options
     ) -> DataFrame:
         table, rows, names = self._open(name, names)
+        if text_index is not None:
+            options["text_index"] = self.rebuild_index(name, text_index, full=False)
         return search_hybrid(rows, query, column, text, text_column, key=table.key, names=names, **options)
 
     def sql(self, text: str, tables: Sequence[str], args: Mapping | None = None) -> DataFrame:
@@ -200,11 +252,13 @@ class Store:
         local = table.partition.levels() if table.partition else []
         key = filters.single_key(table.key)
         path = self._index_path(name, index)
-        return VectorIndex.build(table.df(labels=True), path, key, column, local=local, **options)
+        return VectorIndex.build(table.df(labels=True, source=True), path, key, column, local=local, sources=table.sources, **options)
 
-    def create_text_index(self, name: str, index: str, column: str, **options) -> TextIndex:
+    def create_text_index(self, name: str, index: str, column: str | Sequence[str], **options) -> TextIndex:
         table = self.table(name)
-        return TextIndex.build(table.df(), self._index_path(name, index), filters.single_key(table.key), column, **options)
+        return TextIndex.build(
+            table.df(labels=True, source=True), self._index_path(name, index), filters.single_key(table.key), column, **options
+        )
 
     def vector_index(self, name: str, index: str) -> VectorIndex:
         return VectorIndex(self.spark, self._index_path(name, index))
@@ -216,10 +270,14 @@ class Store:
         """Bring an index up to date: anew, or (``full=False``) from what changed."""
         path = self._index_path(name, index)
         commits = Commits(self.spark, path)
-        is_text = "column" in commits.read(commits.version())
+        is_text = "columns" in (state := commits.read(commits.version())) and "buckets" in state
         found = TextIndex(self.spark, path) if is_text else VectorIndex(self.spark, path)
-        rows = self.table(name).df(labels=not is_text)
-        return found.rebuild(rows) if full else found.refresh(rows)
+        table = self.table(name)
+        rows = table.df(labels=True, source=True)
+        if full:
+            return found.rebuild(rows) if is_text else found.rebuild(rows, sources=table.sources)
+        behind = set(table.sources) ^ set(found.state["sources"] or ())
+        return found.refresh(rows, table.sources) if behind else found
 
     def drop_index(self, name: str, index: str) -> None:
         Commits(self.spark, self._index_path(name, index)).delete_all()
