@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .oracles import OP1, OP2, OP6
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,14 +24,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_pii")
+@query("op1_pii", OP1)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     from .pii import pii_report
 
     return pii_report(table(spark, folder, "documents"))
 
 
-@query("op2_quality_rules")
+@query("op2_quality_rules", OP2)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     from .quality_rules import judge_quality
 
@@ -111,7 +112,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query("op6_decontamination")
+@query("op6_decontamination", OP6)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     from .decontaminate import contamination_report
 
