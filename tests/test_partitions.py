@@ -111,3 +111,11 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, folder):
         spark.conf.unset(size)
     files = table.df(["hot"]).select(F.input_file_name().alias("f")).distinct().count()
     assert files > 1 and table.df(["hot"]).count() == 100000 and table.df().count() == 300000
+
+
+@pytest.mark.parametrize(
+    "parts", [[("a", 2), ("b", 2)], [("a", 3), ("b", 2)], [("a", MAXVALUE), ("b", 9)], [("a", (1, 5)), ("b", (1, 5))], [("a", "2024"), ("b", "2023")]]
+)
+def test_range_bounds_ascend(parts):
+    with pytest.raises(ValueError, match="not above"):
+        RangePartition(parts, expr="x") if not isinstance(parts[0][1], tuple) else RangePartition(parts, columns=["x", "y"])

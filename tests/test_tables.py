@@ -327,6 +327,15 @@ def test_sql_over_tables(ann):
     assert [r["id"] for r in out.collect()] == [10, 11, 12, 111, 112, 9]
 
 
+def test_sql_leaves_the_callers_views(ann, spark):
+    spark.range(3).createOrReplaceTempView("ann")
+    out = ann.sql("select count(*) n from ann", ["ann"])
+    assert out.first()["n"] == 15 and spark.table("ann").count() == 3
+    spark.catalog.dropTempView("ann")
+    ann.sql("select 1 from ann", ["ann"])
+    assert not spark.catalog.listTables(pattern="ann")
+
+
 def test_indexes_of_a_store(ann):
     ann.create_vector_index("ann", "near", "embedding", nlist=2, metric="l2")
     exact = ann.ann_search("ann", [0.0] * 3, "embedding", k=7, with_score=True).collect()

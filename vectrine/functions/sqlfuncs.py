@@ -47,11 +47,20 @@ def run_sql(
     """Run SQL text with ``tables`` as views and the distance functions available.
 
     ``args`` fills the named markers (``:name``) of the text; a list becomes an array.
+    The views last for the call: a temporary view of the caller's with the same name
+    is back afterwards.
     """
     register_functions(spark)
-    for name, df in (tables or {}).items():
+    tables = tables or {}
+    held = {n: spark.table(n) for n in tables if any(t.isTemporary for t in spark.catalog.listTables(pattern=n))}
+    values = {n: F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else v for n, v in (args or {}).items()}
+    for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    if not args:
-        return spark.sql(text)
-    values = {n: F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else v for n, v in args.items()}
-    return spark.sql(text, args=values)
+    try:
+        return spark.sql(text, args=values) if values else spark.sql(text)
+    finally:
+        for name in tables:
+            if name in held:
+                held[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)

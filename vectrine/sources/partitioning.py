@@ -103,6 +103,13 @@ class RangePartition(_Listed):
 
     kind = "range"
 
+    def __init__(self, parts, **rule):
+        super().__init__(parts, **rule)
+        bounds = [[(1, 0) if _is_word(v, MAXVALUE) else (0, v) for v in (b if isinstance(b, list) else [b])] for _, b in self.parts]
+        for (name, _), low, high in zip(self.parts[1:], bounds, bounds[1:]):
+            if not low < high:
+                raise ValueError(f"the bound of partition {name!r} is not above the one before")
+
     def _takes(self, bound) -> Column:
         bounds = bound if isinstance(bound, list) else [bound]
         values = self._values()
