@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +59,54 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     step = max(1, min(SLICE_ROWS, rows * SLICE_BYTES // max(batch.nbytes, 1)))
     for start in range(0, rows, step):
         yield batch.slice(start, step)
+
+
+# Bits of a bitmap: at least 2^16, at most 2^27 (16 MB), else about 64 for each hash.
+LEAST_BITS, MOST_BITS, BITS_PER_HASH = 16, 27, 64
+
+
+class Bitmap:
+    """Which hashes may be in a set; a hash's last bits are its place."""
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.mask, self.words = np.uint64((1 << bits) - 1), words
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & self.mask
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bitmap_bits(hashes: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (hashes * BITS_PER_HASH).bit_length()))
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> Bitmap:
+    """Put together by Spark: at most 2^(bits - 6) words reach the driver, however many hashes there are."""
+    at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    word = F.shiftright(at, 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
+    rows = hashes.select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    words = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    words[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+    return Bitmap(bits, words)
+
+
+def without(docs: DataFrame, name: Column, listed: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``name`` is among those of ``listed`` (one column, no nulls).
+
+    Rows that a bitmap of the listed names rules out stay where they are. Only the
+    others, few more than there are listed rows, are shuffled for the exact join; with
+    more names than the bitmap has room for that becomes all of them.
+    """
+    names = written(listed.select(F.col(listed.columns[0]).alias("__name")))
+    rows = names.select(F.xxhash64("__name").alias("h"))
+    bits = bitmap_bits(rows.count())
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(rows, "h", bits))
+
+    @F.arrow_udf("boolean")
+    def may_be(hashes: pa.Array) -> pa.Array:
+        return pa.array(shared.value(hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    listed_maybe = name.isNotNull() & may_be(F.xxhash64(name))
+    rest = docs.filter(listed_maybe).join(names, name == F.col("__name"), "left_anti")
+    return docs.filter(~listed_maybe).unionByName(rest)

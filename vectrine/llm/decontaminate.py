@@ -23,11 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_batches, text_or_empty, written
+from .common import bitmap, bitmap_bits, over_batches, text_or_empty, without, written
 
 WINDOW = 10
-# Bits of each bitmap: at least 2^16, at most 2^27 (16 MB), else about 64 for each benchmark window.
-LEAST_BITS, MOST_BITS, BITS_PER_WINDOW = 16, 27, 64
 KNOWN_WORDS = 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -129,28 +127,6 @@ def item_windows(benchmark: DataFrame, item: str, text: str, window: int) -> Dat
     return written(found.select("item", F.explode("windows").alias("w")).select("item", "w.len", "w.fp", "w.win").distinct())
 
 
-class Bitmap:
-    """Which hashes may be in a set; a hash's last bits are its place."""
-
-    def __init__(self, bits: int, words: np.ndarray):
-        self.mask, self.words = np.uint64((1 << bits) - 1), words
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & self.mask
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
-def bitmap(hashes: DataFrame, column: str, bits: int) -> Bitmap:
-    """Put together by Spark: at most 2^(bits - 6) words reach the driver."""
-    at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    word = F.shiftright(at, 6).cast("int")
-    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
-    rows = hashes.select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    words = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    words[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
-    return Bitmap(bits, words)
-
-
 def _document_windows(lengths: list[int], shared):
     def run(batches):
         hashes = WordHashes()
@@ -200,7 +176,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     """
     units = item_windows(benchmark, item, item_text, window)
     size = units.agg(F.count("*").alias("n"), F.collect_set("len").alias("lengths")).first()
-    bits = min(MOST_BITS, max(LEAST_BITS, (size["n"] * BITS_PER_WINDOW).bit_length()))
+    bits = bitmap_bits(size["n"])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((bitmap(units, "fp", bits), bitmap(units, "win", bits)))
     slim = docs.select(F.col(f"`{key}`").alias("key"), text_name(F.col(f"`{text}`")).alias("copy"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -239,4 +215,4 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows whose text shares a window with the benchmark."""
     _, facts = find_contamination(docs, benchmark, key, text, item, item_text, window)
-    return docs.join(facts.select(F.col("copy").alias("__copy")), text_name(F.col(f"`{text}`")) == F.col("__copy"), "left_anti")
+    return without(docs, text_name(F.col(f"`{text}`")), facts.select("copy"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_batches, written
+from .common import over_batches, without, written
 from .components import components
 
 BITS = 64
@@ -217,8 +217,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     """
     name = F.col(f"`{key}`")
     marked = written(near_duplicates(docs, key, text, shingle, radius).select(name.alias("__key"), (name != F.col("component_id")).alias("__later")))
-    gone = marked.filter("__later").select("__key").distinct()
-    kept = docs.join(gone, name == F.col("__key"), "left_anti")
+    kept = without(docs, name, marked.filter("__later").select("__key").distinct())
     repeated = written(marked.filter("__key is not null").groupBy("__key").count().filter("count > 1").select("__key"))
     if repeated.isEmpty():
         return kept
