@@ -36,6 +36,7 @@ BLOCKS = 8
 # Words of 64 fingerprints that are compared before the walk looks whether all of them are too far.
 WORDS_PER_BLOCK = 256
 PLANES_PER_LOOK = 4
+TABLE_ROWS_PER_TASK = 1 << 20
 QUERIES_PER_PASS = 64
 
 
@@ -178,8 +179,11 @@ def _signed(mask: int) -> int:
 
 def links(prints: DataFrame, radius: int) -> DataFrame:
     """Links ``a, b`` that tie all distinct fingerprints (column ``fp``) within the radius."""
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in block_masks(radius)])
-    rows = prints.select("fp", F.posexplode(keys).alias("table", "bits"))
+    masks = block_masks(radius)
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])
+    # A fingerprint becomes a row of every table: few of them are a task's worth.
+    spread = prints.repartition(prints.count() * len(masks) // TABLE_ROWS_PER_TASK + 1, "fp")
+    rows = spread.select("fp", F.posexplode(keys).alias("table", "bits"))
     buckets = rows.groupBy("table", "bits").agg(F.collect_list("fp").alias("members")).filter("size(members) > 1")
     return buckets.select("members").mapInArrow(_link_buckets(radius), "a long, b long")
 
@@ -199,7 +203,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     names; an empty table gives no rows.
     """
     prints = written(fingerprints(docs, key, text, shingle))
-    classes = prints.groupBy("fp").agg(F.min("key").alias("first"))
+    classes = written(prints.groupBy("fp").agg(F.min("key").alias("first")))
     linked = components(links(classes.select("fp"), radius))
     # Node is any fingerprint of a group but its root; the root stands for itself.
     groups = linked.select(F.col("node").alias("fp"), "root").unionByName(linked.select(F.col("root").alias("fp"), "root").distinct())
