@@ -56,9 +56,10 @@ CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("article main section div body html table ul ol dl td th li blockquote nav footer aside header form".split())
 NOISE_NAMES = frozenset(
-    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer gdpr login menu modal nav "
-    "navbar navigation newsletter notice pager pagination popup promo promotion related replies reply search share sharing sidebar signup social "
-    "sponsor sponsored subscribe subscription toolbar widget contentinfo complementary alert alertdialog".split()
+    "ad ads advert advertisement advertisements advertising adverts alert alertdialog banner breadcrumb breadcrumbs comment commentlist comments "
+    "complementary consent contentinfo cookie cookies disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices "
+    "pager pagination popup promo promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored "
+    "subscribe subscription toolbar widget".split()
 )
 # Noise only outside the main text, where they open a page rather than an article.
 OUTER_NAMES = frozenset("header masthead".split())
