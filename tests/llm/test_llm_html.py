@@ -85,7 +85,9 @@ def site(i):
     return f"<html><body><div class='x1'><div class='y'>All rights kept by us</div></div><div class='x2'><h2>Title {i}</h2><p>Body number {i} is here.</p></div></body></html>"
 
 
-def test_templates_go_by_their_entropy(spark):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_templates_go_by_their_entropy(spark, monkeypatch, most):
+    monkeypatch.setattr("vectrine.llm.html_extract.BROADCAST_PATHS", most)
     pages = [(i, "https://h.example/p", site(i)) for i in range(40)]
     assert extract(spark, pages) == {i: f"Title {i}\nBody number {i} is here." for i in range(40)}
     few = [(i, "https://h.example/p", site(i)) for i in range(LEAST_PAGES - 1)]

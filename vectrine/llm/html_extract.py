@@ -35,6 +35,9 @@ CONTENT_WEIGHT = 0.9
 LEAST_IMPORTANCE = 0.2
 # Fewer pages of a path say nothing about a template.
 LEAST_PAGES = 8
+# Weak paths of all hosts that may go to all tasks: 8 MB.
+BROADCAST_PATHS = 1_000_000
+HOST_SALTS = 64
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -240,6 +243,20 @@ def importance(parsed: DataFrame) -> DataFrame:
     return nodes.select("host", "path", "pages", (CONTENT_WEIGHT * content + (1 - CONTENT_WEIGHT) * F.coalesce("presentation", F.lit(1.0))).alias("importance"))
 
 
+def _beside_hosts(pages: DataFrame, per_host: DataFrame, paths: int) -> DataFrame:
+    """Pages with their host's weak paths.
+
+    Up to ``BROADCAST_PATHS`` paths (8 bytes each) go to all tasks and the pages stay
+    where they are. Beyond that both are shuffled, each host dealt to ``HOST_SALTS``
+    groups, so that no host's pages meet in one task.
+    """
+    if paths <= BROADCAST_PATHS:
+        return pages.join(F.broadcast(per_host), "host", "left")
+    dealt = pages.withColumn("salt", F.pmod(F.xxhash64("page", "url"), F.lit(HOST_SALTS)))
+    lists = per_host.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOST_SALTS - 1).cast("long"))))
+    return dealt.join(lists, ["host", "salt"], "left").drop("salt")
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row per row of ``pages``: key, url, text, n_chars.
 
@@ -251,9 +268,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
     kind = slim.schema["page"].dataType.simpleString()
     parsed = slim.mapInArrow(over_batches(_parse), f"page {kind}, url string, blocks {BLOCKS}, texts {PAIRS}, styles {PAIRS}")
     parsed = written(parsed.withColumn("host", host_of(F.col("url"))))
-    weak = importance(parsed).filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
+    weak = written(importance(parsed).filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "path"))
     per_host = weak.groupBy("host").agg(F.collect_set("path").alias("weak"))
-    joined = parsed.select("page", "url", "host", "blocks").join(per_host, "host", "left")
+    joined = _beside_hosts(parsed.select("page", "url", "host", "blocks"), per_host, weak.count())
     strong = F.when(F.col("weak").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: ~F.array_contains(F.col("weak"), b["path"])))
     kept = joined.withColumn("strong", strong).withColumn("kept", F.when(F.size("strong") > 0, F.col("strong")).otherwise(F.col("blocks")))
     text = F.array_join(F.transform("kept", lambda b: b["text"]), "\n")
