@@ -31,32 +31,31 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def over_batches(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def over_batches(work: Callable[[pa.RecordBatch], pa.RecordBatch], size: int = 2 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that turns each batch into one batch, in small slices.
 
-    A slice holds at most ``SLICE_ROWS`` rows and about ``SLICE_BYTES`` (or one
+    A slice holds at most ``SLICE_ROWS`` rows and about ``size`` bytes (or one
     row that is larger), so the Python side never holds more than a few copies
     of that much text, however many rows Spark hands over at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size):
                 yield work(part)
 
     return run
 
 
-SLICE_ROWS = 1024
-SLICE_BYTES = 4 << 20
+SLICE_ROWS = 4096
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in order, cut by rows and bytes."""
     rows = batch.num_rows
     if not rows:
         return
-    step = max(1, min(SLICE_ROWS, rows * SLICE_BYTES // max(batch.nbytes, 1)))
+    step = max(1, min(SLICE_ROWS, rows * size // max(batch.nbytes, 1)))
     for start in range(0, rows, step):
         yield batch.slice(start, step)
 

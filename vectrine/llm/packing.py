@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import over_batches, written
-from .tokens import END, Encoder, shared_description
+from .tokens import END, SLICE_BYTES, shared_description, worker_encoder
 
 CAPACITY = 2048
 ROWS_PER_RANK_GROUP = 10_000
@@ -138,7 +138,7 @@ def _cut(shared, capacity: int, with_ids: bool):
     """Texts to pieces: (key, piece, start, length, checksum[, ids])."""
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared.value)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs = [ids + END for ids in encoder(batch.column(1).to_pylist())]
@@ -161,7 +161,7 @@ def _cut(shared, capacity: int, with_ids: bool):
                 names.append("ids")
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        yield from over_batches(work)(batches)
+        yield from over_batches(work, SLICE_BYTES)(batches)
 
     return run
 

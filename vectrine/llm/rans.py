@@ -17,8 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 
 SCALE = 18
-LANES = 64
-BLOCK_STEPS = 1024
+LANES = 128
+BLOCK_STEPS = 512
 CHECKPOINT_STEPS = 256
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)

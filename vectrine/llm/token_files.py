@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 from .rans import Block, Corrupt, Decoder, Frequencies, encode
-from .tokens import END, Encoder, shared_description
+from .tokens import END, SLICE_BYTES, shared_description, worker_encoder
 
 SEGMENT_IDS = 2 << 20
 TEXT_BYTES_PER_FILE = 32 << 20
@@ -32,7 +32,7 @@ def _schema(kind: str) -> str:
 
 def _write_task(shared, key_type: pa.DataType):
     def run(batches):
-        encoder, part = Encoder(shared.value), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(shared.value), TaskContext.get().partitionId()
         keys, docs, held, segment = [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -51,7 +51,7 @@ def _write_task(shared, key_type: pa.DataType):
             return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "keys", "lengths", "ids", "freq", "blocks"])
 
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, SLICE_BYTES):
                 for key, ids in zip(some.column(0).to_pylist(), encoder(some.column(1).to_pylist())):
                     keys.append(key)
                     docs.append(ids + END)

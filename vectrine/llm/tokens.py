@@ -5,28 +5,71 @@ The vocabulary file's path is a parameter. The driver reads the file, and its te
 
 A byte-level pre-tokenizer never joins the two sides of the last white-space
 character before a word, so a text may be cut there and each segment encoded by
-itself; the ids are the same. Segments repeat, so each task remembers the ids of
-those it has seen, up to a bound, and encodes only new ones. Vocabularies of another
-kind encode whole texts.
+itself; the ids are the same. Segments repeat, all the more without punctuation, so a Python worker remembers the ids of
+those it has seen, for the tasks it runs one after another and up to a bound, and
+encodes only new ones. Vocabularies of another kind encode whole texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import string
+import sys
 import zlib
+from array import array
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
 from pyspark.sql import SparkSession
 
 END_ID = 0
-CACHED_SEGMENTS = 400_000
+# Two generations of as many are remembered.
+CACHED_SEGMENTS = 250_000
 CACHED_CHARS = 48
+# Text cut at a time: the more, the fewer segments come again in a later slice.
+SLICE_BYTES = 4 << 20
 # Stands between segments; a text that holds it is encoded whole.
 MARK = "\0"
 
 
+# A white-space character at which a cut is not safe, as no other kind follows it.
+UNSAFE = re.compile(r"[ \n](?:\s|\Z)")
+# Letters up to here have been letters in every version of Unicode that the two sides may follow.
+LAST_PLAIN_LETTER = "\u052f"
+
+
+def stem_of(segment: str) -> tuple[str, ...] | None:
+    """The parts of a segment whose ids, one after another, are its own; None if it has one part only.
+
+    The pre-tokenizer cuts behind a newline that no white space follows, and wherever
+    punctuation follows a letter.
+    """
+    stem = segment.rstrip(string.punctuation)
+    if len(stem) == len(segment) or not stem or not stem[-1].isalpha() or stem[-1] > LAST_PLAIN_LETTER:
+        stem = segment
+    tail = segment[len(stem) :]
+    lead = segment[0] == "\n" and len(segment) > 1 and not segment[1].isspace()
+    if not (lead or tail):
+        return None
+    return tuple(p for p in (segment[:lead], stem[lead:], tail) if p)
+
+
+def byte_alphabet() -> dict[int, str]:
+    """What the byte-level pre-tokenizer makes of each plain character, as a translation table."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    return {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(ord(LAST_PLAIN_LETTER) + 1)}
+
+
+def one_word(segment: str) -> bool:
+    """Letters, perhaps behind a space: one unit of the pre-tokenizer."""
+    return (segment[1:] if segment[0] == " " else segment).isalpha() and (segment.isascii() or max(segment) <= LAST_PLAIN_LETTER)
+
+
 def segments(text: str) -> list[str]:
     """Pieces whose ids, one after another, are those of the text."""
     if MARK in text:
@@ -34,8 +77,7 @@ def segments(text: str) -> list[str]:
     found = text.replace("\n", MARK + "\n").replace(" ", MARK + " ").split(MARK)
     if not found[0]:
         found = found[1:]
-    # A cut is safe where the white-space character is followed by another kind.
-    if all(len(p) > 1 and not p[1].isspace() for p in found[1:]):
+    if not UNSAFE.search(text):
         return found
     out: list[str] = []
     for p in found:
@@ -54,6 +96,14 @@ def cuttable(description: str) -> bool:
     return bool(plain) and not d.get("normalizer") and not d.get("truncation") and not d.get("padding")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder != "little":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Encoder:
     """Texts to bytes of little-endian unsigned 32-bit ids; made inside a task."""
 
@@ -63,24 +113,63 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.cut = segments if cuttable(description) else lambda text: [text]
+        plain = cuttable(description)
+        self.cut = segments if plain else lambda text: [text]
+        self.parts = stem_of if plain else lambda segment: None
+        self.model, self.alphabet = (self.tokenizer.model, byte_alphabet()) if plain else (None, {})
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, new: Iterable[str]) -> None:
+        """Ids of segments: from the older generation, else from the tokenizer.
+
+        A single word needs no pre-tokenizer and goes to the tokenizer's model at once.
+        """
+        older, known, mixed = self.older, self.known, []
+        for s in new:
+            ids = older.get(s)
+            if ids is not None:
+                known[s] = ids
+            elif self.model is not None and one_word(s):
+                known[s] = packed([t.id for t in self.model.tokenize(s.translate(self.alphabet))])
+            else:
+                mixed.append(s)
+        for s, e in zip(mixed, self.tokenizer.encode_batch_fast(mixed, add_special_tokens=False)):
+            known[s] = packed(e.ids)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (none of a null one), without an end."""
         if len(self.known) > CACHED_SEGMENTS:
-            self.known = {}
+            self.older, self.known = self.known, {}
         cut = [self.cut(t) if t else [] for t in texts]
-        new = [s for s in set(chain.from_iterable(cut)) if s not in self.known]
-        ids = {s: np.array(e.ids, dtype="<u4").tobytes() for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        long = [s for s in new if len(s) > CACHED_CHARS]
-        self.known.update(ids)
-        out = [b"".join(map(self.known.__getitem__, row)) for row in cut]
-        for s in long:
-            del self.known[s]
+        known = self.known
+        new = set(chain.from_iterable(cut)).difference(known)
+        parts = {s: p for s in new if (s[0] == "\n" or not s[-1].isalnum()) and (p := self.parts(s))}
+        needed = new.difference(parts).union(*parts.values()).difference(known)
+        self._learn(needed)
+        # Segments that were put together, and long ones, are known for this call only.
+        for s, p in parts.items():
+            known[s] = b"".join(map(known.__getitem__, p))
+        out = [b"".join(map(known.__getitem__, row)) for row in cut]
+        for s in parts:
+            del known[s]
+        for s in needed:
+            if len(s) > CACHED_CHARS:
+                del known[s]
         return out
 
 
+def worker_encoder(description: str) -> Encoder:
+    """The encoder of this Python worker, kept with the tokenizers module from task to task."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_encoders_by_description", {})
+    if description not in held:
+        held.clear()
+        held[description] = Encoder(description)
+    return held[description]
+
+
 END = np.array([END_ID], dtype="<u4").tobytes()
 
 
