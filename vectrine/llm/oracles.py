@@ -146,3 +146,17 @@ OP6 = f"""
     SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+OP11 = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t)),
+f AS (SELECT words, min(doc_id) AS first FROM g GROUP BY words HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, list(DISTINCT p) AS places FROM
+           (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (words) WHERE doc_id > first) GROUP BY doc_id),
+x AS (SELECT doc_id, w, i, NOT list_contains(coalesce(places, []), i) AS kept FROM (SELECT t.doc_id, w, places, unnest(range(1, len(w) + 1)) AS i FROM t LEFT JOIN gone USING (doc_id))),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (NOT kept) AS n_removed,
+        sha256(coalesce(string_agg(w[i], ' ' ORDER BY i) FILTER (kept), '')) AS kept_sha256 FROM x GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .oracles import OP1, OP2, OP6
+from .oracles import OP1, OP2, OP6, OP11
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     from .sharding import assign_shards
 
     return assign_shards(table(spark, folder, "documents"))
+
+
+@query("op11_substring_dedup", OP11)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from .substrings import repeat_report
+
+    return repeat_report(table(spark, folder, "documents"))
