@@ -160,3 +160,32 @@ k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (NOT kept) AS n_remove
 SELECT t.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
 FROM t LEFT JOIN k USING (doc_id)
 """
+
+
+# CRC-32 of the decimal digits, bit by bit.
+SQL_CRC32 = """
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), range(8)),
+        lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)"""
+
+OP13 = rf"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns FROM conversations GROUP BY conv_id),
+taken AS (SELECT conv_id, turns, conv_id - conv_id % 20 AS base, {SQL_CRC32} % 4 AS h FROM own),
+full_turns AS (
+  SELECT t.conv_id, list_concat(coalesce(b.turns[1:t.h], []), t.turns[t.h + 1:]) AS s FROM taken t LEFT JOIN own b ON t.base = b.conv_id),
+prefixes AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM full_turns),
+nodes AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, list(conv_id ORDER BY conv_id) FILTER (len(s) = depth) AS ends
+  FROM (SELECT *, s[1:depth] AS p FROM prefixes) GROUP BY p, depth),
+priced AS (
+  SELECT *, (n_convs - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(p[depth].text, '[^\x20\x09-\x0D]+')) END AS saved FROM nodes),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+marked AS (SELECT priced.*, coalesce(kids.n, 0) AS n_children FROM priced LEFT JOIN kids USING (p)),
+under AS (
+  SELECT u.p, sum(v.saved)::BIGINT AS saved_tokens, (count(*) FILTER (v.n_children = 0))::BIGINT AS n_leaves
+  FROM marked u JOIN marked v ON v.depth >= u.depth AND v.p[1:u.depth] = u.p GROUP BY u.p)
+SELECT m.conv_id, m.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(array_to_string(m.ends, ','), '')) AS ends_sha256
+FROM marked m JOIN under USING (p) LEFT JOIN nodes parent ON m.depth > 0 AND parent.p = m.p[1:m.depth - 1]
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .oracles import OP1, OP2, OP6, OP11
+from .oracles import OP1, OP2, OP6, OP11, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,17 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     from .substrings import repeat_report
 
     return repeat_report(table(spark, folder, "documents"))
+
+
+@query("op12_feast_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_prefix_trie", OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from .prefix_trie import trie
+
+    return trie(table(spark, folder, "conversations"))
