@@ -79,8 +79,17 @@ def check_packing(rows, texts, whole, capacity=2048):
     assert docs.keys() == want.keys()
     for k, all_ids in want.items():
         pieces = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in docs[k])
-        expected = sorted((i, s, len(ids[s : s + capacity]), crc(ids[s : s + capacity])) for ids in all_ids for i, s in enumerate(range(0, len(ids), capacity)))
-        assert pieces == expected
+        expected = []
+        for ids in all_ids:
+            # as many whole sequences from the end as there are; what stands before them is the first piece
+            parts = []
+            while len(ids) > capacity:
+                ids, part = ids[:-capacity], ids[-capacity:]
+                parts.insert(0, part)
+            parts.insert(0, ids)
+            expected += [(i, sum(map(len, parts[:i])), len(p), crc(p)) for i, p in enumerate(parts)]
+        assert pieces == sorted(expected)
+        assert all(r["length"] == capacity for r in docs[k] if r["piece"] > 0)
     bins = defaultdict(list)
     for r in rows:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))

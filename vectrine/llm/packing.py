@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import over_batches, written
-from .tokens import END, SLICE_BYTES, shared_description, worker_encoder
+from .tokens import END, SLICE_BYTES, Encoder, give_back, shared_description
 
 CAPACITY = 2048
 ROWS_PER_RANK_GROUP = 10_000
@@ -134,23 +134,28 @@ class Plan:
         return out
 
 
+def cuts(total: int, capacity: int) -> list[tuple[int, int]]:
+    """(start, end) of a document's pieces: all of a full sequence but the first, which holds what is left over."""
+    ends = range((total - 1) % capacity + 1, total + 1, capacity)
+    return list(zip([0, *ends[:-1]], ends))
+
+
 def _cut(shared, capacity: int, with_ids: bool):
     """Texts to pieces: (key, piece, start, length, checksum[, ids])."""
 
     def run(batches):
-        encoder = worker_encoder(shared.value)
+        encoder = Encoder(shared.value)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs = [ids + END for ids in encoder(batch.column(1).to_pylist())]
             row, piece, start, length, sums, ids = [], [], [], [], [], []
             for i, doc in enumerate(docs):
-                total = len(doc) // 4
-                for p, at in enumerate(range(0, total, capacity)):
-                    part = doc[4 * at : 4 * (at + capacity)]
+                for p, (at, end) in enumerate(cuts(len(doc) // 4, capacity)):
+                    part = doc[4 * at : 4 * end]
                     row.append(i)
                     piece.append(p)
                     start.append(at)
-                    length.append(len(part) // 4)
+                    length.append(end - at)
                     sums.append(zlib.crc32(part))
                     if with_ids:
                         ids.append(part)
@@ -162,6 +167,8 @@ def _cut(shared, capacity: int, with_ids: bool):
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         yield from over_batches(work, SLICE_BYTES)(batches)
+        encoder.forget()
+        give_back()
 
     return run
 
@@ -170,7 +177,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     """``key, piece, start, length, ids_crc32`` (and ``ids``, little-endian 32-bit) of every document.
 
     A document is its ids and the end id. Only longer ones than the capacity are
-    cut; the last piece holds the rest.
+    cut, into pieces of the capacity; the first piece may be shorter.
     """
     slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = slim.schema["key"].dataType.simpleString()

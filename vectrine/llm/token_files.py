@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 from .rans import Block, Corrupt, Decoder, Frequencies, encode
-from .tokens import END, SLICE_BYTES, shared_description, worker_encoder
+from .tokens import END, SLICE_BYTES, Encoder, give_back, shared_description
 
 SEGMENT_IDS = 2 << 20
 TEXT_BYTES_PER_FILE = 32 << 20
@@ -32,7 +32,7 @@ def _schema(kind: str) -> str:
 
 def _write_task(shared, key_type: pa.DataType):
     def run(batches):
-        encoder, part = worker_encoder(shared.value), TaskContext.get().partitionId()
+        encoder, part = Encoder(shared.value), TaskContext.get().partitionId()
         keys, docs, held, segment = [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -61,6 +61,8 @@ def _write_task(shared, key_type: pa.DataType):
                         keys, docs, held, segment = [], [], 0, segment + 1
         if docs:
             yield flush()
+        encoder.forget()
+        give_back()
 
     return run
 

@@ -5,13 +5,13 @@ The vocabulary file's path is a parameter. The driver reads the file, and its te
 
 A byte-level pre-tokenizer never joins the two sides of the last white-space
 character before a word, so a text may be cut there and each segment encoded by
-itself; the ids are the same. Segments repeat, all the more without punctuation, so a Python worker remembers the ids of
-those it has seen, for the tasks it runs one after another and up to a bound, and
-encodes only new ones. Vocabularies of another kind encode whole texts.
+itself; the ids are the same. Segments repeat, all the more without punctuation, so a
+task remembers the ids of those it has seen, up to a bound, and encodes only new ones. Vocabularies of another kind encode whole texts.
 """
 
 from __future__ import annotations
 
+import ctypes.util
 import json
 import os
 import re
@@ -23,11 +23,12 @@ from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 END_ID = 0
 # Two generations of as many are remembered.
-CACHED_SEGMENTS = 250_000
+CACHED_SEGMENTS = 100_000
 CACHED_CHARS = 48
 # Text cut at a time: the more, the fewer segments come again in a later slice.
 SLICE_BYTES = 4 << 20
@@ -120,6 +121,10 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop what is remembered."""
+        self.known, self.older = {}, {}
+
     def _learn(self, new: Iterable[str]) -> None:
         """Ids of segments: from the older generation, else from the tokenizer.
 
@@ -159,15 +164,12 @@ class Encoder:
         return out
 
 
-def worker_encoder(description: str) -> Encoder:
-    """The encoder of this Python worker, kept with the tokenizers module from task to task."""
-    import tokenizers
-
-    held = tokenizers.__dict__.setdefault("_encoders_by_description", {})
-    if description not in held:
-        held.clear()
-        held[description] = Encoder(description)
-    return held[description]
+def give_back() -> None:
+    """Return freed memory to the system at a task's end, as the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
+        trim.malloc_trim(0)
 
 
 END = np.array([END_ID], dtype="<u4").tobytes()
