@@ -100,3 +100,15 @@ def test_logistic_finds_a_threshold():
     x = np.linspace(-1, 1, 201)[:, None]
     w = logistic(x, (x[:, 0] > 0.3).astype(float))
     assert -w[1] / w[0] == pytest.approx(0.3, abs=0.05)
+
+
+def test_a_huge_labelled_text_does_not_end_the_sample(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality")
+    usual = train(docs, labels, sample_bytes=1 << 20)
+    ids = [i for i in range(10**6, 10**6 + 50)]
+    huge = spark.createDataFrame([(i, f"bad {i} " * 150_000) for i in ids[:2]], "doc_id long, text string")
+    both = train(docs.unionByName(huge), labels.unionByName(spark.createDataFrame([(i, 0) for i in ids[:2]], "doc_id long, quality int")), sample_bytes=1 << 20)
+    assert both == usual
+    only = spark.createDataFrame([(1, "good words here", 1), (2, "bad " * 1000, 0)], "doc_id long, text string, quality int")
+    with pytest.raises(Exception, match="bytes or less"):
+        train(only, only, sample_bytes=1000)

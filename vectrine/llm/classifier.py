@@ -9,7 +9,9 @@ labelled texts that built neither dictionary.
 
 Training reads a bounded sample of the labelled rows: the ``sample`` rows per label
 that come first by a hash of their key, and of these no more than ``sample_bytes``
-bytes of text per label. Scoring has no such bound.
+bytes of text per label. Texts over a ``LARGE_SHARE``th of that come after all others,
+from short to long, so that none of them takes the place of many. Scoring has no such
+bound.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ DICTIONARY_BYTES = 112_640
 DICTIONARY_PIECES = 4000
 SAMPLE = 3000
 SAMPLE_BYTES = 16 << 20
+LARGE_SHARE = 64
 RIDGE = 0.01
 
 
@@ -128,9 +131,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     ids = chosen[0].unionByName(chosen[1])  # 2 x sample rows at most
     body = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     rows = body.join(F.broadcast(ids), "key").groupBy("key", "y", "place").agg(F.min("text").alias("text"))
-    so_far = F.sum(F.octet_length("text").cast("long")).over(Window.partitionBy("y").orderBy("place", "key"))
-    turn = F.row_number().over(Window.partitionBy("y").orderBy("place", "key"))
-    return written(rows.select("key", "y", "text", so_far.alias("bytes"), (turn % 2).alias("part")).filter(F.col("bytes") <= sample_bytes).drop("bytes"))
+    size = F.octet_length("text").cast("long")
+    large = F.when(size > sample_bytes // LARGE_SHARE, size).otherwise(0)
+    order = Window.partitionBy("y").orderBy(large, "place", "key")
+    so_far, turn = F.sum(size).over(order), F.row_number().over(order)
+    none = F.raise_error(F.lit(f"no text of a label has {sample_bytes} bytes or less")).cast("boolean")
+    ranked = rows.select("key", "y", "text", so_far.alias("bytes"), turn.alias("turn"))
+    fits = F.when(F.col("bytes") <= sample_bytes, True).when(F.col("turn") == 1, none).otherwise(False)
+    return written(ranked.filter(fits).select("key", "y", "text", (F.col("turn") % 2).alias("part")))
 
 
 def train(
@@ -145,7 +153,7 @@ def train(
 ) -> Model | None:
     """A model, or None where the usable labels don't hold both classes.
 
-    ``usable``: which labelled rows may be learnt from, as a condition on ``key``.
+    A label whose texts are all longer than ``sample_bytes`` is an error. ``usable``: which labelled rows may be learnt from, as a condition on ``key``.
     """
     rows = labelled_sample(docs, labels, key, text, label, F.lit(True) if usable is None else usable, sample, sample_bytes)
     dictionaries = {}
