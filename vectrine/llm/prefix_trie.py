@@ -167,20 +167,20 @@ def trie(talks: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
 
     children = nodes.filter("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("pa").alias("a"), F.col("pb").alias("b")).agg(F.count("*").alias("n_children"))
     parents = nodes.filter("depth > 0").select((F.col("depth") + 1).alias("depth"), F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("conv_id").alias("parent_conv_id"))
-    # every node of depth 1 has the root for its parent
-    top = nodes.filter("depth = 0").select(F.lit(1).cast("long").alias("depth"), F.col("conv_id").alias("root"))
+    # every node of depth 1 has the root for its parent; there is one root, or no node at all
+    root = nodes.filter("depth = 0").first()
+    top = F.when(F.col("depth") == 1, F.lit(root["conv_id"] if root else None).cast("long"))
     listed = ends.join(digests, ends["first"] == digests["conv"]).select(*NODE, "ends")
     none = hashlib.sha256(b"").hexdigest()
     return (
         nodes.join(sums, NODE)
         .join(children, NODE, "left")
         .join(parents, ["depth", "pa", "pb"], "left")
-        .join(F.broadcast(top), "depth", "left")
         .join(listed, NODE, "left")
         .select(
             "conv_id",
             "depth",
-            F.coalesce("parent_conv_id", "root").alias("parent_conv_id"),
+            F.coalesce("parent_conv_id", top).alias("parent_conv_id"),
             "n_convs",
             F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children"),
             "n_leaves",
