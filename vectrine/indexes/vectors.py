@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,19 +19,25 @@ from pyspark.sql import types as T
 
 from ..functions.kernels import batch_matrix, nearest_rows, unit_rows
 from ..functions.vectors import float32, metric as find_metric, rounded, squared_norm
-from ..operators.filters import Condition, apply_filter, in_partitions
-from ..operators.knn import knn
+from ..operators.filters import IN_LIST_LIMIT, Condition, apply_filter, in_partitions
+from ..operators.knn import SCORE, knn
 from ..commits import Commits
 from ..sources.table import SOURCE
 
 METRICS = ("l2", "cosine")
 # Columns that indexed rows carry beside the table's.
 CELL, CODES = "__cell", "__codes"
+# The distance of a row to its cell's centroid, in the space the centroids were trained in.
+FAR = "__far"
 # Rows whose vector has no nearest centroid: NULL, of another length, with a hole or
 # NaN, or zero under cosine.
 NO_CELL = -1
 BLOCK_BYTES = 64 << 20
 BROADCAST_ROWS = 10_000
+# KMeans sees this many rows per centroid (or code) unless told otherwise.
+TRAIN_ROWS_PER_CENTRE = 256
+# Share of the distances by which bounds are widened against rounding.
+SLACK = 1e-9
 
 
 def _normalised(vector: Column) -> Column:
@@ -60,34 +67,40 @@ def _centres(rows: DataFrame, k: int, seed: int) -> np.ndarray:
 
 
 def _nearest_of(block, start: int, dim: int, metric: str):
-    """UDF: struct(cost, cell) of the nearest centre in one broadcast block."""
+    """UDF: struct(cost, cell, far) of the nearest centre in one broadcast block."""
 
-    @F.arrow_udf("struct<cost: double, cell: int>")
+    @F.arrow_udf("struct<cost: double, cell: int, far: double>")
     def nearest(batch: pa.Array) -> pa.Array:
         c = block.value
-        x, ok = batch_matrix(batch, dim)
-        ok = ok & ~np.isnan(x).any(axis=1)
-        if metric == "cosine":
-            ok = ok & (x != 0).any(axis=1)
-            x = unit_rows(x)
+        x, ok = usable_matrix(batch, dim, metric)
         best, costs = nearest_rows(x, c)
-        cells = (best + start).astype(np.int32)
-        return pa.StructArray.from_arrays(
-            [pa.array(costs), pa.array(cells)], names=["cost", "cell"], mask=pa.array(~ok)
-        )
+        gaps = x - c[best]
+        fields = [pa.array(costs), pa.array((best + start).astype(np.int32)), pa.array(np.sqrt((gaps * gaps).sum(axis=1)))]
+        return pa.StructArray.from_arrays(fields, names=["cost", "cell", "far"], mask=pa.array(~ok))
 
     return nearest
 
 
+def usable_matrix(batch: pa.Array, dim: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors in the space of the centroids, and which of them have a place there."""
+    x, ok = batch_matrix(batch, dim)
+    ok = ok & ~np.isnan(x).any(axis=1)
+    if metric == "cosine":
+        ok = ok & (x != 0).any(axis=1)
+        x = unit_rows(x)
+    return x, ok
+
+
+def centre_blocks(spark: SparkSession, centres: np.ndarray) -> list[tuple[int, Broadcast]]:
+    """The centres in blocks of bounded size, each with the number of its first."""
+    per_block = max(1, BLOCK_BYTES // (8 * centres.shape[1]))
+    return [(at, spark.sparkContext.broadcast(centres[at : at + per_block])) for at in range(0, len(centres), per_block)]
+
+
 def _nearest(spark: SparkSession, vector: Column, centres: np.ndarray, metric: str) -> Column:
-    """Number of the nearest centre; the centres travel in blocks of bounded size."""
-    dim = centres.shape[1]
-    per_block = max(1, BLOCK_BYTES // (8 * dim))
-    candidates = [
-        _nearest_of(spark.sparkContext.broadcast(centres[start : start + per_block]), start, dim, metric)(vector)
-        for start in range(0, len(centres), per_block)
-    ]
-    return F.array_min(F.array(*candidates))["cell"] if len(candidates) > 1 else candidates[0]["cell"]
+    """struct(cost, cell, far) of the nearest centre."""
+    candidates = [_nearest_of(block, start, centres.shape[1], metric)(vector) for start, block in centre_blocks(spark, centres)]
+    return F.array_min(F.array(*candidates)) if len(candidates) > 1 else candidates[0]
 
 
 def segment_bounds(dim: int, segments: int) -> list[tuple[int, int]]:
@@ -164,9 +177,10 @@ class VectorIndex:
     ) -> VectorIndex:
         """Train centroids (and codebooks), assign every row, write a new version.
 
-        ``local`` names partition columns: cells are then kept per partition. All
-        usable rows are trained on, unless ``train_rows`` bounds the rows KMeans
-        sees; every row is indexed. The vectors' length is ``dim``, else the one
+        ``local`` names partition columns: cells are then kept per partition. KMeans
+        sees a sample of ``train_rows`` usable rows, by default
+        ``TRAIN_ROWS_PER_CENTRE`` for each centroid (or code, if these are more);
+        every row is indexed. The vectors' length is ``dim``, else the one
         declared in the column's metadata, else the most frequent one; rows of
         another length have no cell. Given ``centroids`` (and ``codebooks``, one
         list of codes per segment) are used as they are.
@@ -176,7 +190,7 @@ class VectorIndex:
             raise ValueError(f"an IVF index serves {', '.join(METRICS)}, not {name}")
         if not 1 <= pq_codes <= 1 << 15:
             raise ValueError("pq_codes must lie between 1 and 32768")
-        taken = {CELL, CODES} & set(df.columns)
+        taken = {CELL, CODES, FAR} & set(df.columns)
         if taken:
             raise ValueError(f"reserved column names: {', '.join(sorted(taken))}")
         options = {"nlist": nlist, "pq_segments": pq_segments, "pq_codes": pq_codes, "train_rows": train_rows, "seed": seed}
@@ -218,7 +232,8 @@ class VectorIndex:
         if not rows:
             return dim, None, None
         usable = usable.filter(F.size("v") == dim)
-        if train_rows and rows > train_rows:
+        train_rows = train_rows or TRAIN_ROWS_PER_CENTRE * max(nlist, pq_codes if pq_segments else 0)
+        if rows > train_rows:
             usable = usable.sample(min(1.0, train_rows / rows), seed=seed)
         training = f"training-{uuid.uuid4().hex}"
         v = F.col("v")
@@ -244,11 +259,14 @@ class VectorIndex:
         folder = f"{commits.root}/{part}"
         metric, local, dim = state["metric"], state["local"], state["dim"]
         vector = F.col(f"`{state['vector']}`")
-        cell = F.lit(NO_CELL) if centres is None else F.coalesce(_nearest(spark, vector, centres, metric), F.lit(NO_CELL))
-        rows = df.withColumn(CELL, cell)
+        no_place = F.lit(None).cast("struct<cost: double, cell: int, far: double>")
+        place = no_place if centres is None else _nearest(spark, vector, centres, metric)
+        rows = df.withColumn("__place", place).withColumns({CELL: F.coalesce("__place.cell", F.lit(NO_CELL)), FAR: F.col("__place.far")}).drop("__place")
         if books is not None:
             rows = rows.withColumn(CODES, _encode(spark, vector, books, dim, metric))
         rows.hint("rebalance", *local, CELL).write.partitionBy(*local, CELL).parquet(f"{folder}/rows")
+        stored = spark.read.schema(f"{FAR} double, {CELL} int").parquet(f"{folder}/rows")
+        stored.groupBy(CELL).agg(F.count("*").alias("rows"), F.min(FAR).alias("least"), F.max(FAR).alias("most")).coalesce(1).write.parquet(f"{folder}/bounds")
         if not state["parts"]:
             cls._write_trained(spark, folder, centres, books)
         covered = None if sources is None else sorted(set(sources))
@@ -290,6 +308,7 @@ class VectorIndex:
     def rows(self, sources: Sequence[str] | None = None) -> DataFrame:
         """The table's columns plus ``CELL`` (and ``CODES``); only rows of folders the table has (or of ``sources``)."""
         fields = [f for f in T.StructType.fromJson(self.state["schema"]) if f.name not in self.local]
+        fields += [T.StructField(FAR, T.DoubleType())]
         fields += [T.StructField(CODES, T.ArrayType(T.ShortType()))] if self.state["segments"] else []
         fields += [T.StructField(c, T.StringType()) for c in self.local] + [T.StructField(CELL, T.IntegerType())]
         rows = [self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{p}/rows") for p in self.state["parts"]]
@@ -307,6 +326,11 @@ class VectorIndex:
     def centroids(self) -> DataFrame:
         return self._read("centroids", f"{CELL} int, centroid array<double>")
 
+    def bounds(self) -> DataFrame:
+        """Per cell: rows, and the least and most distance of one to the centroid (rows that the table has no more included)."""
+        parts = [self.spark.read.schema(f"{CELL} int, rows long, least double, most double").parquet(f"{self.path}/{p}/bounds") for p in self.state["parts"]]
+        return reduce(DataFrame.unionByName, parts).groupBy(CELL).agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most"))
+
     def codebooks(self) -> DataFrame:
         return self._read("codebooks", "segment int, code int, centre array<double>")
 
@@ -326,15 +350,90 @@ class VectorIndex:
         norm = float(np.sqrt((q * q).sum()))
         return q / norm if self.metric == "cosine" and norm > 0 else q
 
-    def near_cells(self, query: Sequence[float], nprobe: int) -> list[int]:
+    def _centre_distance(self, query: Sequence[float]) -> Column:
         gap = F.zip_with("centroid", F.lit(self._trained_form(query)), lambda x, y: x - y)
-        far = F.aggregate(gap, F.lit(0.0), lambda acc, d: acc + d * d)
+        return F.sqrt(F.aggregate(gap, F.lit(0.0), lambda acc, d: acc + d * d))
+
+    def near_cells(self, query: Sequence[float], nprobe: int) -> list[int]:
+        far = self._centre_distance(query)
         return [r[CELL] for r in self.centroids().orderBy(far, CELL).limit(nprobe).select(CELL).collect()]
 
+    def of_cells(self, rows: DataFrame, cells: Sequence[int] | None) -> DataFrame:
+        """Rows of these cells, of all if None."""
+        if cells is None or len(cells) <= IN_LIST_LIMIT:
+            return rows if cells is None else rows.filter(F.col(CELL).isin(list(cells)))
+        # a list of cell numbers: at most ``nlist`` of them
+        return rows.join(F.broadcast(self.spark.createDataFrame([(int(c),) for c in cells], f"{CELL} int")), CELL, "left_semi")
+
     def probe(self, query: Sequence[float], nprobe: int, sources: Sequence[str] | None = None) -> DataFrame:
         """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on."""
-        rows = self.rows(sources)
-        return rows if nprobe >= self.nlist else rows.filter(F.col(CELL).isin(self.near_cells(query, nprobe)))
+        return self.of_cells(self.rows(sources), None if nprobe >= self.nlist else self.near_cells(query, nprobe))
+
+    # --- which cells to read ----------------------------------------------------------
+
+    def _reach(self, query: Sequence[float]) -> list[tuple[float, float, int]]:
+        """(least possible distance of a row, distance of the centroid, cell), nearest possible row first.
+
+        By the triangle inequality a row as far as r from its centroid, which is d from
+        the query, lies between |d - r| and d + r. One entry per cell that has rows.
+        """
+        known = self.centroids().select(CELL, self._centre_distance(query).alias("d")).join(self.bounds(), CELL)
+        least = F.greatest(F.lit(0.0), F.col("d") - F.col("most"), F.col("least") - F.col("d"))
+        return sorted((r["reach"], r["d"], r[CELL]) for r in known.select(CELL, "d", least.alias("reach")).collect())
+
+    def _in_space(self, score: float, digits: int | None) -> float:
+        """The distance between a query and a row of this score where centroids live, rounded up."""
+        score += 0.0 if digits is None else 10.0**-digits
+        return float(np.sqrt(2 * max(score, 0.0))) if self.metric == "cosine" else score
+
+    def cells_for(
+        self,
+        query: Sequence[float],
+        k: int,
+        nprobe: int = 8,
+        *,
+        exact: bool = False,
+        allowed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        threshold: float | None = None,
+        digits: int | None = None,
+        sources: Sequence[str] | None = None,
+    ) -> list[int] | None:
+        """Cells to read for the ``k`` best of the ``allowed`` rows; None where all rows are needed.
+
+        Begins with ``nprobe`` cells and takes twice as many each round. Without
+        ``exact`` the cells with the nearest centroids are taken until they hold ``k``
+        allowed rows. With it, cells are taken by the least distance a row of theirs can
+        have, until that passes the ``k``-th best found (or ``threshold``): what is left
+        cannot change the result. A round reads its own cells only and returns at most
+        ``k`` scores.
+        """
+        placed = len(query) == self.dim and not any(x != x for x in query) and (self.metric != "cosine" or any(query))
+        if not self.nlist or not placed:
+            return None
+        cells = self._reach(query)
+        if not exact:
+            cells.sort(key=lambda c: (c[1], c[2]))
+        wide = max((d for _, d, _ in cells), default=0.0)
+        limit = float("inf") if threshold is None else self._in_space(threshold, digits)
+        taken: list[int] = []
+        best: list[float] = []
+        found, step = 0, max(1, nprobe)
+        while len(taken) < len(cells):
+            some = [c for reach, _, c in cells[len(taken) : len(taken) + step] if not exact or reach <= limit + SLACK * (wide + limit if limit < float("inf") else 1.0)]
+            if not some:
+                return taken
+            rows = allowed(self.of_cells(self.rows(sources), some))
+            taken, step = taken + some, 2 * step
+            if exact:
+                near = knn(rows, query, self.vector, self.metric, k, key=self.key, names=[self.key], with_score=True, digits=digits).select(SCORE).collect()
+                best = sorted(best + [r[SCORE] for r in near if r[SCORE] is not None])[:k]
+                if len(best) == k:
+                    limit = min(limit, self._in_space(best[-1], digits))
+            else:
+                found += rows.limit(k - found).count()
+                if found >= k:
+                    return taken
+        return taken if exact and (len(best) == k or threshold is not None) else None
 
     def _approximate(self, query: Sequence[float]) -> Column:
         """Squared distance from the query to the coded form of a row, by table lookup."""
@@ -351,10 +450,12 @@ class VectorIndex:
         k: int = 10,
         nprobe: int = 8,
         *,
+        exact: bool = False,
         refine: int | None = None,
         where: Condition | None = None,
         partitions: Sequence[str] | None = None,
         names: Sequence[str] | None = None,
+        threshold: float | None = None,
         post_filter: bool = False,
         expand: int | None = None,
         sources: Sequence[str] | None = None,
@@ -364,14 +465,29 @@ class VectorIndex:
     ) -> DataFrame:
         """Top ``k`` of the probed cells by exact distance; takes the options of ``knn``.
 
-        With ``refine``, the codes first pick the best ``k * refine`` rows and only
-        those are ranked exactly. At ``nprobe=nlist`` without it the result is exact.
-        ``sources`` are the folders the table has now and ``fresh`` its rows in
-        folders the index does not cover: they are ranked exactly beside the cells.
+        Reads the ``nprobe`` nearest cells; under a filter or a partition limit, more of
+        them until ``k`` rows pass (a few small jobs find out). With ``exact`` it reads
+        the cells that may hold one of the true ``k`` best, and no others. With
+        ``refine``, the codes first pick the best ``k * refine`` rows and only those
+        are ranked exactly. ``sources`` are the folders the table has now and ``fresh``
+        its rows in folders the index does not cover: they are ranked exactly beside
+        the cells.
         """
-        rows = in_partitions(self.probe(query, nprobe, sources), partitions)
-        new = None if fresh is None else in_partitions(fresh, partitions)
         narrow = post_filter and expand is not None
+        limited = partitions is not None or (where is not None and not narrow)
+        if exact or (limited and nprobe < self.nlist):
+
+            def allowed(rows: DataFrame) -> DataFrame:
+                return apply_filter(in_partitions(rows, partitions), None if narrow else where)
+
+            ask = k * expand if narrow else k
+            cells = self.cells_for(query, ask, nprobe, exact=exact, allowed=allowed, threshold=threshold, digits=digits, sources=sources)
+            rows = self.of_cells(self.rows(sources), cells)
+        else:
+            rows = self.probe(query, nprobe, sources)
+        rows = in_partitions(rows, partitions)
+        options |= {"threshold": threshold}
+        new = None if fresh is None else in_partitions(fresh, partitions)
         if narrow:
             options |= {"where": where, "post_filter": True, "expand": expand}
         else:
@@ -388,7 +504,13 @@ class VectorIndex:
             )
             small = k * refine <= BROADCAST_ROWS
             rows = rows.join(F.broadcast(picked) if small else picked, self.key, "left_semi")
-        rows = rows.drop(CELL, CODES, SOURCE)
+        rows = rows.drop(CELL, FAR, CODES, SOURCE)
         if new is not None:
             rows = rows.unionByName(new.select(*rows.columns))
         return knn(rows, query, self.vector, self.metric, k, key=self.key, names=names or self.state["columns"], digits=digits, **options)
+
+    def search_many(self, queries: DataFrame, query_key: str, query_vector: str, k: int = 10, nprobe: int = 8, **options) -> DataFrame:
+        """The ``k`` nearest rows of every query: (query_id, key, score, rank); see ``cell_join``."""
+        from .cell_join import cell_join
+
+        return cell_join(self, queries, query_key, query_vector, k, nprobe, **options)

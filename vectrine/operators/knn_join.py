@@ -115,7 +115,7 @@ def _beside_broadcast(block, dim: int, metric: str, k: int, digits: int | None,
     return run
 
 
-def _beside_group(dim: int, metric: str, k: int, digits: int | None, sign: float, out: StructType):
+def beside_group(dim: int, metric: str, k: int, digits: int | None, sign: float, out: StructType):
     """A cogrouped function: the best k of a group of corpus rows for a block of queries."""
 
     def run(queries: pa.Table, points: pa.Table) -> pa.Table:
@@ -144,7 +144,7 @@ def _grid(q: DataFrame, points: DataFrame, dim: int, n: int, block_bytes: int, t
     left = q.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("g", numbers(groups))
     right = points.withColumn("g", F.pmod(F.xxhash64("key"), F.lit(groups))).withColumn("b", numbers(blocks))
     by = [F.col("g").cast("long"), F.col("b").cast("long")]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_beside_group(dim, metric, k, digits, sign, out), out)
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(beside_group(dim, metric, k, digits, sign, out), out)
 
 
 def knn_join(
@@ -188,8 +188,17 @@ def knn_join(
             found.append(points.mapInArrow(_beside_broadcast(block, width, *task, out.names), out))
         else:
             found.append(_grid(part, points, width, n, block_bytes, task, out))
+    return merge_best(reduce(DataFrame.unionByName, found, spark.createDataFrame([], out)), key, m, k, digits)
+
+
+def merge_best(found: DataFrame, key: str, m: Metric, k: int, digits: int | None) -> DataFrame:
+    """The ``k`` best of (query_id, key, score) rows per query, with their rank.
+
+    Merged in two stages, so that no group of the second holds more than ``k`` rows for
+    each of ``MERGE_GROUPS``.
+    """
     # numpy and Spark round half-way cases differently; settle on Spark's rule
-    merged = reduce(DataFrame.unionByName, found, spark.createDataFrame([], out)).withColumn("score", rounded(F.col("score"), digits))
+    merged = found.withColumn("score", rounded(F.col("score"), digits))
     order = [m.order(F.col("score")), F.col(f"`{key}`").asc()]
     first = Window.partitionBy(QUERY_ID, "__group").orderBy(*order)
     some = merged.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))).withColumn("rank", F.row_number().over(first))

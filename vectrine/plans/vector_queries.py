@@ -507,6 +507,72 @@ def ivf_mixed(spark, folder):
     return index.search(query_vector(spark, folder), 1_000_000, index.nlist, names=["vec_id", "cell"], with_score=True, digits=DIGITS)
 
 
+@query("ivf_exact", top_sql(L2))
+def ivf_exact(spark, folder):
+    """Only cells that can hold one of the ten nearest are read."""
+    return index_search(ivf(spark, folder), spark, folder, nprobe=2, exact=True)
+
+
+@query("ivf_exact_cosine", top_sql(COSINE, k=25))
+def ivf_exact_cosine(spark, folder):
+    return index_search(ivf(spark, folder, metric="cosine"), spark, folder, k=25, nprobe=1, exact=True)
+
+
+@query("ivf_exact_threshold", top_sql(L2, k=50, where="score <= 1.2"))
+def ivf_exact_threshold(spark, folder):
+    return index_search(ivf(spark, folder), spark, folder, k=50, nprobe=2, exact=True, threshold=1.2)
+
+
+RARE = "label = 3 AND vec_id % 5 = 2"
+
+
+@query("ivf_filtered", top_sql(L2, where=RARE))
+def ivf_filtered(spark, folder):
+    """A filter that few rows pass: cells are read until the ten nearest of these are certain."""
+    return index_search(ivf(spark, folder), spark, folder, nprobe=2, exact=True, where=RARE)
+
+
+@query("ivf_widened", f"WITH t AS ({top_sql(L2, where=RARE)}) SELECT count(*) AS n, 0::BIGINT AS others FROM t")
+def ivf_widened(spark, folder):
+    """The same filter on the nearest cells: as many rows as the filter leaves, and none that it does not."""
+    found = index_search(ivf(spark, folder), spark, folder, nprobe=1, where=RARE)
+    passing = embeddings(spark, folder).filter(RARE).select("vec_id", F.lit(0).alias("other"))
+    return found.join(passing, "vec_id", "left").agg(F.count("*").alias("n"), F.sum(F.coalesce("other", F.lit(1))).alias("others"))
+
+
+def batch_by_cell(index: VectorIndex, spark: SparkSession, folder: str, **options) -> DataFrame:
+    items = read(spark, folder, "benchmark").select(F.col("item_id").alias("vec_id"))
+    wanted = embeddings(spark, folder).join(items, "vec_id", "left_semi")
+    return index.search_many(wanted, "vec_id", "embedding", 10, digits=DIGITS, **options)
+
+
+@query("knn_batch_cells", sql_batch("list_distance(embedding::DOUBLE[], qv)"))
+def knn_batch_cells(spark, folder):
+    """Queries and rows dealt by cell, in pieces and blocks; all cells are probed, so the result is exact."""
+    return batch_by_cell(ivf(spark, folder), spark, folder, nprobe=16, block_bytes=8 * 64 * 20)
+
+
+@query("knn_batch_cells_cosine", sql_batch("list_cosine_distance(embedding::DOUBLE[], qv)"))
+def knn_batch_cells_cosine(spark, folder):
+    return batch_by_cell(ivf(spark, folder, metric="cosine"), spark, folder, nprobe=16)
+
+
+@query(
+    "knn_batch_probe",
+    f"""WITH {SQL_CENTRES},
+        cells AS (SELECT vec_id, arg_min(c, list_distance(v, m)) AS cell FROM e, centres GROUP BY vec_id),
+        q AS (SELECT vec_id AS query_id, v AS qv FROM e WHERE vec_id IN (SELECT item_id FROM benchmark)),
+        near AS (SELECT query_id, qv, c, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(qv, m), c) AS p FROM q, centres),
+        d AS (SELECT query_id, e.vec_id, round(list_distance(v, qv), 6) AS score
+              FROM near JOIN cells ON cell = c JOIN e ON e.vec_id = cells.vec_id WHERE p <= 4),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+        SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 10""",
+)
+def knn_batch_probe(spark, folder):
+    """Four of sixteen given cells for every query."""
+    return batch_by_cell(given(spark, folder), spark, folder, nprobe=4)
+
+
 # --- indexes that live with their table ------------------------------------------------
 
 

@@ -20,6 +20,7 @@ from .operators import filters
 from .operators.bm25 import bm25_search, match_against
 from .operators.hybrid import hybrid_search, search_hybrid
 from .operators.knn import knn, search
+from .operators.knn_join import knn_join
 from .commits import Commits
 from .sources.partitioning import Partition
 from .sources.schema import MAX_LENGTH, DataType, quick_schema
@@ -181,12 +182,35 @@ class Store:
         usual = table.schema[column].metadata.get("metric", "l2") if column in table.schema.fieldNames() else "l2"
         if index is None:
             return knn(rows, query, column, metric or usual, k, key=table.key, names=names, **options)
+        found = self._index_of(name, index, column, metric)
+        fresh = self._not_covered(table.df(labels=True, source=True), table, found)
+        return found.search(query, k, nprobe, refine=refine, names=names, sources=table.sources, fresh=fresh, **options)
+
+    def _index_of(self, name: str, index: str, column: str, metric: str | None) -> VectorIndex:
         found = self.vector_index(name, index)
         if column != found.vector or (metric or found.metric) != found.metric:
             raise ValueError(f"index {index!r} serves {found.metric} on {found.vector!r}")
-        missing = set(table.sources) - set(found.covered(table.sources))
-        fresh = table.df(labels=True, source=True).filter(F.col(SOURCE).isin(sorted(missing))) if missing else None
-        return found.search(query, k, nprobe, refine=refine, names=names, sources=table.sources, fresh=fresh, **options)
+        return found
+
+    @staticmethod
+    def _not_covered(rows: DataFrame, table: Table, index: VectorIndex) -> DataFrame | None:
+        """The table's rows in folders the index does not know."""
+        missing = set(table.sources) - set(index.covered(table.sources))
+        return rows.filter(F.col(SOURCE).isin(sorted(missing))) if missing else None
+
+    def ann_search_many(
+        self, name: str, queries: DataFrame, query_key: str, query_vector: str, column: str, metric: str | None = None, k: int = 10,
+        *, index: str | None = None, nprobe: int = 8, digits: int | None = None,
+    ) -> DataFrame:
+        """Nearest rows of every query, (query_id, key, score, rank): exact, or through the cells of a vector index."""
+        table = self.table(name)
+        rows, key = table.df(source=True), filters.single_key(table.key)
+        if index is None:
+            usual = table.schema[column].metadata.get("metric", "l2")
+            return knn_join(queries, rows, query_key=query_key, query_vector=query_vector, key=key, vector=column, metric=metric or usual, k=k, digits=digits)
+        found = self._index_of(name, index, column, metric)
+        fresh = self._not_covered(rows, table, found)
+        return found.search_many(queries, query_key, query_vector, k, nprobe, digits=digits, sources=table.sources, fresh=fresh)
 
     def post_ann_search(self, name: str, query: Query, column: str, metric: str | None = None, k: int = 10, **options) -> DataFrame:
         """``ann_search`` without a threshold or an index."""
