@@ -34,23 +34,31 @@ def query_terms(spark: SparkSession, text: str) -> list[str]:
     return terms_of(spark, [text])[0]
 
 
-def term_counts(text: Column | str) -> Column:
+def term_counts(text: Column | str, places: bool = False) -> Column:
     """struct(length, array of (term, tf)): a text's tokens counted inside its row.
 
     The tokens are sorted, so a term's count is the distance to the next one's first
     place. The one-element arrays bind a value to a name, so it is not computed per use.
+    With ``places`` every term also has the ascending ``places`` of its tokens in the text.
     """
 
     def runs(s: Column) -> Column:
+        def term(i: Column) -> Column:
+            return F.get(s, i)["term"] if places else F.get(s, i)
+
         n = F.size(s)
-        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-        first = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        counted = F.transform(
-            F.array(first),
-            lambda at: F.transform(
-                at, lambda i, j: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, j + 1), n) - i).cast("long").alias("tf"))
-            ),
-        )[0]
-        return F.struct(n.alias("length"), counted.alias("terms"))
-
-    return F.transform(F.array(F.sort_array(tokens(text))), runs)[0]
+        all_of = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        first = F.filter(all_of, lambda i: (i == 0) | (term(i) != term(i - 1)))
+
+        def counted(at: Column, i: Column, j: Column) -> Column:
+            tf = F.coalesce(F.get(at, j + 1), n) - i
+            more = [F.transform(F.slice(s, i + 1, tf), lambda t: t["place"]).alias("places")] if places else []
+            return F.struct(term(i).alias("term"), tf.cast("long").alias("tf"), *more)
+
+        terms = F.transform(F.array(first), lambda at: F.transform(at, lambda i, j: counted(at, i, j)))[0]
+        return F.struct(n.alias("length"), terms.alias("terms"))
+
+    cut = tokens(text)
+    if places:
+        cut = F.transform(cut, lambda t, i: F.struct(t.alias("term"), i.alias("place")))
+    return F.transform(F.array(F.sort_array(cut)), runs)[0]

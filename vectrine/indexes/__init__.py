@@ -1,4 +1,5 @@
 from .postings import TextIndex, postings_of
+from .sparse import SparseIndex
 from .vectors import VectorIndex
 
-__all__ = ["TextIndex", "VectorIndex", "postings_of"]
+__all__ = ["SparseIndex", "TextIndex", "VectorIndex", "postings_of"]

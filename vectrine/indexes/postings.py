@@ -24,15 +24,20 @@ LEAST_BUCKETS = 8
 BUCKET = "__bucket"
 # The source of rows that belong to no versioned table.
 ANYWHERE = ""
+# Documents of like length and by hash: the unit that a top-k search reads or passes over.
+BLOCK = "__block"
+LENGTH_CLASSES = 16
+FIRST_BLOCKS = 16
+MOST_ROUND_BLOCKS = 1024
 
 
-def postings_of(df: DataFrame, key: str, column: str | Column) -> DataFrame:
-    """(key, term, tf, length[, source]): one row per document and distinct token, counted inside the row."""
+def postings_of(df: DataFrame, key: str, column: str | Column, places: bool = False) -> DataFrame:
+    """(key, term, tf, length[, places][, source]): one row per document and distinct token, counted inside the row."""
     text = F.col(column) if isinstance(column, str) else column
     kept = [F.col(f"`{c}`") for c in (key, SOURCE) if c in df.columns]
-    counted = df.select(*kept, term_counts(text).alias("__c"))
+    counted = df.select(*kept, term_counts(text, places).alias("__c"))
     exploded = counted.select(*kept, F.col("__c.length").alias("length"), F.explode("__c.terms").alias("__t"))
-    return exploded.select(kept[0], "__t.term", "__t.tf", "length", *kept[1:])
+    return exploded.select(kept[0], "__t.term", "__t.tf", "length", *(["__t.places"] if places else []), *kept[1:])
 
 
 class TextIndex:
@@ -45,9 +50,15 @@ class TextIndex:
     An index of a versioned table (rows with the column ``SOURCE``) knows which of
     the table's folders it covers. Folders are never changed, so a refresh adds
     the postings of new ones, and those of folders that are gone are passed over.
+
+    With ``block_documents`` documents are dealt into blocks of about that size and
+    like length, and the largest count and least length of every term in every block
+    are stored beside the postings: a top-k search then passes over blocks that cannot
+    reach the result. With ``positions`` postings hold the places of the tokens, for
+    phrases.
     """
 
-    RESERVED = ("term", "tf", "length", BUCKET, SOURCE)
+    RESERVED = ("term", "tf", "length", "places", BLOCK, BUCKET, SOURCE)
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -63,7 +74,9 @@ class TextIndex:
     # --- building -----------------------------------------------------------------
 
     @classmethod
-    def build(cls, df: DataFrame, path: str, key: str, column: str | Sequence[str], buckets: int | None = None) -> TextIndex:
+    def build(
+        cls, df: DataFrame, path: str, key: str, column: str | Sequence[str], buckets: int | None = None, *, block_documents: int | None = None, positions: bool = False
+    ) -> TextIndex:
         """Index the whole table; an existing index at ``path`` gets a new version.
 
         Several columns are read as one text, joined by spaces.
@@ -71,9 +84,12 @@ class TextIndex:
         if key in cls.RESERVED:
             raise ValueError(f"{key!r} is a name the index uses itself")
         columns = [column] if isinstance(column, str) else list(column)
+        documents = df.count() if buckets is None or block_documents else 0
         if buckets is None:
-            buckets = max(LEAST_BUCKETS, df.count() // DOCUMENTS_PER_BUCKET)
-        state = {"key": key, "columns": columns, "buckets": buckets, "parts": [], "sources": {}}
+            buckets = max(LEAST_BUCKETS, documents // DOCUMENTS_PER_BUCKET)
+        splits = max(1, documents // (block_documents * LENGTH_CLASSES)) if block_documents else None
+        state = {"key": key, "columns": columns, "buckets": buckets, "parts": [], "sources": {}, "positions": positions}
+        state |= {"block_documents": block_documents, "splits": splits}
         return cls._append(df, path, state)
 
     @staticmethod
@@ -88,19 +104,29 @@ class TextIndex:
         folder = f"{commits.root}/{part}"
         key, text = state["key"], cls._text(state["columns"])
         rows = df if SOURCE in df.columns else df.withColumn(SOURCE, F.lit(ANYWHERE))
-        postings = postings_of(rows, key, text)
+        postings = postings_of(rows, key, text, state["positions"])
         if kept is not None:
             postings = postings.unionByName(kept)
-        (
-            postings.withColumn(BUCKET, cls._bucket(F.col("term"), state["buckets"]))
-            .hint("rebalance", BUCKET)
-            .sortWithinPartitions(BUCKET, "term")
-            .write.partitionBy(BUCKET)
-            .parquet(f"{folder}/postings")
-        )
         state = {**state, "parts": [*state["parts"], part], "key_type": df.schema[key].dataType.simpleString()}
+        cls._write_postings(postings, folder, state)
         return cls._documents_of(rows, folder, state, commits, spark)
 
+    @classmethod
+    def _write_postings(cls, postings: DataFrame, folder: str, state: dict) -> None:
+        """Postings by bucket, term and block; then what bounds a term's weight in each block."""
+        rows = postings.withColumn(BUCKET, cls._bucket(F.col("term"), state["buckets"]))
+        order = [BUCKET, "term"]
+        if state["splits"]:
+            # lengths of one class differ by a fifth at most, so that a block's least length says much
+            like = F.floor(F.log2(F.col("length").cast("double")) * 4).cast("long")
+            block = like * F.lit(1 << 32) + F.pmod(F.xxhash64(F.col(f"`{state['key']}`")), F.lit(state["splits"]))
+            rows, order = rows.withColumn(BLOCK, block), [*order, BLOCK]
+        rows.hint("rebalance", BUCKET).sortWithinPartitions(*order).write.partitionBy(BUCKET).parquet(f"{folder}/postings")
+        if state["splits"]:
+            stored = cls._read_part(postings.sparkSession, folder, state, "postings")
+            most = stored.groupBy(BUCKET, "term", BLOCK, SOURCE).agg(F.count("*").alias("rows"), F.max("tf").alias("tf"), F.min("length").alias("length"))
+            most.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "term").write.partitionBy(BUCKET).parquet(f"{folder}/bounds")
+
     @classmethod
     def _documents_of(cls, rows: DataFrame, folder: str, state: dict, commits: Commits, spark: SparkSession) -> TextIndex:
         text = F.coalesce(cls._text(state["columns"]), F.lit(""))
@@ -118,7 +144,8 @@ class TextIndex:
 
     def rebuild(self, df: DataFrame) -> TextIndex:
         """A full new version from the current table."""
-        return self.build(df, self.path, self.key, self.columns, self.buckets)
+        options = {"block_documents": self.state.get("block_documents"), "positions": self.state.get("positions", False)}
+        return self.build(df, self.path, self.key, self.columns, self.buckets, **options)
 
     def refresh(self, df: DataFrame, sources: Sequence[str] | None = None) -> TextIndex:
         """A new version that cuts only new and changed texts into tokens.
@@ -136,7 +163,7 @@ class TextIndex:
         before = self.documents()
         gone = before.join(now, identity, "left_anti").select(self.key)
         new = now.join(before, identity, "left_anti").select(self.key)
-        kept = self.postings().join(gone, self.key, "left_anti").select(self.key, "term", "tf", "length", F.lit(ANYWHERE).alias(SOURCE))
+        kept = self._read("postings").join(gone, self.key, "left_anti").drop(BLOCK, BUCKET).withColumn(SOURCE, F.lit(ANYWHERE))
         added = df.drop(SOURCE).join(new, self.key, "left_semi")
         return self._replace(df.drop(SOURCE), added, kept)
 
@@ -146,10 +173,8 @@ class TextIndex:
         commits = Commits(self.spark, self.path)
         part = uuid.uuid4().hex
         folder = f"{commits.root}/{part}"
-        rows = postings_of(added.withColumn(SOURCE, F.lit(ANYWHERE)), self.key, self._text(self.columns)).unionByName(kept)
-        rows.withColumn(BUCKET, self._bucket(F.col("term"), self.buckets)).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "term").write.partitionBy(
-            BUCKET
-        ).parquet(f"{folder}/postings")
+        rows = postings_of(added.withColumn(SOURCE, F.lit(ANYWHERE)), self.key, self._text(self.columns), state["positions"]).unionByName(kept)
+        self._write_postings(rows, folder, {**state, "key_type": df.schema[self.key].dataType.simpleString()})
         state["parts"] = [part]
         return self._documents_of(df.withColumn(SOURCE, F.lit(ANYWHERE)), folder, state, commits, self.spark)
 
@@ -158,8 +183,10 @@ class TextIndex:
     @staticmethod
     def _read_part(spark: SparkSession, folder: str, state: Mapping, part: str) -> DataFrame:
         key = f"`{state['key']}` {state['key_type']}"
+        more = ("places array<int>, " if state.get("positions") else "") + f"{SOURCE} string, " + (f"{BLOCK} long, " if state.get("splits") else "")
         schemas = {
-            "postings": f"{key}, term string, tf long, length int, {SOURCE} string, {BUCKET} int",
+            "postings": f"{key}, term string, tf long, length int, {more}{BUCKET} int",
+            "bounds": f"term string, {BLOCK} long, {SOURCE} string, rows long, tf long, length int, {BUCKET} int",
             "documents": f"{key}, {SOURCE} string, digest long, chars int",
         }
         return spark.read.schema(schemas[part]).parquet(f"{folder}/{part}")
@@ -199,32 +226,140 @@ class TextIndex:
         rows = list(counts.values()) if sources is None else [counts[s] for s in sources if s in counts]
         return sum(r[0] for r in rows), sum(r[1] for r in rows)
 
-    def scores(self, text: str, digits: int | None = DIGITS, *, sources: Sequence[str] | None = None, fresh: DataFrame | None = None) -> DataFrame:
-        """(key, score) of every document holding a query term.
-
-        ``sources`` limits the index to folders the table still has; ``fresh`` are
-        the table's rows in folders the index does not cover, counted in place.
-        """
-        wanted = query_terms(self.spark, text)
-        # at most one row per query term comes back
+    def _of_terms(self, part: str, wanted: Sequence[str], sources: Sequence[str] | None) -> DataFrame:
+        """Postings or bounds of these terms: only their folders are read."""
         probes = self.spark.createDataFrame([(t,) for t in wanted], "term string")
+        # at most one row per query term comes back
         buckets = [r[0] for r in probes.select(self._bucket(F.col("term"), self.buckets)).distinct().collect()]
-        stored = self._read("postings", sources).filter(F.col(BUCKET).isin(buckets) & F.col("term").isin(wanted))
-        hits = stored.select(self.key, "term", "tf", "length")
+        return self._read(part, sources).filter(F.col(BUCKET).isin(buckets) & F.col("term").isin(list(wanted)))
+
+    def _corpus(self, wanted: Sequence[str], sources: Sequence[str] | None, fresh: DataFrame | None) -> tuple[Column, Column]:
+        """(idf of the column ``term``, mean length): statistics of all documents, the fresh ones included."""
         n, total = self._totals(sources)
+        if self.state.get("splits"):
+            counts = self._of_terms("bounds", wanted, sources).select("term", "rows")
+        else:
+            counts = self._of_terms("postings", wanted, sources).select("term", F.lit(1).cast("long").alias("rows"))
         if fresh is not None:
             new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns))
-            hits = hits.unionByName(new.filter(F.col("term").isin(wanted)))
+            counts = counts.unionByName(new.filter(F.col("term").isin(list(wanted))).select("term", F.lit(1).cast("long").alias("rows")))
             more = fresh.select(F.size(tokens(self._text(self.columns))).alias("x")).agg(F.count("*"), F.coalesce(F.sum("x"), F.lit(0))).first()
             n, total = n + more[0], total + more[1]
-        known = hits.groupBy("term").agg(F.count("*").alias("df")).collect()
-        mean_length = F.lit(total / n if n else 0.0)
         weight = F.lit(0.0)
-        for row in known:
+        for row in counts.groupBy("term").agg(F.sum("rows").alias("df")).collect():
             weight = F.when(F.col("term") == row["term"], math.log(1 + (n - row["df"] + 0.5) / (row["df"] + 0.5))).otherwise(weight)
-        part = weight * term_weight(F.col("tf"), F.col("length"), mean_length)
+        return weight, F.lit(total / n if n else 0.0)
+
+    def _in_blocks(self, rows: DataFrame, blocks: Sequence[int] | DataFrame | None) -> DataFrame:
+        if blocks is None:
+            return rows
+        return rows.join(blocks.select(BLOCK), BLOCK, "left_semi") if isinstance(blocks, DataFrame) else rows.filter(F.col(BLOCK).isin(list(blocks)))
+
+    def scores(
+        self,
+        text: str,
+        digits: int | None = DIGITS,
+        *,
+        sources: Sequence[str] | None = None,
+        fresh: DataFrame | None = None,
+        blocks: Sequence[int] | DataFrame | None = None,
+        corpus: tuple[Column, Column] | None = None,
+    ) -> DataFrame:
+        """(key, score) of every document holding a query term; of these ``blocks`` only, if given.
+
+        ``sources`` limits the index to folders the table still has; ``fresh`` are
+        the table's rows in folders the index does not cover, counted in place.
+        """
+        wanted = query_terms(self.spark, text)
+        idf, mean_length = corpus or self._corpus(wanted, sources, fresh)
+        hits = self._in_blocks(self._of_terms("postings", wanted, sources), blocks).select(self.key, "term", "tf", "length")
+        if fresh is not None:
+            new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns))
+            hits = hits.unionByName(new.filter(F.col("term").isin(wanted)))
+        part = idf * term_weight(F.col("tf"), F.col("length"), mean_length)
         return hits.groupBy(self.key).agg(rounded(F.sum(part), digits).alias(SCORE))
 
+    def block_bounds(self, text: str, *, sources: Sequence[str] | None = None, fresh: DataFrame | None = None, corpus: tuple[Column, Column] | None = None) -> DataFrame:
+        """(block, bound): no document of the block scores more.
+
+        A term weighs the more, the more often it occurs and the shorter the text is; so
+        a block's largest count and least length bound it, whatever the mean length is.
+        """
+        wanted = query_terms(self.spark, text)
+        idf, mean_length = corpus or self._corpus(wanted, sources, fresh)
+        most = self._of_terms("bounds", wanted, sources).groupBy(BLOCK, "term").agg(F.max("tf").alias("tf"), F.min("length").alias("length"))
+        weight = idf * term_weight(F.col("tf"), F.col("length"), mean_length)
+        return most.groupBy(BLOCK).agg(F.sum(weight).alias("bound"))
+
+    def blocks_for(
+        self,
+        text: str,
+        k: int,
+        *,
+        allowed: DataFrame | None = None,
+        threshold: float | None = None,
+        digits: int | None = DIGITS,
+        sources: Sequence[str] | None = None,
+        fresh: DataFrame | None = None,
+        corpus: tuple[Column, Column] | None = None,
+    ) -> list[int] | DataFrame | None:
+        """The blocks that can hold one of the ``k`` best documents (among the keys ``allowed``); None for all.
+
+        First the blocks with the highest bounds are scored, twice as many each round,
+        until the next bound lies below the ``k``-th best score found; then every block
+        with a bound at or above that score is named. A round reads its own blocks only
+        and returns at most ``k`` scores.
+        """
+        if not self.state.get("splits"):
+            return None
+        corpus = corpus or self._corpus(query_terms(self.spark, text), sources, fresh)
+        bounds = self.block_bounds(text, sources=sources, corpus=corpus)
+        highest = [(r["bound"], r[BLOCK]) for r in bounds.orderBy(F.desc("bound"), BLOCK).limit(MOST_ROUND_BLOCKS).collect()]
+        slack = 1e-9 + (0.0 if digits is None else 10.0**-digits)
+        least, best, at, step = -1.0 if threshold is None else threshold, [], 0, FIRST_BLOCKS
+        while at < len(highest) and highest[at][0] + slack >= least:
+            some = [b for _, b in highest[at : at + step]]
+            at, step = at + step, 2 * step
+            found = self.scores(text, digits, sources=sources, blocks=some, corpus=corpus)
+            if allowed is not None:
+                found = found.join(allowed.select(self.key), self.key, "left_semi")
+            best = sorted(best + [r[SCORE] for r in found.orderBy(F.desc(SCORE)).limit(k).select(SCORE).collect()], reverse=True)[:k]
+            if len(best) == k:
+                least = max(least, best[-1])
+        if least < 0:
+            return None
+        enough = [b for bound, b in highest if bound + slack >= least]
+        if len(enough) < MOST_ROUND_BLOCKS and len(enough) <= IN_LIST_LIMIT:
+            return enough
+        return bounds.filter(F.col("bound") + F.lit(slack) >= F.lit(float(least)))
+
+    def phrase(self, text: str, *, sources: Sequence[str] | None = None, fresh: DataFrame | None = None) -> DataFrame:
+        """Keys of the documents in which the tokens of ``text`` follow each other.
+
+        Every place of a token says where the phrase would begin; a beginning that all
+        tokens name is one. ``sources`` and ``fresh`` are those of ``scores``.
+        """
+        if not self.state.get("positions"):
+            raise ValueError("this index holds no positions")
+        said = self.spark.range(1).select(tokens(F.lit(text)).alias("t")).first()["t"]
+        if not said:
+            raise ValueError("a phrase needs a word")
+        wanted = list(dict.fromkeys(said))
+        hits = self._of_terms("postings", wanted, sources).select(self.key, "term", "places")
+        if fresh is not None:
+            new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns), True)
+            hits = hits.unionByName(new.filter(F.col("term").isin(wanted)).select(self.key, "term", "places"))
+        offsets = F.lit(None).cast("array<int>")
+        for t in wanted:
+            offsets = F.when(F.col("term") == t, F.array(*[F.lit(i) for i, x in enumerate(said) if x == t])).otherwise(offsets)
+        begins = F.flatten(F.transform("places", lambda p: F.transform(F.col("offsets"), lambda o: p - o)))
+        starts = hits.withColumn("offsets", offsets).select(self.key, F.explode(begins).alias("start"))
+        return starts.groupBy(self.key, "start").agg(F.count("*").alias("n")).filter(F.col("n") == len(said)).select(self.key).distinct()
+
+    def matching(self, text: str, *, sources: Sequence[str] | None = None, fresh: DataFrame | None = None) -> DataFrame:
+        """Keys of the documents that hold any token of ``text``."""
+        return self.scores(text, None, sources=sources, fresh=fresh, corpus=(F.lit(0.0), F.lit(1.0))).select(self.key)
+
     def search(
         self,
         df: DataFrame,
@@ -240,9 +375,12 @@ class TextIndex:
         with_score: bool = False,
         digits: int | None = DIGITS,
         sources: Sequence[str] | None = None,
+        prune: bool = True,
     ) -> DataFrame:
         """Top ``k`` rows of the table ``df`` by BM25, ties by key.
 
+        An index with blocks reads only those that can reach the result (``prune``).
+
         Only rows that ``df`` has now are ranked, before the cut to ``k``. With the
         table's ``sources`` the result is that of an index built anew: folders that
         are gone are passed over, and new ones are counted in place.
@@ -253,13 +391,20 @@ class TextIndex:
         if tracked:
             missing = [s for s in sources if s not in self.state["sources"]]
             fresh = df.filter(F.col(SOURCE).isin(missing)) if missing else None
-        found = self.scores(text, digits, sources=sources if tracked else None, fresh=fresh).withColumnRenamed(SCORE, "__bm25")
+        held = sources if tracked else None
+        allowed = None
+        if where is not None or partitions is not None or not tracked:
+            allowed = apply_filter(in_partitions(df, partitions), where).select(self.key)
+        corpus = self._corpus(query_terms(self.spark, text), held, fresh)
+        blocks = None
+        if prune:
+            blocks = self.blocks_for(text, k, allowed=allowed, threshold=threshold, digits=digits, sources=held, corpus=corpus)
+        found = self.scores(text, digits, sources=held, fresh=fresh, blocks=blocks, corpus=corpus).withColumnRenamed(SCORE, "__bm25")
         if threshold is not None:
             found = found.filter(F.col("__bm25") >= F.lit(float(threshold)))
         order = [F.col("__bm25").desc_nulls_last(), F.col(self.key).asc()]
-        if where is not None or partitions is not None or not tracked:
-            allowed = apply_filter(in_partitions(df, partitions), where)
-            found = found.join(allowed.select(self.key), self.key, "left_semi")
+        if allowed is not None:
+            found = found.join(allowed, self.key, "left_semi")
         best = found.orderBy(*order).limit(k)
         if with_score:
             output.append(F.col("__bm25").alias(SCORE))

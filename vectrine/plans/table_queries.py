@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokens
+from ..indexes.postings import TextIndex
 from ..operators import filters
-from ..operators.search_dict import scoring_clauses, where
+from ..operators.search_dict import find, scoring_clauses, where
 from ..session import shared_dir
 from ..sources.partitioning import (
     DEFAULT,
@@ -116,6 +117,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL_LABELLED = "SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id) WHERE "
+FOUND = ["doc_id", "lang", "quality", "toxic"]
 SQL_FOUND_ORDERS = "SELECT o_orderkey, o_totalprice FROM orders WHERE "
 
 
@@ -126,7 +128,7 @@ def find_orders(spark, folder, body) -> DataFrame:
 
 def find_documents(spark, folder, body, **options) -> DataFrame:
     rows = labelled_documents(spark, folder)
-    return rows.filter(where(body, rows.schema, **options)).select("doc_id", "lang", "quality", "toxic")
+    return rows.filter(where(body, rows.schema, **options)).select(*FOUND)
 
 
 @query("dsl_must", SQL_FOUND_ORDERS + "o_orderstatus = 'F' AND o_totalprice >= 100000 AND o_orderpriority = '1-URGENT'")
@@ -236,6 +238,10 @@ def dsl_match_true(spark, folder):
     return find_documents(spark, folder, body)
 
 
+PHRASES = [
+    {"match": {"text": "history der the"}},
+    {"bool": {"should": [{"match_phrase": {"text": "and the"}}, {"match_phrase": {"text": {"query": "ist der"}}}]}},
+]
 SPACED = f"concat(' ', array_to_string({SQL_TOKENS.format('text')}, ' '), ' ')"
 
 
@@ -247,9 +253,21 @@ SPACED = f"concat(' ', array_to_string({SQL_TOKENS.format('text')}, ' '), ' ')"
 )
 def dsl_match_filter(spark, folder):
     """With ``text_filters``, text clauses are predicates too."""
-    phrases = [{"match_phrase": {"text": "and the"}}, {"match_phrase": {"text": {"query": "ist der"}}}]
-    body = [{"match": {"text": "history der the"}}, {"bool": {"should": phrases}}]
-    return find_documents(spark, folder, body, text_filters=True)
+    return find_documents(spark, folder, PHRASES, text_filters=True)
+
+
+@query(
+    "dsl_match_index",
+    SQL_LABELLED
+    + f"len(list_intersect({SQL_TOKENS.format('text')}, ['history', 'der', 'the'])) > 0 AND "
+    + f"(contains({SPACED}, ' and the ') OR contains({SPACED}, ' ist der ')) AND NOT contains({SPACED}, ' of the ')",
+)
+def dsl_match_index(spark, folder):
+    """The same predicates, and a phrase that must not occur, from the postings' places."""
+    rows = labelled_documents(spark, folder)
+    index = TextIndex.build(rows, shared_dir(spark), "doc_id", "text", positions=True)
+    body = [*PHRASES, {"bool": {"must_not": [{"match_phrase": {"text": "of the"}}]}}]
+    return find(rows, body, key="doc_id", text_indexes={"text": index}).select(*FOUND)
 
 
 @query(

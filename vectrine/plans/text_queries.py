@@ -92,6 +92,28 @@ def bm25_threshold(spark, folder):
     )
 
 
+def blocked(spark: SparkSession, folder: str) -> TextIndex:
+    return TextIndex.build(documents(spark, folder), shared_dir(spark), "doc_id", "text", block_documents=16)
+
+
+@query("bm25_blocks", SCORES + " SELECT doc_id, round(score, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 10")
+def bm25_blocks(spark, folder):
+    """Blocks of documents whose bound lies below the tenth score are passed over."""
+    return blocked(spark, folder).search(documents(spark, folder), SEARCH_TEXT, 10, names=["doc_id"], with_score=True)
+
+
+@query(
+    "bm25_blocks_filtered",
+    SCORES
+    + """ SELECT doc_id, lang, round(score, 6) AS score FROM s JOIN documents USING (doc_id)
+          WHERE lang = 'fr' AND round(score, 6) >= 0.5 ORDER BY score DESC, doc_id LIMIT 30""",
+)
+def bm25_blocks_filtered(spark, folder):
+    return blocked(spark, folder).search(
+        documents(spark, folder), SEARCH_TEXT, 30, where="lang = 'fr'", threshold=0.5, names=["doc_id", "lang"], with_score=True
+    )
+
+
 @query(
     "bm25_all_rows",
     SCORES + " SELECT doc_id, round(coalesce(score, 0), 6) AS score FROM documents LEFT JOIN s USING (doc_id)",

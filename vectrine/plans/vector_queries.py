@@ -11,6 +11,7 @@ from ..functions.codec import decode_vectors, sparse_from_text, sparse_to_text,
 from ..functions.sqlfuncs import run_sql
 from ..functions.text import query_terms, term_counts
 from ..functions.vectors import binarise, metric
+from ..indexes.sparse import SparseIndex
 from ..indexes.vectors import CELL, VectorIndex
 from ..operators.filters import vector_equals
 from ..operators.knn import knn, search
@@ -19,7 +20,7 @@ from ..session import shared_dir, spread
 from ..sources.schema import DataType, field, table_schema
 from ..store import Store
 from ..sources.partitioning import MAXVALUE, RangePartition
-from .registry import DIGITS, SQL_VECTOR, query, query_vector, read
+from .registry import DIGITS, ORACLES, SQL_VECTOR, query, query_vector, read
 from .text_queries import SEARCH_TEXT, SQL_TOKENS
 
 TOP = dict(key="vec_id", names=["vec_id"], with_score=True, digits=DIGITS)
@@ -350,6 +351,28 @@ def sparse_cosine(spark, folder):
     return sparse_top(spark, folder, "cosine")
 
 
+def sparse_listed(spark: SparkSession, folder: str, metric: str) -> DataFrame:
+    rows = sparse_documents(spark, folder)
+    index = SparseIndex.build(rows, shared_dir(spark), "doc_id", "v")
+    return index.search(rows, sparse_query(spark), metric, names=["doc_id"], with_score=True, digits=DIGITS)
+
+
+@query("sparse_dot_lists", ORACLES["sparse_dot"])
+def sparse_dot_lists(spark, folder):
+    """The lists of the query's numbers; the long ones only for rows of the others."""
+    return sparse_listed(spark, folder, "ip")
+
+
+@query("sparse_l2_lists", ORACLES["sparse_l2"])
+def sparse_l2_lists(spark, folder):
+    return sparse_listed(spark, folder, "l2")
+
+
+@query("sparse_cosine_lists", ORACLES["sparse_cosine"])
+def sparse_cosine_lists(spark, folder):
+    return sparse_listed(spark, folder, "cosine")
+
+
 # --- text forms and checks -------------------------------------------------------------
 
 
