@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Mapping, Sequence
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +71,17 @@ class TextIndex:
         self.version = version
         self.state = self._commits.read(version)
         self.key, self.columns, self.buckets = self.state["key"], self.state["columns"], self.state["buckets"]
+        self.held: list[str] | None = None
+        self.fresh: DataFrame | None = None
+
+    def at(self, df: DataFrame, sources: Sequence[str]) -> TextIndex:
+        """The index for a table as it is now: ``df`` holds its rows with ``SOURCE``, from the folders ``sources``."""
+        if ANYWHERE in self.state["sources"]:
+            raise ValueError("the index was not built from a versioned table")
+        out = copy(self)
+        missing = [s for s in sources if s not in self.state["sources"]]
+        out.held, out.fresh = list(sources), df.filter(F.col(SOURCE).isin(missing)) if missing else None
+        return out
 
     # --- building -----------------------------------------------------------------
 
@@ -270,6 +282,7 @@ class TextIndex:
         ``sources`` limits the index to folders the table still has; ``fresh`` are
         the table's rows in folders the index does not cover, counted in place.
         """
+        sources, fresh = self.held if sources is None else sources, self.fresh if fresh is None else fresh
         wanted = query_terms(self.spark, text)
         idf, mean_length = corpus or self._corpus(wanted, sources, fresh)
         hits = self._in_blocks(self._of_terms("postings", wanted, sources), blocks).select(self.key, "term", "tf", "length")

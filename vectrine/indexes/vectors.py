@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from copy import copy
 from functools import reduce
 
 import numpy as np
@@ -152,6 +153,17 @@ class VectorIndex:
         self.state = self._commits.read(self.version)
         self.key, self.vector, self.metric = self.state["key"], self.state["vector"], self.state["metric"]
         self.nlist, self.dim, self.local = self.state["nlist"], self.state["dim"], self.state["local"]
+        self.held: list[str] | None = None
+        self.fresh: DataFrame | None = None
+
+    def at(self, df: DataFrame, sources: Sequence[str]) -> VectorIndex:
+        """The index for a table as it is now: ``df`` holds its rows with ``SOURCE``, from the folders ``sources``."""
+        if self.state["sources"] is None:
+            raise ValueError("the index was not built from a versioned table")
+        out = copy(self)
+        missing = [s for s in sources if s not in set(self.covered(sources))]
+        out.held, out.fresh = list(sources), df.filter(F.col(SOURCE).isin(missing)) if missing else None
+        return out
 
     # --- building -----------------------------------------------------------------
 
@@ -366,8 +378,12 @@ class VectorIndex:
         return rows.join(F.broadcast(self.spark.createDataFrame([(int(c),) for c in cells], f"{CELL} int")), CELL, "left_semi")
 
     def probe(self, query: Sequence[float], nprobe: int, sources: Sequence[str] | None = None) -> DataFrame:
-        """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on."""
-        return self.of_cells(self.rows(sources), None if nprobe >= self.nlist else self.near_cells(query, nprobe))
+        """Rows of the ``nprobe`` cells nearest the query; all rows from ``nlist`` on.
+
+        Of an index that stands for a table (``at``) also the rows it does not cover.
+        """
+        rows = self.of_cells(self.rows(self.held if sources is None else sources), None if nprobe >= self.nlist else self.near_cells(query, nprobe))
+        return rows if self.fresh is None else rows.unionByName(self.fresh, allowMissingColumns=True)
 
     # --- which cells to read ----------------------------------------------------------
 

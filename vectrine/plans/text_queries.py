@@ -296,9 +296,14 @@ def hybrid_vector_index(spark, folder):
     return found.select("doc_id", "lang", "_distance", "_score", "hybrid_score")
 
 
-@query("hybrid_body", "SELECT doc_id, 0.5::DOUBLE AS knn_weight, 0.5::DOUBLE AS bm25_weight, 10 AS size FROM documents")
+@query(
+    "hybrid_body",
+    f"""WITH near AS (SELECT vec_id AS doc_id, round(list_distance(embedding::DOUBLE[], {SQL_VECTOR}), 6) AS _distance FROM embeddings)
+        SELECT doc_id, _distance, 0.0::DOUBLE AS _score, round(0.0 * 0.5 - _distance * 0.5, 6) AS hybrid_score
+        FROM near JOIN documents USING (doc_id) ORDER BY _distance, doc_id LIMIT 10""",
+)
 def hybrid_body(spark, folder):
-    """What a body without weights and size stands for, beside every document; bad bodies are refused."""
+    """A search by a body without weights, size and query: the defaults rank; bad bodies are refused."""
     near = {"field": "embedding", "query_vector": query_vector(spark, folder)}
     for bad in ({}, {"knn": {**near, "query_vector": "x"}}, {"knn": near, "size": True}, {"knn": near, "hybrid_weights": {"bm25": -1}}):
         try:
@@ -306,9 +311,7 @@ def hybrid_body(spark, folder):
         except ValueError:
             continue
         raise AssertionError(f"accepted {bad}")
-    body = Body.read({"knn": near}, (0.5, 0.5))
-    weights = [F.lit(body.knn_weight).alias("knn_weight"), F.lit(body.bm25_weight).alias("bm25_weight"), F.lit(body.size).alias("size")]
-    return documents(spark, folder).select("doc_id", *weights)
+    return hybrid_search(corpus(spark, folder), {"knn": near}, key="doc_id", digits=DIGITS).select("doc_id", "_distance", "_score", "hybrid_score")
 
 
 def sql_linear(sign: str) -> str:

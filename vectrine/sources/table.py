@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators.filters import IN_LIST_LIMIT, Condition, all_of, id_list, id_rows, id_test, in_partitions, partition_test, single_key
 from ..commits import CommitConflict, Commits
 from .partitioning import PART, KeyPartition, Partition, from_dict
+from .pruning import Facts, facts_of, levels_of
 from .schema import auto_id_column, conform, key_columns
 
 # Names of columns that rows carry inside the library only.
@@ -143,13 +145,42 @@ class Table:
         return self.partition.levels() if self.partition else []
 
     @property
-    def _layout(self) -> dict[str, Column]:
-        """The columns that name a row's folder, from the outermost level on."""
+    def _rules(self) -> list[tuple[str, Partition]]:
+        """The levels of folders, from the outermost on, each with its rule."""
         if self.partition is not None:
-            rules = [self.partition, self.partition.sub]
-            return {name: rule.label() for name, rule in zip(self._labels, rules)}
+            return list(zip(self._labels, [self.partition, self.partition.sub]))
         buckets = self._state.get("buckets")
-        return {BUCKET: from_dict(buckets).label()} if buckets else {}
+        return [(BUCKET, from_dict(buckets))] if buckets else []
+
+    @property
+    def _layout(self) -> dict[str, Column]:
+        """The columns that name a row's folder."""
+        return {name: rule.label() for name, rule in self._rules}
+
+    def _touched(self, folders: Sequence[str], where: Condition | None = None, ids: Sequence | None = None) -> tuple[list[str], Column]:
+        """(folders, test on their levels) that leave out only rows which fail the predicate or have another key."""
+        facts = facts_of(self.spark.createDataFrame([], self.schema), self._own(where))
+        if ids is not None and len(ids) <= IN_LIST_LIMIT:
+            key = single_key(self.key)
+            facts.setdefault(key, Facts()).among([F.lit(i).try_cast(self.schema[key].dataType) for i in ids])
+        kept, test = list(folders), F.lit(True)
+        for i, (level, names) in enumerate(levels_of(self.spark, self._rules, self.schema, facts).items() if facts else ()):
+            if level == self._rules[0][0]:
+                ends = {f"/{level}={n}" for n in names}
+                kept = [f for f in kept if f"/{unquote(f).partition('/')[2]}" in ends]
+            test = test & (F.col(level).isin(sorted(names)) if names else F.lit(False))
+        return kept, test
+
+    def _own(self, where: Condition | None) -> Column | None:
+        """The condition, if it reads the table's own columns only; a limit to named partitions prunes by itself."""
+        condition = all_of(where)
+        if condition is None:
+            return None
+        try:
+            self.spark.createDataFrame([], self.schema).filter(condition)
+        except AnalysisException:
+            return None
+        return condition
 
     @property
     def sources(self) -> list[str]:
@@ -173,9 +204,19 @@ class Table:
         paths = [f"{data}/{folder}" for folder in folders]
         return self.spark.read.schema(schema).option("basePath", data).parquet(*paths)
 
-    def df(self, partitions: Sequence[str] | None = None, labels: bool = False, source: bool = False) -> DataFrame:
-        """The table's rows; ``labels`` keeps the partition columns, ``source`` names each row's folder."""
-        rows = in_partitions(self._scan(self._state["folders"]), partitions)
+    def df(
+        self, partitions: Sequence[str] | None = None, labels: bool = False, source: bool = False, *, where: Condition | None = None, ids: Sequence | None = None
+    ) -> DataFrame:
+        """The table's rows; ``labels`` keeps the partition columns, ``source`` names each row's folder.
+
+        With ``where`` or ``ids`` (a list of keys) folders that cannot hold such a row
+        are left out; the rows themselves are not filtered.
+        """
+        folders, test = self._state["folders"], None
+        if self._rules and (where is not None or ids is not None):
+            folders, test = self._touched(folders, where, ids)
+        rows = in_partitions(self._scan(folders), partitions)
+        rows = rows if test is None else rows.filter(test)
         extra = [F.col(c) for c in (self._labels if labels else [])] + ([self._source().alias(SOURCE)] if source else [])
         return rows.select(*[F.col(f"`{c}`") for c in self.schema.fieldNames()], *extra)
 
@@ -271,23 +312,56 @@ class Table:
         written = self._scan(folders)
         if not folders or written.isEmpty():
             return self
-        if check_keys and self.key:
+        # ids just reserved are nobody else's
+        check_keys = check_keys and bool(self.key) and not (staged and self.key == [auto])
+        if check_keys:
             self._no_duplicates(written)
+        bounds = self._key_bounds(folders)
         highest = written.agg(F.max(auto)).first()[0] if auto and not staged else None
 
         def build(state: dict) -> dict:
-            if check_keys and self.key:
-                taken = self.df().select(*self.key).join(self._scan(folders).select(*self.key), self.key, "left_semi")
+            near = self._overlapping(state, bounds) if check_keys else []
+            if near:
+                taken = self._scan(near).select(*self.key).join(self._scan(folders).select(*self.key), self.key, "left_semi")
                 clash = taken.limit(1).collect()
                 if clash:
                     raise DuplicateKey(f"key {list(clash[0])} exists already")
             if highest is not None:
                 state["next_id"] = max(state.get("next_id", 1), int(highest) + 1)
-            return {**state, "folders": state["folders"] + folders}
+            return {**state, "folders": state["folders"] + folders, "bounds": {**state.get("bounds", {}), **bounds}}
 
         self._commit(build, again=True)
         return self
 
+    def _key_bounds(self, folders: Sequence[str]) -> dict[str, list]:
+        """Per folder the least and the largest key, for one key column of whole numbers or text; a row per folder comes back."""
+        kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
+        if len(self.key) != 1 or not isinstance(self.schema[self.key[0]].dataType, kinds) or not folders:
+            return {}
+        key = F.col(f"`{self.key[0]}`")
+        ends = self._scan(folders).groupBy(self._source().alias(SOURCE)).agg(F.min(key).alias("a"), F.max(key).alias("b")).collect()
+        found = {r[SOURCE]: [r["a"], r["b"]] for r in ends}
+        return {f: found[unquote(f)] for f in folders if unquote(f) in found}
+
+    def _overlapping(self, state: dict, bounds: Mapping[str, list]) -> list[str]:
+        """The table's folders that may hold a key of the new ones.
+
+        A key lies in one bucket or partition if the layout is by the key; bounds are
+        compared as Python compares them, which for text is the order of code points,
+        as Spark's is of UTF-8 bytes.
+        """
+        rule = self._rules[0][1] if len(self._rules) == 1 else None
+        apart = rule is not None and getattr(rule, "columns", None) == self.key
+
+        def level(folder: str) -> str:
+            return unquote(folder).partition("/")[2] if apart else ""
+
+        old, out = state.get("bounds", {}), []
+        for f in state["folders"]:
+            if f not in old or not bounds or any(level(f) == level(g) and old[f][0] <= b and a <= old[f][1] for g, (a, b) in bounds.items()):
+                out.append(f)
+        return out
+
     def _reserve(self, auto: str, count: int) -> int:
         """The first of ``count`` ids that no other insert gets; ids once reserved are not given again."""
         start = 0
@@ -337,7 +411,7 @@ class Table:
         self.refresh()
         fields = {n: self.schema[n] for n in values}
         hit = self._condition(where, partition)
-        rows = self._scan(self._state["folders"])
+        rows = self._scan(self._touched(self._state["folders"], where)[0])
         touched = self._folders_of(rows.filter(hit))
         new = {n: F.when(hit, literal(v, fields[n].dataType)).otherwise(F.col(n)) for n, v in values.items()}
         folders = self._rewrite(touched, lambda old: conform(old.withColumns(new).select(*self.schema.fieldNames()), self.schema))
@@ -364,7 +438,8 @@ class Table:
             self._replace(gone, [])
             return self
         hit = self._condition(where, partition)
-        rows = self._scan(everything)
+        listed = id_list(ids) if ids is not None and not isinstance(ids, DataFrame) else None
+        rows = self._scan(self._touched(everything, where, listed)[0])
         key = single_key(self.key) if ids is not None else None
         if ids is not None and not isinstance(ids, DataFrame):
             ids = id_list(ids)

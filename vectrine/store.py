@@ -147,16 +147,20 @@ class Store:
 
     # --- reads --------------------------------------------------------------------
 
-    def _open(self, name: str, names: Sequence[str] | None) -> tuple[Table, DataFrame, Sequence[str]]:
+    def _open(
+        self, name: str, names: Sequence[str] | None, where: filters.Condition | None = None, ids: list | None = None
+    ) -> tuple[Table, DataFrame, Sequence[str]]:
+        """The table and its rows, without partitions that the predicate or the keys rule out."""
         table = self.table(name)
-        return table, table.df(labels=True), names or table.schema.fieldNames()
+        return table, table.df(labels=True, where=where, ids=ids), names or table.schema.fieldNames()
 
     def get(self, name: str, ids=None, where=None, names=None, partitions=None, limit: int | None = None) -> DataFrame:
-        table, rows, names = self._open(name, names)
+        listed = filters.id_list(ids) if ids is not None and not isinstance(ids, DataFrame) else None
+        table, rows, names = self._open(name, names, where, listed)
         return filters.get(rows, table.key, ids, where, names, partitions, limit)
 
     def query(self, name: str, where=None, names=None, columns=None, extra=None, partitions=None) -> DataFrame:
-        _, rows, names = self._open(name, names)
+        _, rows, names = self._open(name, names, where)
         return filters.query(rows, where, names, columns, extra, partitions)
 
     def ann_search(
@@ -178,7 +182,7 @@ class Store:
         Through an index, rows written after it was built are ranked too and rows
         gone since are not found.
         """
-        table, rows, names = self._open(name, names)
+        table, rows, names = self._open(name, names, None if options.get("post_filter") else options.get("where"))
         usual = table.schema[column].metadata.get("metric", "l2") if column in table.schema.fieldNames() else "l2"
         if index is None:
             return knn(rows, query, column, metric or usual, k, key=table.key, names=names, **options)
@@ -247,13 +251,15 @@ class Store:
     ) -> DataFrame:
         """``text_indexes`` names the index of each scored field, ``vector_index`` that of the vector.
 
-        Indexes are brought up to date first, so the result is that of the table.
+        Rows that an index does not cover yet are ranked beside it and rows gone since
+        are passed over, so the result is that of the table; nothing is written.
         """
         table = self.table(name)
+        rows = table.df(source=True)
         if text_indexes:
-            options["text_indexes"] = {field: self.rebuild_index(name, index, full=False) for field, index in text_indexes.items()}
+            options["text_indexes"] = {field: self.text_index(name, index).at(rows, table.sources) for field, index in text_indexes.items()}
         if vector_index is not None:
-            options["vector_index"] = self.rebuild_index(name, vector_index, full=False)
+            options["vector_index"] = self.vector_index(name, vector_index).at(rows, table.sources)
         return hybrid_search(table.df(), body, key=filters.single_key(table.key), **options)
 
     def search_hybrid(
@@ -261,7 +267,7 @@ class Store:
     ) -> DataFrame:
         table, rows, names = self._open(name, names)
         if text_index is not None:
-            options["text_index"] = self.rebuild_index(name, text_index, full=False)
+            options["text_index"] = self.text_index(name, text_index).at(table.df(source=True), table.sources)
         return search_hybrid(rows, query, column, text, text_column, key=table.key, names=names, **options)
 
     def sql(self, text: str, tables: Sequence[str], args: Mapping | None = None) -> DataFrame:
