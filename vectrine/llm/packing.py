@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import over_batches, written
-from .tokens import END, SLICE_BYTES, Encoder, give_back, shared_description
+from .tokens import CACHED_SEGMENTS, END, SLICE_BYTES, Encoder, give_back, shared_description
 
 CAPACITY = 2048
 ROWS_PER_RANK_GROUP = 10_000
@@ -140,11 +140,11 @@ def cuts(total: int, capacity: int) -> list[tuple[int, int]]:
     return list(zip([0, *ends[:-1]], ends))
 
 
-def _cut(shared, capacity: int, with_ids: bool):
+def _cut(shared, capacity: int, with_ids: bool, cached: int):
     """Texts to pieces: (key, piece, start, length, checksum[, ids])."""
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, cached)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs = [ids + END for ids in encoder(batch.column(1).to_pylist())]
@@ -173,7 +173,7 @@ def _cut(shared, capacity: int, with_ids: bool):
     return run
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False, cached: int = CACHED_SEGMENTS) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` (and ``ids``, little-endian 32-bit) of every document.
 
     A document is its ids and the end id. Only longer ones than the capacity are
@@ -182,7 +182,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = slim.schema["key"].dataType.simpleString()
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return slim.mapInArrow(_cut(shared_description(docs.sparkSession, vocabulary), capacity, with_ids), schema)
+    return slim.mapInArrow(_cut(shared_description(docs.sparkSession, vocabulary), capacity, with_ids, cached), schema)
 
 
 def place(pieces: DataFrame, limits: Limits | None = None, rule: str = "norm", order: tuple[str, ...] = ("key", "piece")) -> DataFrame:
@@ -216,16 +216,17 @@ def place(pieces: DataFrame, limits: Limits | None = None, rule: str = "norm", o
     )
 
 
-def pack(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", limits: Limits | None = None, rule: str = "norm", with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", limits: Limits | None = None, rule: str = "norm", with_ids: bool = False, cached: int = CACHED_SEGMENTS) -> DataFrame:
     """Every piece of every document with its place: key, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null text is an empty one: the end id alone. Null keys and repeated rows are
     rows like any other; each gets a place. An empty table gives no rows. Further
     columns are ignored, whatever their names. Documents are tokenised once; the
-    pieces are written to the shared folder and only they are shuffled.
+    pieces are written to the shared folder and only they are shuffled. ``cached``
+    segments are remembered by a task: memory against time, never the result.
     """
     limits = limits or Limits()
-    pieces = written(token_pieces(docs, vocabulary, key, text, limits.tokens, with_ids))
+    pieces = written(token_pieces(docs, vocabulary, key, text, limits.tokens, with_ids, cached))
     placed = place(pieces, limits, rule, ("key", "piece", "ids_crc32"))
     return placed.withColumnRenamed("key", key)
 

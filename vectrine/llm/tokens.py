@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 END_ID = 0
-# Two generations of as many are remembered.
-CACHED_SEGMENTS = 100_000
+# Two generations of as many are remembered, some 50 MB each.
+CACHED_SEGMENTS = 250_000
 CACHED_CHARS = 48
 # Text cut at a time: the more, the fewer segments come again in a later slice.
 SLICE_BYTES = 4 << 20
@@ -108,7 +108,8 @@ def packed(ids: list[int]) -> bytes:
 class Encoder:
     """Texts to bytes of little-endian unsigned 32-bit ids; made inside a task."""
 
-    def __init__(self, description: str):
+    def __init__(self, description: str, cached: int = CACHED_SEGMENTS):
+        self.cached = cached
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -144,7 +145,7 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (none of a null one), without an end."""
-        if len(self.known) > CACHED_SEGMENTS:
+        if len(self.known) > self.cached:
             self.older, self.known = self.known, {}
         cut = [self.cut(t) if t else [] for t in texts]
         known = self.known
