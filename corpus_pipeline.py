@@ -20,6 +20,8 @@ from vectrine.llm.pii import redact
 from vectrine.llm.queries import vocabulary
 from vectrine.llm.simhash import keep_one
 
+# Workers that went through all other stages have less memory to spare for the tokenizer.
+CACHED_SEGMENTS = 100_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
-    return pack(docs, vocabulary())
+    return pack(docs, vocabulary(), cached=CACHED_SEGMENTS)
 
 
 STAGES = [
