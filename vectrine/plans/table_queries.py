@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,7 @@ from ..sources.partitioning import (
 )
 from ..sources.schema import field, table_schema
 from ..sources.table import Table
+from ..store import Store
 from .registry import query, read
 from .text_queries import SQL_TOKENS
 
@@ -538,3 +541,35 @@ def auto_id(spark, folder):
     ]
     table = Table.create(spark, shared_dir(spark), table_schema(fields))
     return table.insert(read(spark, folder, "events").select("event_id", "event_type")).df().select("id")
+
+
+def partitioned_orders(spark: SparkSession, folder: str) -> Store:
+    store = Store(spark, shared_dir(spark))
+    rows = orders(spark, folder)
+    bounds = [("early", datetime.date(1994, 1, 1)), ("middle", datetime.date(1997, 1, 1)), ("late", MAXVALUE)]
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema]
+    store.create_collection("orders", schema=T.StructType(fields), partitions=RangePartition(bounds, expr="o_orderdate"))
+    store.insert("orders", rows)
+    return store
+
+
+@query("flt_pruned", f"SELECT {SQL_ORDERS} FROM orders WHERE o_orderdate >= '1994-03-01' AND o_orderdate < '1996-06-01' AND o_orderstatus = 'F'")
+def flt_pruned(spark, folder):
+    """A predicate on the partition column reads the partitions that it can touch."""
+    found = partitioned_orders(spark, folder).query("orders", "o_orderdate >= '1994-03-01' AND o_orderdate < '1996-06-01' AND o_orderstatus = 'F'")
+    parts = {f.split("/part=")[1].split("/")[0] for f in found.inputFiles()}
+    assert parts <= {"middle"}, parts
+    return found
+
+
+@query("flt_get_bucket", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (1, 2, 7, 32)")
+def flt_get_bucket(spark, folder):
+    """Keys open the buckets that hold them, four of sixteen at most."""
+    store = Store(spark, shared_dir(spark))
+    rows = orders(spark, folder).select("o_orderkey", "o_totalprice")
+    key = field("o_orderkey", rows.schema["o_orderkey"].dataType, primary=True)
+    store.create_collection("keyed", schema=table_schema([key, field("o_totalprice", rows.schema["o_totalprice"].dataType, nullable=True)]))
+    store.insert("keyed", rows)
+    found = store.get("keyed", [1, 2, 7, 32])
+    assert len({f.rsplit("/", 2)[1] for f in found.inputFiles()}) <= 4
+    return found

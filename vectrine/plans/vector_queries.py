@@ -647,3 +647,12 @@ def ivf_refreshed(spark, folder):
     store.delete("points", where="label = 3")
     store.rebuild_index("points", "near", full=False)
     return store_search(store, spark, folder)
+
+
+@query("quick_collection", top_sql(L2, k=10, where="vec_id % 2 = 0"))
+def quick_collection(spark, folder):
+    """A collection declared by its dimension alone, searched by its usual metric."""
+    store = Store(spark, shared_dir(spark))
+    store.create_collection("quick", dimension=64, primary_field_name="vec_id", vector_field_name="embedding")
+    store.insert("quick", embeddings(spark, folder).filter("vec_id % 2 = 0").select("vec_id", "embedding"))
+    return store.ann_search("quick", query_vector(spark, folder), "embedding", k=10, names=["vec_id"], with_score=True, digits=DIGITS)
