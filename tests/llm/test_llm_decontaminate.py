@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from plain import AWKWARD, LONG, contamination, table
 
+from vectrine.llm import decontaminate
 from vectrine.llm.decontaminate import WordHashes, contamination_report, drop_contaminated, gram_size, winnow
 
 ITEMS = [
@@ -54,19 +55,59 @@ def test_contaminated_rows_go(spark):
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.sampled_from("abc"), min_size=1, max_size=40), st.integers(1, 10))
 def test_shared_spans_share_a_fingerprint(words, window):
-    """Equal windows have equal fingerprints wherever they stand, so none is missed."""
-    hashes = WordHashes().of(" ".join(words))
-    least, whole = winnow(hashes, min(window, len(words)))
+    """Equal windows select the same place wherever they stand, so none is missed."""
+    words = [w.encode() for w in words]
+    window = min(window, len(words))
+    hashes = WordHashes().of(words)
+    chosen = set(winnow(hashes, window)[0].tolist())
     by_window = {}
-    for i, h in enumerate(whole.tolist()):
-        gram = tuple(words[i : i + min(window, len(words))])
-        assert by_window.setdefault(gram, (h, int(least[i]))) == (h, int(least[i]))
-    assert len({h for h, _ in by_window.values()}) == len(by_window)
+    for i in range(len(words) - window + 1):
+        (at,), (fp,) = winnow(hashes[i : i + window], window)
+        assert i + int(at) in chosen
+        assert by_window.setdefault(tuple(words[i : i + window]), (int(at), int(fp))) == (int(at), int(fp))
 
 
 def test_winnowing_keeps_few_fingerprints():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 63, 20_000).astype(np.uint64)
-    least, _ = winnow(hashes, 10)
+    at, _ = winnow(hashes, 10)
     k = gram_size(10)
-    assert len(set(least.tolist())) < 1.1 * 2 / (10 - k + 2) * len(hashes)
+    assert len(at) < 1.1 * 2 / (10 - k + 2) * len(hashes)
+
+
+def test_hits_are_confirmed_by_words(spark, monkeypatch):
+    """With a hash that says nothing every k-gram is a candidate, and the words alone decide."""
+    items = [(1, "a b c d e"), (2, "c d e f"), (3, "x a b c d e"), (4, "e e e e e"), (5, "b")]
+    docs = [(1, "a b c d e f"), (2, "c d e"), (3, "z a b c d y b"), (4, "e e e e"), (5, "q r s"), (6, "f e d c b a")]
+    monkeypatch.setattr(decontaminate, "gram_size", lambda window: 1)
+    monkeypatch.setattr(decontaminate.WordHashes, "of", lambda self, words: np.full(len(words), 7, dtype=np.uint64))
+    places = decontaminate._places([b"a", b"b"], decontaminate.WordHashes().of([b"a", b"b"]), 1)
+    assert len({p["fp"] for p in places}) == 1
+    units = decontaminate.written(_places_of(spark, items, 3).selectExpr("id as class", "len", "fp", "lead", "words"))
+    found = decontaminate._runs(_places_of(spark, docs, 3).selectExpr("id as context", "len", "fp", "lead", "words"), units)
+    got = {(r["context"], r["class"]) for r in found.collect()}
+    for doc, text in docs:
+        for item, other in items:
+            windows = {tuple(other.split()[i : i + 3]) for i in range(len(other.split()) - 2)} or {tuple(other.split())}
+            have = any(tuple(text.split()[i : i + len(w)]) == w for w in windows for i in range(len(text.split())))
+            assert ((doc, item) in got) <= have
+
+
+def _places_of(spark, texts, window):
+    rows = []
+    for key, text in texts:
+        words = decontaminate.words_of(text)
+        for p in decontaminate._places(words, decontaminate.WordHashes().of(words), min(window, len(words))):
+            rows.append((key, p["len"], p["fp"], p["lead"], p["words"]))
+    return spark.createDataFrame(rows, "id long, len int, fp long, lead int, words string")
+
+
+def test_many_texts_share_a_passage_of_many_items(spark):
+    """One passage in every item and every text, with other words around it."""
+    passage = " ".join(f"common{i}" for i in range(12))
+    items = [(i, f"left{i} {passage} right{i}") for i in range(60)]
+    docs = [(i, f"some{i} words {passage} and{i} more") for i in range(200)]
+    rows = contamination_report(spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items)).collect()
+    assert len(rows) == 200
+    for r in rows:
+        assert tuple(r)[1:] == contamination(docs[r["doc_id"]][1], items)
