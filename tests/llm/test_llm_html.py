@@ -1,10 +1,11 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from vectrine.llm.html_extract import LEAST_PAGES, Page, host_of, importance, main_text
+from vectrine.llm.html_extract import LEAST_PAGES, NOISE, Page, host_of, importance, main_text
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -113,3 +114,17 @@ def test_hosts(spark):
     urls = ["HTTP://User@Www.A.example:80/x?y", "https://b.example", "mailto:x", "", None]
     rows = spark.createDataFrame([(u,) for u in urls], "u string").select(host_of(F.col("u")).alias("h")).collect()
     assert [r["h"] for r in rows] == ["www.a.example", "b.example", "", "", ""]
+
+
+@pytest.mark.parametrize("source", ["<b><br>x", "<b><hr>x", "<b></i>x", "<div><b>x</p>"])
+def test_open_tags_take_linear_time(source):
+    """Elements that are never closed are not walked over again for every block."""
+    started = time.process_time()
+    page = Page(source * 40_000)
+    assert time.process_time() - started < 20
+    assert "".join(text for *_, text in page.blocks) == "x" * 40_000
+
+
+def test_noise_covers_what_lies_in_it():
+    page = Page("<p>one<nav><b>two<p>three</b></nav><i>four</i> <b>five<br>six")
+    assert [(kind == NOISE, text) for *_, kind, text in page.blocks] == [(False, "one"), (True, "two"), (True, "three"), (False, "four five"), (False, "six")]

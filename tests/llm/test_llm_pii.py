@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from plain import AWKWARD, base_row, base_spans, table
 from pyspark.sql import functions as F
 
-from vectrine.llm.pii import find_pii, luhn, mod_97, pii_report, redact
+from vectrine.llm.pii import CONTEXT_CHARS, KINDS, find_pii, luhn, mod_97, pii_report, redact
 
 COUNTS = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
 
@@ -75,3 +75,31 @@ def test_name_clash_is_refused(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii_report(table(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+MANY = "Kontakt: " + " ".join(f"müller{i}@mail.example.org +49 30 {1000000 + i} 10.0.{i % 300}.1" + " call me" * (i % 9) for i in range(1_500))
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans and their contexts over many chunks are those of the plain search."""
+    df = table(spark, [(1, MANY)], extra=False)
+    (row,) = pii_report(df).collect()
+    assert [row[c] for c in COUNTS] == base_row(MANY)
+    (spans,) = find_pii(df).select("pii").first()
+    words = {kind.name: kind for kind in KINDS}
+    for s in spans:
+        near = re.search(words[s["kind"]].context, MANY[max(s["start"] - CONTEXT_CHARS, 0) : s["start"]].lower())
+        assert s["score"] == pytest.approx(words[s["kind"]].score + (words[s["kind"]].lift if near else 0))
+    out, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            out += [MANY[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    assert redact(df).first()["text"] == "".join(out) + MANY[at:]
+
+
+def test_columns_of_helpers_names_stay(spark):
+    df = table(spark, AWKWARD[:10], extra=False).selectExpr("*", "'mine' as __pii_email", "'mine' as __pii_spans")
+    for found in (find_pii(df).drop("pii"), redact(df)):
+        assert found.columns == df.columns
+        assert {(r["__pii_email"], r["__pii_spans"]) for r in found.collect()} == {("mine", "mine")}

@@ -107,3 +107,11 @@ def test_one_of_each_group_stays(spark):
     roots = {k for k, _, c in expected(AWKWARD) if k is not None and k == c}
     assert keys == sorted([*roots, 0])  # the row without a key stays as well
     assert kept.columns == df.columns
+
+
+def test_columns_of_helpers_names_stay(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, "e f g h i"), (None, "a b c d")]
+    df = table(spark, rows, extra=False).selectExpr("*", "'mine' as __key", "'mine' as __name")
+    kept = keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["__key"], r["__name"]) for r in kept.collect()) == [(0, "mine", "mine"), (1, "mine", "mine"), (3, "mine", "mine")]

@@ -27,6 +27,14 @@ def written(df: DataFrame, folder: str | None = None, compression: str = "zstd")
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
@@ -97,8 +105,9 @@ def without(docs: DataFrame, name: Column, listed: DataFrame) -> DataFrame:
     others, few more than there are listed rows, are shuffled for the exact join; with
     more names than the bitmap has room for that becomes all of them.
     """
-    names = written(listed.select(F.col(listed.columns[0]).alias("__name")))
-    rows = names.select(F.xxhash64("__name").alias("h"))
+    spare = spare_name(docs, "__name")
+    names = written(listed.select(F.col(listed.columns[0]).alias(spare)))
+    rows = names.select(F.xxhash64(spare).alias("h"))
     bits = bitmap_bits(rows.count())
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(rows, "h", bits))
 
@@ -107,5 +116,5 @@ def without(docs: DataFrame, name: Column, listed: DataFrame) -> DataFrame:
         return pa.array(shared.value(hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
 
     listed_maybe = name.isNotNull() & may_be(F.xxhash64(name))
-    rest = docs.filter(listed_maybe).join(names, name == F.col("__name"), "left_anti")
+    rest = docs.filter(listed_maybe).join(names, name == F.col(spare), "left_anti")
     return docs.filter(~listed_maybe).unionByName(rest)

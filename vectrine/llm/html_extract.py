@@ -79,12 +79,12 @@ def _signed(value: int) -> int:
 
 
 class Node:
-    """An open element: its style path and whether its text is content, noise or neither."""
+    """An open element: its style path, whether its text is content, noise or neither, and the place of its block on the stack."""
 
-    __slots__ = ("children", "kind", "main", "path", "tag")
+    __slots__ = ("block", "children", "kind", "main", "path", "tag")
 
-    def __init__(self, tag: str, path: int, kind: int, main: bool):
-        self.tag, self.path, self.kind, self.main, self.children = tag, path, kind, main, []
+    def __init__(self, tag: str, path: int, kind: int, main: bool, block: int):
+        self.tag, self.path, self.kind, self.main, self.block, self.children = tag, path, kind, main, block, []
 
 
 class Page:
@@ -93,7 +93,8 @@ class Page:
     def __init__(self, source: str | None):
         self.blocks: list[tuple[int, int, int, str]] = []  # path, parent's path, kind, text
         self.styles: dict[int, list[int]] = {}
-        self.stack = [Node("", 0, OPEN, False)]
+        self.stack = [Node("", 0, OPEN, False, 0)]
+        self.open: dict[str, int] = {}  # how many elements of a tag are on the stack
         self.buffer: list[str] = []
         self._read(source or "")
 
@@ -121,21 +122,14 @@ class Page:
         for node in self.stack:
             self._finish(node)
 
-    def _block(self) -> int:
-        """Index of the innermost open element that is not inline."""
-        i = len(self.stack) - 1
-        while i and self.stack[i].tag in INLINE:
-            i -= 1
-        return i
-
     def _flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         self.buffer = []
         if text:
-            i = self._block()
+            # What lies in noise is noise, so the innermost element says it for all around it.
+            i, inner = self.stack[-1].block, self.stack[-1].kind
             node = self.stack[i]
-            kind = NOISE if any(n.kind == NOISE for n in self.stack[i:]) else node.kind
-            self.blocks.append((node.path, self.stack[max(i - 1, 0)].path, kind, text))
+            self.blocks.append((node.path, self.stack[max(i - 1, 0)].path, NOISE if inner == NOISE else node.kind, text))
 
     def _finish(self, node: Node) -> None:
         if node.tag and node.tag not in INLINE:
@@ -143,7 +137,9 @@ class Page:
 
     def _pop_to(self, i: int) -> None:
         while len(self.stack) > i:
-            self._finish(self.stack.pop())
+            node = self.stack.pop()
+            self.open[node.tag] -= 1
+            self._finish(node)
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
@@ -157,8 +153,10 @@ class Page:
         role = self._kind(tag, names, above)
         path = above.path if tag in INLINE else _hash(above.path, " ".join([tag, *names]))
         if tag not in INLINE:
-            self.stack[self._block()].children.append(path)
-        self.stack.append(Node(tag, path, role, above.main or tag in CONTENT_TAGS))
+            self.stack[above.block].children.append(path)
+        block = above.block if tag in INLINE else len(self.stack)
+        self.stack.append(Node(tag, path, role, above.main or tag in CONTENT_TAGS, block))
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def _kind(self, tag: str, names: list[str], above: Node) -> int:
         if above.kind == NOISE or tag in SKIPPED or tag in NOISE_TAGS:
@@ -172,18 +170,22 @@ class Page:
     def _imply_ends(self, tag: str) -> None:
         """A block ends an open paragraph; list items, cells and terms end the one before."""
         ends = CLOSED_BY_BLOCK | SIBLINGS.get(tag, frozenset())
-        for i in range(len(self.stack) - 1, 0, -1):
+        i = self.stack[-1].block
+        while i:
             if self.stack[i].tag in ends:
                 self._pop_to(i)
                 return
             if self.stack[i].tag in SCOPES:
                 return
+            i = self.stack[i - 1].block
 
     def _close(self, tag: str) -> None:
         if tag in VOID and tag != "br":
             return
         if tag not in INLINE:
             self._flush()
+        if not self.open.get(tag):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 self._pop_to(i)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import spare_name, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -126,28 +126,65 @@ def _valid(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a lambda's body is evaluated for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _chunks(items: Column) -> Column:
+    """The array in pieces as long as there are pieces.
+
+    A fold that appends copies what it has so far. Over pieces, and then inside each,
+    it copies at most the square root of the whole at a time.
+    """
+
+    def cut(it: Column) -> Column:
+        length = F.ceil(F.sqrt(F.size(it["items"]))).cast("int")
+        starts = F.sequence(F.lit(1), F.size(it["items"]), F.greatest(length, F.lit(1)))
+        return F.when(F.size(it["items"]) > 0, F.transform(starts, lambda i: F.slice(it["items"], i, length)))
+
+    return _let(F.struct(items.alias("items")), cut)
+
+
 def _proposals(text: Column, kind: Kind) -> Column:
-    """Array of (start, end, match) of the pattern's leftmost, non-overlapping matches."""
+    """Array of (start, end, match, near) of the pattern's leftmost, non-overlapping matches.
+
+    ``near`` is the text before the match in which context counts.
+    """
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    none = F.array().cast("array<struct<start:int,end:int,match:string,near:string>>")
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda p: p["match"].isNotNull())
+    nothing = F.array().cast("array<struct<at:int,tail:string,pairs:array<struct<gap:string,match:string>>>>")
+
+    def enter(acc: Column, chunk: Column) -> Column:
+        body = F.array_join(F.transform(chunk, lambda p: F.concat(p["gap"], p["match"])), "")
+        return F.struct(
+            (acc["at"] + F.length(body)).alias("at"),
+            F.right(F.concat(acc["tail"], body), F.lit(CONTEXT_CHARS)).alias("tail"),
+            F.array_append(acc["parts"], F.struct(acc["at"].alias("at"), acc["tail"].alias("tail"), chunk.alias("pairs"))).alias("parts"),
+        )
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))).alias("spans"))
+        near = F.right(F.concat(acc["tail"], pair["gap"]), F.lit(CONTEXT_CHARS))
+        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"), near.alias("near"))
+        return F.struct(end.alias("at"), F.right(F.concat(near, pair["match"]), F.lit(CONTEXT_CHARS)).alias("tail"), F.array_append(acc["spans"], span).alias("spans"))
 
-    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda p: p["match"].isNotNull())
-    return F.when(F.size(found) > 0, F.aggregate(pairs, begin, step, lambda acc: acc["spans"])).otherwise(none)
+    def within(part: Column) -> Column:
+        return F.aggregate(part["pairs"], F.struct(part["at"].alias("at"), part["tail"].alias("tail"), none.alias("spans")), step, lambda acc: acc["spans"])
 
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), nothing.alias("parts"))
+    parts = F.aggregate(_chunks(pairs), begin, enter, lambda acc: acc["parts"])
+    return F.when(F.size(found) > 0, F.flatten(F.transform(parts, within))).otherwise(none)
 
-def _accepted(text: Column, proposals: Column, rank: int, kind: Kind) -> Column:
+
+def _accepted(proposals: Column, rank: int, kind: Kind) -> Column:
     """Confirmed spans of one kind, with their scores."""
 
     def scored(span: Column) -> Column:
-        from_ = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-        near = F.lower(text.substr(from_ + 1, span["start"] - from_)).rlike(kind.context)
+        near = F.lower(span["near"]).rlike(kind.context)
         score = F.lit(kind.score) + F.when(near, F.lit(kind.lift)).otherwise(F.lit(0.0))
         return F.struct(
             span["start"].alias("start"),
@@ -175,9 +212,9 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     if into in docs.columns:
         raise ValueError(f"the rows have a column named {into} already")
     body = text_or_empty(F.col(f"`{text}`"))
-    spare = [f"__pii_{kind.name}" for kind in KINDS]
+    spare = [spare_name(docs, f"__pii_{kind.name}") for kind in KINDS]
     df = docs.withColumns({name: _proposals(body, kind) for name, kind in zip(spare, KINDS)})
-    spans = F.array_sort(F.concat(*[_accepted(body, F.col(name), rank, kind) for rank, (name, kind) in enumerate(zip(spare, KINDS))]))
+    spans = F.array_sort(F.concat(*[_accepted(F.col(name), rank, kind) for rank, (name, kind) in enumerate(zip(spare, KINDS))]))
     return df.withColumn(into, spans).drop(*spare)
 
 
@@ -187,21 +224,43 @@ def span_list(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each stretch of spans replaced by ``<KIND>`` of its first span."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each stretch of spans replaced by ``<KIND>`` of its first span.
+
+    Chunks of spans get their stretch of the text first, so that a span's place is
+    looked for in a short string.
+    """
+    parts_of = "array<struct<at:int,end:int,spans:array<struct<start:int,end:int,kind:string>>>>"
+    slim = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
 
-    def step(acc: Column, span: Column) -> Column:
-        put = F.concat(acc["out"], text.substr(acc["at"] + 1, F.greatest(span["start"] - acc["at"], F.lit(0))), F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), F.when(span["start"] >= acc["at"], put).otherwise(acc["out"]).alias("out"))
+    def enter(acc: Column, chunk: Column) -> Column:
+        end = F.greatest(acc["at"], F.array_max(F.transform(chunk, lambda s: s["end"])))
+        return F.struct(end.alias("at"), F.array_append(acc["parts"], F.struct(acc["at"].alias("at"), end.alias("end"), chunk.alias("spans"))).alias("parts"))
 
-    rest = lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, rest)).otherwise(text)
+    def within(part: Column) -> Column:
+        begin = F.struct(part["at"].alias("at"), F.lit("").alias("out"), text.substr(part["at"] + 1, part["end"] - part["at"]).alias("body"))
+
+        def step(acc: Column, span: Column) -> Column:
+            gap = acc["body"].substr(acc["at"] - part["at"] + 1, F.greatest(span["start"] - acc["at"], F.lit(0)))
+            put = F.concat(acc["out"], gap, F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+            return F.struct(
+                F.greatest(acc["at"], span["end"]).alias("at"), F.when(span["start"] >= acc["at"], put).otherwise(acc["out"]).alias("out"), acc["body"].alias("body")
+            )
+
+        return F.aggregate(part["spans"], begin, step, lambda acc: acc["out"])
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(parts_of).alias("parts"))
+    whole = lambda acc: F.concat(F.array_join(F.transform(acc["parts"], within), ""), text.substr(acc["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(_chunks(slim), begin, enter, whole)).otherwise(text)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with personal data in the text masked; a null text stays null."""
-    df = find_pii(docs, text, "__pii_spans")
-    return df.withColumn(text, masked(F.col(f"`{text}`"), F.col("__pii_spans"))).drop("__pii_spans")
+    """``docs`` with personal data in the text masked; a null text stays null.
+
+    All other columns stay as they are, whatever their names, and so do repeated rows.
+    """
+    spans = spare_name(docs, "__pii_spans")
+    df = find_pii(docs, text, spans)
+    return df.withColumn(text, masked(F.col(f"`{text}`"), F.col(spans))).drop(spans)
 
 
 def pii_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_batches, without, written
+from .common import over_batches, spare_name, without, written
 from .components import components
 
 BITS = 64
@@ -220,10 +220,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     without a key cannot be told apart by it and all stay.
     """
     name = F.col(f"`{key}`")
-    marked = written(near_duplicates(docs, key, text, shingle, radius).select(name.alias("__key"), (name != F.col("component_id")).alias("__later")))
-    kept = without(docs, name, marked.filter("__later").select("__key").distinct())
-    repeated = written(marked.filter("__key is not null").groupBy("__key").count().filter("count > 1").select("__key"))
+    spare = spare_name(docs, "__key")
+    marked = written(near_duplicates(docs, key, text, shingle, radius).select(name.alias(spare), (name != F.col("component_id")).alias("later")))
+    kept = without(docs, name, marked.filter("later").select(spare).distinct())
+    repeated = written(marked.filter(F.col(spare).isNotNull()).groupBy(spare).count().filter("count > 1").select(spare))
     if repeated.isEmpty():
         return kept
-    same = name == F.col("__key")
+    same = name == F.col(spare)
     return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([key]))
