@@ -5,7 +5,7 @@ import pytest
 from plain import AWKWARD, groups, simhash, table
 
 from vectrine.llm.components import components
-from vectrine.llm.simhash import block_masks, bucket_links, keep_one, links, majority, near_duplicates, planes_of, shingle_hashes, within
+from vectrine.llm.simhash import bucket_links, keep_one, links, majority, near_duplicates, part_masks, planes_of, shingle_hashes, within
 
 
 def expected(rows, radius=2):
@@ -69,11 +69,11 @@ def test_bucket_groups(radius):
     assert set(bucket_links(np.array(prints, dtype=np.uint64), radius)) == want
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2])
-def test_links_and_components_lose_nothing(spark, radius):
+@pytest.mark.parametrize("radius, bucket, most", [(0, 2048, 1 << 16), (1, 2048, 1 << 16), (2, 2048, 1 << 16), (2, 16, 1 << 16), (2, 64, 40), (1, 2048, 30)])
+def test_links_and_components_lose_nothing(spark, radius, bucket, most):
     prints = near_prints(20 + radius, 30, 40, 4)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    found = {r["node"]: r["root"] for r in components(links(spark.createDataFrame([(p,) for p in signed], "fp long"), radius)).collect()}
+    found = {r["node"]: r["root"] for r in components(links(spark.createDataFrame([(p,) for p in signed], "fp long"), radius, bucket, most)).collect()}
     sets = {}
     for p, r in zip(signed, groups(prints, radius)):
         sets.setdefault(r, set()).add(p)
@@ -84,12 +84,29 @@ def test_links_and_components_lose_nothing(spark, radius):
 
 
 def test_tables_cover_every_pair():
-    masks = block_masks(2)
     rng = random.Random(0)
-    for _ in range(500):
-        diff = sum(1 << b for b in rng.sample(range(64), 2))
-        assert any(diff & m == 0 for m in masks)
-    assert all((~m & (1 << 64) - 1).bit_count() == 16 for m in masks)
+    for fixed in (0, 0xFFFF, part_masks(2)[1]):
+        free = [i for i in range(64) if not fixed >> i & 1]
+        for width in (3, 64):
+            masks = part_masks(2, fixed, width)
+            assert len(masks) == 3 and all(m & fixed == fixed and m != fixed for m in masks)
+            for _ in range(300):
+                diff = sum(1 << b for b in rng.sample(free, 2))
+                assert any(diff & m == 0 for m in masks)
+
+
+def test_few_wide_buckets_are_compared_in_blocks_that_are_given_up(monkeypatch):
+    from vectrine.llm import simhash as module
+
+    looks = []
+    real = module._exceeds
+    monkeypatch.setattr(module, "_exceeds", lambda count, limit: looks.append(1) or real(count, limit))
+    rng = random.Random(3)
+    prints = np.array(sorted({rng.getrandbits(64) for _ in range(4000)}), dtype=np.uint64)
+    assert bucket_links(prints, 2) == []
+    passes = -(-len(prints) // module.QUERIES_PER_PASS)
+    blocks = sum(-(-(-(-len(prints) // 64) - 2 * i) // module.WORDS_PER_BLOCK) for i in range(passes))
+    assert len(looks) < 0.8 * blocks * 64 / module.PLANES_PER_LOOK  # far blocks end before their last plane
 
 
 def test_components_of_a_chain_and_a_hub(spark):

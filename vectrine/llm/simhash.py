@@ -3,23 +3,22 @@
 1. A text's fingerprint: the majority of the bits of its shingles' XXH64 hashes.
 2. Equal fingerprints are merged first, so a group of exact copies is one row from
    then on, however large it is.
-3. Candidates by the pigeonhole principle: the bits are cut into ``BLOCKS`` blocks.
-   Two fingerprints within radius r agree on at least ``BLOCKS - r`` of them, so one
-   table for each choice of that many blocks finds every pair. A bucket of a table
-   can differ in r blocks only, which bounds its size: 16 bits, 65,536 fingerprints,
-   for radius 2 and 8 blocks. No bucket needs a cap or a split.
+3. Candidates by the pigeonhole principle: the bits are cut into radius + 1 parts, of
+   which two fingerprints within the radius agree on one. There is one table per part,
+   dealt by as many bits of it as make buckets of about ``BUCKET_MEMBERS``. A bucket of
+   more than ``MOST_MEMBERS`` is dealt again by the parts of its other bits, until few
+   bits are left; no bucket is capped and no pair is lost.
 4. Within a bucket, bit planes are stored vertically (bit i of 64 fingerprints in
-   one word) and the distances of many fingerprints to a query are counted at once
+   one word) and the distances of many fingerprints to many queries are counted at once
    by carry-save adders; a block of words is given up once all of it exceeds the
-   radius. A walk from each smallest fingerprint finds the bucket's groups, so a
-   group of m gives m - 1 links and pairs are never listed.
+   radius. Near ones are tied to the smallest of their group, so a group of m gives
+   m - 1 links and pairs are never listed.
 5. Links over all buckets are joined to components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +31,15 @@ from .components import components
 
 BITS = 64
 SEED = 42
-BLOCKS = 8
-# Words of 64 fingerprints that are compared before the walk looks whether all of them are too far.
-WORDS_PER_BLOCK = 256
+# Fingerprints of a bucket, about; the most that are compared in one task unless its free bits are few.
+BUCKET_MEMBERS = 2048
+MOST_MEMBERS = 1 << 16
+# Words of 64 fingerprints that are compared before the count looks whether all of them are too far.
+WORDS_PER_BLOCK = 32
 PLANES_PER_LOOK = 4
-TABLE_ROWS_PER_TASK = 1 << 20
-QUERIES_PER_PASS = 64
+QUERIES_PER_PASS = 128
+TABLE_ROWS_PER_TASK = 1 << 16
+MOST_TASKS = 1 << 15
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -131,23 +133,25 @@ def bucket_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     bits = [i for i in range(BITS) if spread >> i & 1]
     planes = planes_of(prints, bits)
     member = ((prints[None, :] >> np.array(bits, dtype=np.uint64)[:, None]) & np.uint64(1)).astype(bool)
-    left = np.ones(len(prints), dtype=bool)
-    links = []
-    for seed in range(len(prints)):
-        if not left[seed]:
-            continue
-        left[seed] = False
-        queue = [seed]
-        while queue:
-            queries, queue = queue[:QUERIES_PER_PASS], queue[QUERIES_PER_PASS:]
-            near = np.bitwise_or.reduce(within(planes, member[:, queries], radius), axis=0)
-            found = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little")[: len(prints)].astype(bool) & left)
-            left[found] = False
-            links += [(int(prints[i]), int(prints[seed])) for i in found]
-            queue += found.tolist()
-        if not left.any():
-            break
-    return links
+    parent = np.arange(len(prints))
+    for start in range(0, len(prints), QUERIES_PER_PASS):
+        first = start // 64  # distances are symmetric: earlier words had their turn as queries
+        near = within(planes[:, first:], member[:, start : start + QUERIES_PER_PASS], radius)
+        for q in np.flatnonzero(np.bitwise_count(near).sum(axis=1) > 1):
+            found = first * 64 + np.flatnonzero(np.unpackbits(near[q].view(np.uint8), bitorder="little"))
+            found = found[found < len(prints)]  # the last word may hold more places than members
+            tops = _tops(parent, found)
+            parent[found] = parent[tops] = tops.min()
+    root = _tops(parent, np.arange(len(prints)))
+    return [(int(prints[i]), int(prints[root[i]])) for i in np.flatnonzero(root != np.arange(len(prints)))]
+
+
+def _tops(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The smallest known member of each node's group."""
+    top = parent[nodes]
+    while (top != parent[top]).any():
+        top = parent[top]
+    return top
 
 
 def _link_buckets(radius: int):
@@ -164,28 +168,64 @@ def _link_buckets(radius: int):
     return run
 
 
-def block_masks(radius: int, blocks: int = BLOCKS) -> list[int]:
-    """One mask per choice of the blocks that must agree."""
-    if not 0 <= radius < blocks:
-        raise ValueError("the radius must be smaller than the number of blocks")
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    return [sum(chosen) for chosen in combinations(parts, blocks - radius)]
+def part_masks(radius: int, fixed: int = 0, width: int = BITS) -> list[int]:
+    """One mask per part of the bits outside ``fixed``: these and at most ``width`` bits of the part.
+
+    There are radius + 1 parts, so two fingerprints that agree on ``fixed`` and differ
+    in at most ``radius`` bits agree on one of the masks.
+    """
+    if not 0 <= radius < BITS:
+        raise ValueError(f"the radius must be from 0 to {BITS - 1}")
+    free = [i for i in range(BITS) if not fixed >> i & 1]
+    edges = [len(free) * i // (radius + 1) for i in range(radius + 2)]
+    return sorted({fixed | sum(1 << i for i in free[a:b][:width]) for a, b in zip(edges, edges[1:])})
+
+
+def _mask(mask: int) -> Column:
+    return F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask).cast("long")
+
 
+def _dealt(prints: DataFrame, masks: Column, tasks: int) -> DataFrame:
+    """``fp, mask, bits``: a row per table, with the bits that name its bucket; written."""
+    rows = prints.repartition(tasks, "fp").select("fp", F.explode(masks).alias("mask"))
+    return written(rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits")))
 
-def _signed(mask: int) -> int:
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
+def links(prints: DataFrame, radius: int, bucket: int = BUCKET_MEMBERS, most: int = MOST_MEMBERS) -> DataFrame:
+    """Links ``a, b`` that tie all distinct fingerprints (column ``fp``) within the radius.
 
-def links(prints: DataFrame, radius: int) -> DataFrame:
-    """Links ``a, b`` that tie all distinct fingerprints (column ``fp``) within the radius."""
-    masks = block_masks(radius)
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])
-    # A fingerprint becomes a row of every table: few of them are a task's worth.
-    spread = prints.repartition(prints.count() * len(masks) // TABLE_ROWS_PER_TASK + 1, "fp")
-    rows = spread.select("fp", F.posexplode(keys).alias("table", "bits"))
-    buckets = rows.groupBy("table", "bits").agg(F.collect_list("fp").alias("members")).filter("size(members) > 1")
-    return buckets.select("members").mapInArrow(_link_buckets(radius), "a long, b long")
+    ``bucket`` and ``most`` (members of a bucket, about and at most) decide the cost
+    alone. A bucket above ``most`` (2^(radius + 1) at least) is dealt again; with at
+    most log2(``most``) bits free it can hold no more than that many.
+    """
+    count, most = prints.count(), max(most, 2 << radius)
+    masks = part_masks(radius, width=max(0, (count // bucket).bit_length() - 1))
+    rows = _dealt(prints, F.array(*[_mask(m) for m in masks]), _tasks(count))
+    out = []
+    while True:
+        total = rows.count()
+        # Counted first, with partial sums: no group is collected whose size is not known.
+        sizes = written(rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > most))
+        large = sizes.select("mask", "bits") if not sizes.isEmpty() else None
+        small = rows if large is None else rows.join(large, ["mask", "bits"], "left_anti")
+        buckets = small.repartition(_tasks(total), "mask", "bits").groupBy("mask", "bits").agg(F.collect_list("fp").alias("members"))
+        out.append(buckets.filter("size(members) > 1").select("members").mapInArrow(_link_buckets(radius), "a long, b long"))
+        if large is None:
+            break
+        # Fewer bits are free in every round; a bucket that all its bits name has one member.
+        deeper = {m: part_masks(radius, m) for m in masks}
+        masks = sorted({m for parts in deeper.values() for m in parts})
+        children = F.create_map(*[c for m, parts in deeper.items() for c in (_mask(m), F.array(*[_mask(p) for p in parts]))])
+        again = rows.join(large, ["mask", "bits"], "left_semi")
+        rows = _dealt(again.select("fp", "mask"), children[F.col("mask")], _tasks(total))
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def _tasks(rows: int) -> int:
+    return min(rows // TABLE_ROWS_PER_TASK + 1, MOST_TASKS)
 
 
 def hex_of(fp: Column) -> Column:
