@@ -102,7 +102,7 @@ def test_few_wide_buckets_are_compared_in_blocks_that_are_given_up(monkeypatch):
     real = module._exceeds
     monkeypatch.setattr(module, "_exceeds", lambda count, limit: looks.append(1) or real(count, limit))
     rng = random.Random(3)
-    prints = np.array(sorted({rng.getrandbits(64) for _ in range(4000)}), dtype=np.uint64)
+    prints = np.array(sorted({rng.getrandbits(64) for _ in range(12_000)}), dtype=np.uint64)
     assert bucket_links(prints, 2) == []
     passes = -(-len(prints) // module.QUERIES_PER_PASS)
     blocks = sum(-(-(-(-len(prints) // 64) - 2 * i) // module.WORDS_PER_BLOCK) for i in range(passes))
