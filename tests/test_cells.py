@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vectrine.indexes import VectorIndex
-from vectrine.indexes.vectors import CELL, FAR, NO_CELL
+from vectrine.indexes import vectors
+from vectrine.indexes.vectors import CELL, FAR, GROUP, NO_CELL, lloyd
 from vectrine.operators.knn import knn
 from vectrine.operators.knn_join import knn_join
 from vectrine.sources import DataType, field, table_schema
@@ -164,3 +165,77 @@ def test_training_reads_a_bounded_sample(spark, folder, monkeypatch):
     rows = spark.range(2000).selectExpr("id", "array(cast(id as float), cast(1 as float)) AS v")
     VectorIndex.build(rows, folder, "id", "v", nlist=5)
     assert 50 <= seen[0] <= 150
+
+
+@pytest.fixture(scope="module")
+def apart(spark, clustered):
+    """Partition a holds the first ten clusters, b the others, c rows without a usable vector."""
+    part = F.when(F.col("id") >= 5000, "c").when(F.col("tag") < 10, "a").otherwise("b")
+    return clustered.withColumn("part", part).persist()
+
+
+@pytest.fixture(scope="module", params=["l2", "cosine"])
+def own(apart, request, tmp_path_factory):
+    return VectorIndex.build(apart, str(tmp_path_factory.mktemp("own")), "id", "v", nlist=10, metric=request.param, local=["part"], own_centroids=True)
+
+
+def test_every_partition_has_its_own_centroids(own):
+    trained = own.groups().select(CELL, F.get_json_object(GROUP, "$.part").alias("own"))
+    zero = {"c"} if own.metric == "l2" else set()  # the row of zeros has a place
+    assert {r["own"] for r in trained.collect()} == {"a", "b"} | zero
+    assert trained.groupBy("own").count().filter("count > 10").isEmpty()
+    placed = own.rows().join(trained, CELL)
+    assert placed.count() == own.rows().filter(F.col(CELL) != NO_CELL).count() and placed.filter("own != part").isEmpty()
+
+
+@pytest.mark.parametrize("partitions", [None, ["a"], ["b"], ["a", "b"], ["c"]])
+def test_own_centroids_find_the_exact_rows(own, apart, partitions):
+    q = query_of(apart, 40)
+    rows = apart if partitions is None else apart.filter(F.col("part").isin(partitions))
+    want = knn(rows, q, "v", own.metric, 12, key="id", **TOP).collect()
+    for options in ({"nprobe": own.nlist}, {"nprobe": 1, "exact": True}):
+        assert own.search(q, 12, partitions=partitions, **options, **TOP).collect() == want
+
+
+def test_own_centroids_recall_per_partition(own, apart):
+    """A probe of two of a partition's ten cells finds nine tenths of its true ten nearest rows."""
+    for part, first, last in (("a", 0, 275), ("b", 275, 1050)):
+        hits = total = 0
+        for i in range(first, last, (last - first) // 6):
+            q = query_of(apart, i)
+            want = {r["id"] for r in knn(apart.filter(F.col("part") == part), q, "v", own.metric, 5, key="id", **TOP).collect()}
+            got = {r["id"] for r in own.search(q, 5, nprobe=2, partitions=[part], **TOP).collect()}
+            hits, total = hits + len(want & got), total + len(want)
+        assert hits >= 0.9 * total
+
+
+def test_a_partition_is_trained_on_a_bounded_sample(apart, tmp_path, monkeypatch):
+    monkeypatch.setattr(vectors, "OWN_TRAIN_BYTES", 8 * 8 * 40)
+    seen = []
+    real = vectors._own_centres
+    monkeypatch.setattr(vectors, "_own_centres", lambda rows, k, seed: seen.extend(rows.groupBy(GROUP).count().collect()) or real(rows, k, seed))
+    index = VectorIndex.build(apart, str(tmp_path), "id", "v", nlist=4, local=["part"], own_centroids=True)
+    assert seen and all(r["count"] <= 80 for r in seen)
+    assert index.rows().count() == apart.count()
+
+
+def test_rows_of_a_new_partition_go_to_any_cell(own, apart):
+    moved = apart.withColumn("part", F.when(F.col("tag") == 3, "new").otherwise(F.col("part")))
+    index = own.refresh(moved)
+    assert index.rows().filter(f"part = 'new' and {CELL} = {NO_CELL} and id < 5000").isEmpty()
+    q = query_of(apart, 40)
+    want = knn(moved.filter("part = 'new'"), q, "v", own.metric, 7, key="id", **TOP).collect()
+    assert index.search(q, 7, nprobe=1, exact=True, partitions=["new"], **TOP).collect() == want
+    own.refresh(apart)
+
+
+def test_own_centroids_need_partitions(clustered, tmp_path):
+    with pytest.raises(ValueError, match="local"):
+        VectorIndex.build(clustered, str(tmp_path), "id", "v", own_centroids=True)
+
+
+def test_centroids_do_not_depend_on_the_order_of_rows():
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, (300, 5))
+    assert np.array_equal(lloyd(x, 7, 1), lloyd(x[rng.permutation(300)], 7, 1))
+    assert len(lloyd(np.ones((50, 3)), 7, 1)) == 1

@@ -23,6 +23,7 @@ from ..functions.vectors import float32, metric as find_metric, rounded, squared
 from ..operators.filters import IN_LIST_LIMIT, Condition, apply_filter, in_partitions
 from ..operators.knn import SCORE, knn
 from ..commits import Commits
+from ..sources.partitioning import PART, SUBPART
 from ..sources.table import SOURCE
 
 METRICS = ("l2", "cosine")
@@ -30,6 +31,8 @@ METRICS = ("l2", "cosine")
 CELL, CODES = "__cell", "__codes"
 # The distance of a row to its cell's centroid, in the space the centroids were trained in.
 FAR = "__far"
+# The partition that a centroid was trained on, where partitions have their own.
+GROUP = "__group"
 # Rows whose vector has no nearest centroid: NULL, of another length, with a hole or
 # NaN, or zero under cosine.
 NO_CELL = -1
@@ -37,6 +40,9 @@ BLOCK_BYTES = 64 << 20
 BROADCAST_ROWS = 10_000
 # KMeans sees this many rows per centroid (or code) unless told otherwise.
 TRAIN_ROWS_PER_CENTRE = 256
+# Largest sample of one partition (as doubles) that its own centroids are trained on, in one task.
+OWN_TRAIN_BYTES = 256 << 20
+LLOYD_ROUNDS = 10
 # Share of the distances by which bounds are widened against rounding.
 SLACK = 1e-9
 
@@ -47,13 +53,18 @@ def _normalised(vector: Column) -> Column:
     return F.transform(norm, lambda n: F.transform(vector, lambda x: x.cast("double") / n))[0]
 
 
-def _trainable(df: DataFrame, vector: str, metric: str) -> DataFrame:
-    """One column ``v`` of the vectors without holes and NaN, for cosine also without zero vectors."""
+def _group_of(local: Sequence[str]) -> Column:
+    """The name of a row's partition; never null."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in local]))
+
+
+def _trainable(df: DataFrame, vector: str, metric: str, local: Sequence[str] = ()) -> DataFrame:
+    """``v``, the vectors without holes and NaN, for cosine also without zero vectors, and the partition's name."""
     v = F.col(f"`{vector}`")
     usable = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x))
     if metric == "cosine":
         usable = usable & F.exists(v, lambda x: x != F.lit(0.0))
-    return df.select(v.alias("v")).filter(usable)
+    return df.filter(usable).select(v.alias("v"), *([_group_of(local).alias(GROUP)] if local else []))
 
 
 def _centres(rows: DataFrame, k: int, seed: int) -> np.ndarray:
@@ -67,6 +78,67 @@ def _centres(rows: DataFrame, k: int, seed: int) -> np.ndarray:
     return np.array(model.clusterCenters())
 
 
+def lloyd(x: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """At most ``k`` centroids of a bounded sample, whatever the order of its rows.
+
+    The first ones are drawn with a chance that grows with the squared distance to
+    those there are; then rows and centroids are fitted to each other in turn.
+    """
+    distinct = np.unique(x, axis=0)
+    if len(distinct) <= k:
+        return distinct
+    x = x[np.lexsort(x.T)]
+    rng = np.random.default_rng(seed)
+    centres = [x[rng.integers(len(x))]]
+    gaps = ((x - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k and gaps.sum() > 0:
+        centres.append(x[rng.choice(len(x), p=gaps / gaps.sum())])
+        gaps = np.minimum(gaps, ((x - centres[-1]) ** 2).sum(axis=1))
+    out = np.array(centres)
+    for _ in range(LLOYD_ROUNDS):
+        best = nearest_rows(x, out)[0]
+        n = np.bincount(best, minlength=len(out))[:, None]
+        sums = np.column_stack([np.bincount(best, weights=x[:, d], minlength=len(out)) for d in range(x.shape[1])])
+        out = np.where(n > 0, sums / np.maximum(n, 1), out)
+    return out
+
+
+def _own_centres(rows: DataFrame, k: int, seed: int) -> tuple[np.ndarray, list[str]]:
+    """Centroids of each partition (column ``GROUP``) and their partitions; one task trains one partition on its bounded sample."""
+
+    def train(table: pa.Table) -> pa.Table:
+        column = table["v"].combine_chunks()
+        x = column.values.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+        found = lloyd(x, k, seed)
+        return pa.table({GROUP: pa.array([table[GROUP][0].as_py()] * len(found)), "centroid": pa.array(found.tolist(), pa.list_(pa.float64()))})
+
+    found = rows.groupBy(GROUP).applyInArrow(train, f"{GROUP} string, centroid array<double>").collect()
+    ordered = sorted((r[GROUP], r["centroid"]) for r in found)
+    return np.array([c for _, c in ordered]), [g for g, _ in ordered]
+
+
+def _nearest_own_of(block, start: int, dim: int, metric: str):
+    """UDF like ``_nearest_of``, among the centres of the row's partition; among all for a null partition."""
+
+    @F.arrow_udf("struct<cost: double, cell: int, far: double>")
+    def nearest(batch: pa.Array, own: pa.Array) -> pa.Array:
+        centres, names = block.value
+        x, ok = usable_matrix(batch, dim, metric)
+        codes = own.fill_null("").dictionary_encode()
+        label = codes.indices.to_numpy()
+        costs, best, seen = np.zeros(len(x)), np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=bool)
+        for i, name in enumerate(codes.dictionary.to_pylist()):
+            mine, rows = np.flatnonzero(names == name) if name else np.arange(len(centres)), np.flatnonzero(label == i)
+            if len(mine):
+                at, costs[rows] = nearest_rows(x[rows], centres[mine])
+                best[rows], seen[rows] = mine[at], True
+        gaps = x - centres[best]
+        fields = [pa.array(costs), pa.array((best + start).astype(np.int32)), pa.array(np.sqrt((gaps * gaps).sum(axis=1)))]
+        return pa.StructArray.from_arrays(fields, names=["cost", "cell", "far"], mask=pa.array(~(ok & seen)))
+
+    return nearest
+
+
 def _nearest_of(block, start: int, dim: int, metric: str):
     """UDF: struct(cost, cell, far) of the nearest centre in one broadcast block."""
 
@@ -98,9 +170,17 @@ def centre_blocks(spark: SparkSession, centres: np.ndarray) -> list[tuple[int, B
     return [(at, spark.sparkContext.broadcast(centres[at : at + per_block])) for at in range(0, len(centres), per_block)]
 
 
-def _nearest(spark: SparkSession, vector: Column, centres: np.ndarray, metric: str) -> Column:
-    """struct(cost, cell, far) of the nearest centre."""
-    candidates = [_nearest_of(block, start, centres.shape[1], metric)(vector) for start, block in centre_blocks(spark, centres)]
+def _nearest(spark: SparkSession, vector: Column, centres: np.ndarray, metric: str, groups: Sequence[str] | None = None, own: Column | None = None) -> Column:
+    """struct(cost, cell, far) of the nearest centre; given ``groups``, of those of the row's partition ``own`` if it has any."""
+    dim = centres.shape[1]
+    if groups is None:
+        candidates = [_nearest_of(block, start, dim, metric)(vector) for start, block in centre_blocks(spark, centres)]
+    else:
+        names, per_block = np.array(groups, dtype=object), max(1, BLOCK_BYTES // (8 * dim))
+        known = F.when(own.isin(sorted(set(groups))), own)
+        starts = range(0, len(centres), per_block)
+        blocks = [spark.sparkContext.broadcast((centres[at : at + per_block], names[at : at + per_block])) for at in starts]
+        candidates = [_nearest_own_of(block, at, dim, metric)(vector, known) for at, block in zip(starts, blocks)]
     return F.array_min(F.array(*candidates)) if len(candidates) > 1 else candidates[0]
 
 
@@ -178,6 +258,7 @@ class VectorIndex:
         metric: str = "l2",
         *,
         local: Sequence[str] = (),
+        own_centroids: bool = False,
         pq_segments: int | None = None,
         pq_codes: int = 256,
         train_rows: int | None = None,
@@ -189,7 +270,11 @@ class VectorIndex:
     ) -> VectorIndex:
         """Train centroids (and codebooks), assign every row, write a new version.
 
-        ``local`` names partition columns: cells are then kept per partition. KMeans
+        ``local`` names partition columns: cells are then kept per partition. With
+        ``own_centroids`` each partition also trains ``nlist`` centroids of its own, on
+        a sample of its usable rows (``train_rows`` and ``OWN_TRAIN_BYTES`` at most),
+        all partitions in one job; rows of a partition that had none to train on go to
+        the nearest centroid of any. Else all partitions share centroids: KMeans
         sees a sample of ``train_rows`` usable rows, by default
         ``TRAIN_ROWS_PER_CENTRE`` for each centroid (or code, if these are more);
         every row is indexed. The vectors' length is ``dim``, else the one
@@ -202,19 +287,21 @@ class VectorIndex:
             raise ValueError(f"an IVF index serves {', '.join(METRICS)}, not {name}")
         if not 1 <= pq_codes <= 1 << 15:
             raise ValueError("pq_codes must lie between 1 and 32768")
-        taken = {CELL, CODES, FAR} & set(df.columns)
+        if own_centroids and (not local or centroids is not None):
+            raise ValueError("own centroids need local partition columns and no given centroids")
+        taken = {CELL, CODES, FAR, GROUP} & set(df.columns)
         if taken:
             raise ValueError(f"reserved column names: {', '.join(sorted(taken))}")
-        options = {"nlist": nlist, "pq_segments": pq_segments, "pq_codes": pq_codes, "train_rows": train_rows, "seed": seed}
+        options = {"nlist": nlist, "own_centroids": own_centroids, "pq_segments": pq_segments, "pq_codes": pq_codes, "train_rows": train_rows, "seed": seed}
         dim = dim or df.schema[vector].metadata.get("dim") or (len(centroids[0]) if centroids else None)
-        centres, books = None, None
+        centres, books, groups = None, None, None
         if centroids is not None:
             centres = np.array([[float32(x) for x in c] for c in centroids])
             books = [np.array(b, dtype=np.float64) for b in codebooks] if codebooks is not None else None
             if name == "cosine":
                 centres = unit_rows(centres)
         else:
-            dim, centres, books = cls._train(df, path, vector, name, dim, **options)
+            dim, centres, books, groups = cls._train(df, path, vector, name, dim, local, **options)
         state = {
             "key": key,
             "vector": vector,
@@ -229,29 +316,37 @@ class VectorIndex:
             "parts": [],
             "sources": None,
         }
-        return cls._append(df, path, state, centres, books, sources)
+        return cls._append(df, path, state, centres, books, sources, groups)
 
     @classmethod
-    def _train(cls, df, path, vector, metric, dim, nlist, pq_segments, pq_codes, train_rows, seed):
-        """(length, centroids, codebooks); no centroids where no row can be trained on."""
+    def _train(cls, df, path, vector, metric, dim, local, nlist, own_centroids, pq_segments, pq_codes, train_rows, seed):
+        """(length, centroids, codebooks, partitions of the centroids); no centroids where no row can be trained on."""
         spark, commits = df.sparkSession, Commits(df.sparkSession, path)
-        usable = _trainable(df, vector, metric)
+        usable = _trainable(df, vector, metric, local if own_centroids else ())
         lengths = {r["d"]: r["n"] for r in usable.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
         lengths.pop(0, None)
         if dim is None and lengths:
             dim = max(lengths, key=lambda d: (lengths[d], d))
         rows = lengths.get(dim, 0)
         if not rows:
-            return dim, None, None
+            return dim, None, None, None
         usable = usable.filter(F.size("v") == dim)
         train_rows = train_rows or TRAIN_ROWS_PER_CENTRE * max(nlist, pq_codes if pq_segments else 0)
-        if rows > train_rows:
+        if own_centroids:
+            most = max(1, min(train_rows, OWN_TRAIN_BYTES // (8 * dim)))
+            sizes = usable.groupBy(GROUP).agg(F.count("*").alias("n")).collect()  # one row per partition
+            usable = usable.sampleBy(GROUP, {r[GROUP]: min(1.0, most / r["n"]) for r in sizes}, seed)
+        elif rows > train_rows:
             usable = usable.sample(min(1.0, train_rows / rows), seed=seed)
         training = f"training-{uuid.uuid4().hex}"
-        v = F.col("v")
-        usable.select((_normalised(v) if metric == "cosine" else v.cast("array<double>")).alias("v")).write.parquet(f"{commits.root}/{training}")
-        sample = spark.read.schema("v array<double>").parquet(f"{commits.root}/{training}")
-        centres, books = _centres(sample, nlist, seed), None
+        v, named = F.col("v"), [GROUP] if own_centroids else []
+        usable.select((_normalised(v) if metric == "cosine" else v.cast("array<double>")).alias("v"), *named).write.parquet(f"{commits.root}/{training}")
+        sample = spark.read.schema(", ".join(["v array<double>", *[f"{c} string" for c in named]])).parquet(f"{commits.root}/{training}")
+        books, groups = None, None
+        if own_centroids:
+            centres, groups = _own_centres(sample, nlist, seed)
+        else:
+            centres = _centres(sample, nlist, seed)
         if pq_segments:
 
             def train(cut: tuple[int, int]) -> np.ndarray:
@@ -261,10 +356,10 @@ class VectorIndex:
             with ThreadPoolExecutor(min(8, len(bounds))) as pool:
                 books = list(pool.map(train, bounds))
         commits.delete(training)
-        return dim, centres, books
+        return dim, centres if len(centres) else None, books, groups
 
     @classmethod
-    def _append(cls, df, path, state, centres, books, sources) -> VectorIndex:
+    def _append(cls, df, path, state, centres, books, sources, groups=None) -> VectorIndex:
         """Assign the rows of ``df`` and commit ``state`` with them as one more part."""
         spark, commits = df.sparkSession, Commits(df.sparkSession, path)
         part = uuid.uuid4().hex
@@ -272,25 +367,26 @@ class VectorIndex:
         metric, local, dim = state["metric"], state["local"], state["dim"]
         vector = F.col(f"`{state['vector']}`")
         no_place = F.lit(None).cast("struct<cost: double, cell: int, far: double>")
-        place = no_place if centres is None else _nearest(spark, vector, centres, metric)
+        place = no_place if centres is None else _nearest(spark, vector, centres, metric, groups, _group_of(local) if groups else None)
         rows = df.withColumn("__place", place).withColumns({CELL: F.coalesce("__place.cell", F.lit(NO_CELL)), FAR: F.col("__place.far")}).drop("__place")
         if books is not None:
             rows = rows.withColumn(CODES, _encode(spark, vector, books, dim, metric))
         rows.hint("rebalance", *local, CELL).write.partitionBy(*local, CELL).parquet(f"{folder}/rows")
-        stored = spark.read.schema(f"{FAR} double, {CELL} int").parquet(f"{folder}/rows")
-        stored.groupBy(CELL).agg(F.count("*").alias("rows"), F.min(FAR).alias("least"), F.max(FAR).alias("most")).coalesce(1).write.parquet(f"{folder}/bounds")
+        labels = T.StructType([T.StructField(c, T.StringType()) for c in local])
+        stored = spark.read.schema(T.StructType([T.StructField(FAR, T.DoubleType()), *labels, T.StructField(CELL, T.IntegerType())])).parquet(f"{folder}/rows")
+        stored.groupBy(CELL, *local).agg(F.count("*").alias("rows"), F.min(FAR).alias("least"), F.max(FAR).alias("most")).coalesce(1).write.parquet(f"{folder}/bounds")
         if not state["parts"]:
-            cls._write_trained(spark, folder, centres, books)
+            cls._write_trained(spark, folder, centres, books, groups)
         covered = None if sources is None else sorted(set(sources))
         commits.write(commits.version() + 1, {**state, "parts": [*state["parts"], part], "sources": covered})
         return cls(spark, path)
 
     @staticmethod
-    def _write_trained(spark: SparkSession, folder: str, centres, books) -> None:
+    def _write_trained(spark: SparkSession, folder: str, centres, books, groups) -> None:
         tables = [(s, c, row.tolist()) for s, book in enumerate(books or []) for c, row in enumerate(book)]
         spark.createDataFrame(tables, "segment int, code int, centre array<double>").write.parquet(f"{folder}/codebooks")
-        rows = [] if centres is None else [(i, c.tolist()) for i, c in enumerate(centres)]
-        spark.createDataFrame(rows, f"{CELL} int, centroid array<double>").write.parquet(f"{folder}/centroids")
+        rows = [] if centres is None else [(i, c.tolist(), groups[i] if groups else None) for i, c in enumerate(centres)]
+        spark.createDataFrame(rows, f"{CELL} int, centroid array<double>, {GROUP} string").write.parquet(f"{folder}/centroids")
 
     def rebuild(self, df: DataFrame, **options) -> VectorIndex:
         """Train again on the current table."""
@@ -305,12 +401,12 @@ class VectorIndex:
         """
         if not self.nlist:
             return self.rebuild(df, sources=sources)
-        centres, books = self._centre_matrix(), self._books()
+        centres, books, groups = self._centre_matrix(), self._books(), self._groups()
         if sources is None or self.state["sources"] is None:
             state = {**self.state, "parts": [], "schema": df.schema.jsonValue()}
-            return self._append(df, self.path, state, centres, books, sources)
+            return self._append(df, self.path, state, centres, books, sources, groups)
         fresh = [s for s in sources if s not in self.state["sources"]]
-        return self._append(df.filter(F.col(SOURCE).isin(fresh)), self.path, self.state, centres, books, sources)
+        return self._append(df.filter(F.col(SOURCE).isin(fresh)), self.path, self.state, centres, books, sources, groups)
 
     # --- reading ------------------------------------------------------------------
 
@@ -338,10 +434,17 @@ class VectorIndex:
     def centroids(self) -> DataFrame:
         return self._read("centroids", f"{CELL} int, centroid array<double>")
 
-    def bounds(self) -> DataFrame:
-        """Per cell: rows, and the least and most distance of one to the centroid (rows that the table has no more included)."""
-        parts = [self.spark.read.schema(f"{CELL} int, rows long, least double, most double").parquet(f"{self.path}/{p}/bounds") for p in self.state["parts"]]
-        return reduce(DataFrame.unionByName, parts).groupBy(CELL).agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most"))
+    def bounds(self, partitions: Sequence[str] | None = None) -> DataFrame:
+        """Per cell: rows, and the least and most distance of one to the centroid (rows that the table has no more included).
+
+        With ``partitions``, of the rows there, where the index is kept by partition.
+        """
+        fields = [T.StructField(c, T.StringType()) for c in self.local]
+        schema = T.StructType(fields).add(CELL, T.IntegerType()).add("rows", T.LongType()).add("least", T.DoubleType()).add("most", T.DoubleType())
+        parts = reduce(DataFrame.unionByName, [self.spark.read.schema(schema).parquet(f"{self.path}/{p}/bounds") for p in self.state["parts"]])
+        levels = {PART} | ({SUBPART} if any("/" in p for p in partitions or ()) else set())
+        chosen = in_partitions(parts, partitions if levels <= set(self.local) else None)
+        return chosen.groupBy(CELL).agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most"))
 
     def codebooks(self) -> DataFrame:
         return self._read("codebooks", "segment int, code int, centre array<double>")
@@ -349,6 +452,14 @@ class VectorIndex:
     def _centre_matrix(self) -> np.ndarray:
         return np.array([r["centroid"] for r in self.centroids().orderBy(CELL).collect()])
 
+    def groups(self) -> DataFrame:
+        """Per cell the partition it was trained on, as JSON; null where partitions share centroids."""
+        return self._read("centroids", f"{CELL} int, {GROUP} string")
+
+    def _groups(self) -> list[str] | None:
+        """The partition of each centroid; None where all partitions share them."""
+        return [r[GROUP] for r in self.groups().orderBy(CELL).collect()] if self.state["options"].get("own_centroids") else None
+
     def _books(self) -> list[np.ndarray] | None:
         if not self.state["segments"]:
             return None
@@ -387,13 +498,14 @@ class VectorIndex:
 
     # --- which cells to read ----------------------------------------------------------
 
-    def _reach(self, query: Sequence[float]) -> list[tuple[float, float, int]]:
+    def _reach(self, query: Sequence[float], partitions: Sequence[str] | None = None) -> list[tuple[float, float, int]]:
         """(least possible distance of a row, distance of the centroid, cell), nearest possible row first.
 
         By the triangle inequality a row as far as r from its centroid, which is d from
-        the query, lies between |d - r| and d + r. One entry per cell that has rows.
+        the query, lies between |d - r| and d + r. One entry per cell that has rows (of the
+        partitions, where the index is kept by partition).
         """
-        known = self.centroids().select(CELL, self._centre_distance(query).alias("d")).join(self.bounds(), CELL)
+        known = self.centroids().select(CELL, self._centre_distance(query).alias("d")).join(self.bounds(partitions), CELL)
         least = F.greatest(F.lit(0.0), F.col("d") - F.col("most"), F.col("least") - F.col("d"))
         return sorted((r["reach"], r["d"], r[CELL]) for r in known.select(CELL, "d", least.alias("reach")).collect())
 
@@ -413,6 +525,7 @@ class VectorIndex:
         threshold: float | None = None,
         digits: int | None = None,
         sources: Sequence[str] | None = None,
+        partitions: Sequence[str] | None = None,
     ) -> list[int] | None:
         """Cells to read for the ``k`` best of the ``allowed`` rows; None where all rows are needed.
 
@@ -421,12 +534,13 @@ class VectorIndex:
         allowed rows. With it, cells are taken by the least distance a row of theirs can
         have, until that passes the ``k``-th best found (or ``threshold``): what is left
         cannot change the result. A round reads its own cells only and returns at most
-        ``k`` scores.
+        ``k`` scores. ``partitions`` leaves out cells without rows there; ``allowed``
+        must filter by it.
         """
         placed = len(query) == self.dim and not any(x != x for x in query) and (self.metric != "cosine" or any(query))
         if not self.nlist or not placed:
             return None
-        cells = self._reach(query)
+        cells = self._reach(query, partitions)
         if not exact:
             cells.sort(key=lambda c: (c[1], c[2]))
         wide = max((d for _, d, _ in cells), default=0.0)
@@ -497,7 +611,7 @@ class VectorIndex:
                 return apply_filter(in_partitions(rows, partitions), None if narrow else where)
 
             ask = k * expand if narrow else k
-            cells = self.cells_for(query, ask, nprobe, exact=exact, allowed=allowed, threshold=threshold, digits=digits, sources=sources)
+            cells = self.cells_for(query, ask, nprobe, exact=exact, allowed=allowed, threshold=threshold, digits=digits, sources=sources, partitions=partitions)
             rows = self.of_cells(self.rows(sources), cells)
         else:
             rows = self.probe(query, nprobe, sources)

@@ -12,7 +12,7 @@ from ..functions.sqlfuncs import run_sql
 from ..functions.text import query_terms, term_counts
 from ..functions.vectors import binarise, metric
 from ..indexes.sparse import SparseIndex
-from ..indexes.vectors import CELL, VectorIndex
+from ..indexes.vectors import CELL, GROUP, VectorIndex
 from ..operators.filters import vector_equals
 from ..operators.knn import knn, search
 from ..operators.knn_join import knn_join
@@ -555,6 +555,33 @@ def ivf_filtered(spark, folder):
     return index_search(ivf(spark, folder), spark, folder, nprobe=2, exact=True, where=RARE)
 
 
+def ivf_own(spark, folder) -> VectorIndex:
+    """Four partitions, each with centroids of its own."""
+    rows = embeddings(spark, folder).withColumn("part", F.concat(F.lit("p"), (F.col("vec_id") % 4).cast("string")))
+    return VectorIndex.build(rows, shared_dir(spark), "vec_id", "embedding", nlist=8, local=["part"], own_centroids=True)
+
+
+@query("ivf_own_centroids", top_sql(L2))
+def ivf_own_centroids(spark, folder):
+    """The ten nearest rows of all partitions, from the cells that may hold one."""
+    return index_search(ivf_own(spark, folder), spark, folder, nprobe=2, exact=True)
+
+
+@query("ivf_own_partition", top_sql(L2, where="vec_id % 4 = 1"))
+def ivf_own_partition(spark, folder):
+    """The ten nearest rows of one partition; only its own cells are looked at."""
+    return index_search(ivf_own(spark, folder), spark, folder, nprobe=2, exact=True, partitions=["p1"])
+
+
+@query("ivf_own_cells", "SELECT 'p' || (vec_id % 4) AS part, count(*) AS n, 0::BIGINT AS strangers FROM embeddings GROUP BY 1")
+def ivf_own_cells(spark, folder):
+    """Rows per partition, and those whose cell was trained on another one."""
+    index = ivf_own(spark, folder)
+    trained = index.groups().select(CELL, F.get_json_object(GROUP, "$.part").alias("own"))
+    rows = index.rows().join(trained, CELL)
+    return rows.groupBy("part").agg(F.count("*").alias("n"), F.sum((F.col("own") != F.col("part")).cast("long")).alias("strangers"))
+
+
 @query("ivf_widened", f"WITH t AS ({top_sql(L2, where=RARE)}) SELECT count(*) AS n, 0::BIGINT AS others FROM t")
 def ivf_widened(spark, folder):
     """The same filter on the nearest cells: as many rows as the filter leaves, and none that it does not."""
