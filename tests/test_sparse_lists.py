@@ -58,6 +58,21 @@ def test_only_the_lists_asked_for_are_read(positive):
     assert positive._of("entries", [60]).select(F.countDistinct("place")).first()[0] == 1
 
 
+def test_vectors_are_made_once(spark, folder):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("map<int, float>")
+    def make(i):
+        made.add(1)
+        return {i % 7: 1.5, 9: 0.5} if i % 10 else None
+
+    made_here = spark.range(50).select("id", make("id").alias("v"))
+    index = SparseIndex.build(made_here, folder, "id", "v")
+    assert made.value == 50
+    assert index.norms().count() == 50 and index._of("lists", [9]).first()["rows"] == 45
+    assert index.search(made_here, {9: 1.0, 3: 2.0}, "l2", 5, **TOP).collect() == knn(made_here, {9: 1.0, 3: 2.0}, "v", "l2", 5, key="id", **TOP).collect()
+
+
 def test_wrong_use_is_refused(rows, index, folder):
     with pytest.raises(ValueError):
         SparseIndex.build(rows, folder, "id", "tag")

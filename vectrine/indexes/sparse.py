@@ -52,10 +52,14 @@ class SparseIndex:
         kind = df.schema[vector].dataType
         if not isinstance(kind, T.MapType):
             raise ValueError(f"column {vector!r} holds no sparse vectors")
-        folder = f"{commits.root}/{uuid.uuid4().hex}"
+        name = uuid.uuid4().hex
+        folder = f"{commits.root}/{name}"
         entries = F.map_entries(F.col(f"`{vector}`"))
         odd = F.exists(entries, lambda e: F.coalesce(F.isnan(e["value"].cast("double")) | (F.abs(e["value"].cast("double")) == math.inf), F.lit(True)))
-        rows = df.select(F.col(f"`{key}`").alias("key"), F.when(~odd, entries).alias("entries"))
+        # vectors may be dear to make: they are made once, and counted, dealt and measured as stored
+        df.select(F.col(f"`{key}`").alias("key"), F.when(~odd, entries).alias("entries")).write.parquet(f"{folder}/rows")
+        entry = f"struct<key: {kind.keyType.simpleString()}, value: {kind.valueType.simpleString()}>"
+        rows = spark.read.schema(f"key {df.schema[key].dataType.simpleString()}, entries array<{entry}>").parquet(f"{folder}/rows")
         if buckets is None:
             buckets = max(LEAST_BUCKETS, (rows.agg(F.sum(F.size("entries"))).first()[0] or 0) // ROWS_PER_BUCKET)
         weights = rows.select("key", F.explode("entries").alias("e")).select(F.col("e.key").alias("place"), "key", F.col("e.value").cast("double").alias("weight"))
@@ -63,7 +67,8 @@ class SparseIndex:
         by_place.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "place").write.partitionBy(BUCKET).parquet(f"{folder}/entries")
         squared = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["value"].cast("double") * e["value"].cast("double"))
         rows.select("key", squared.alias("squared")).repartitionByRange("squared").sortWithinPartitions("squared", "key").write.parquet(f"{folder}/norms")
-        state = {"key": key, "vector": vector, "buckets": buckets, "folder": folder.removeprefix(f"{commits.root}/"), "key_type": df.schema[key].dataType.simpleString()}
+        commits.delete(f"{name}/rows")
+        state = {"key": key, "vector": vector, "buckets": buckets, "folder": name, "key_type": df.schema[key].dataType.simpleString()}
         state["place_type"] = kind.keyType.simpleString()
         lists = cls._stored(spark, commits.root, state, "entries").groupBy(BUCKET, "place")
         lists = lists.agg(F.count("*").alias("rows"), F.max("weight").alias("most"), F.min("weight").alias("least"))
