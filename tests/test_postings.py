@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from vectrine.indexes import TextIndex
-from vectrine.indexes.postings import BLOCK
+from vectrine.indexes.postings import BLOCK, BUCKET
 from vectrine.operators.bm25 import bm25_search
 from vectrine.operators.search_dict import find, where
+from vectrine.sources.table import SOURCE
 from vectrine.functions.text import term_counts, tokens
 
 TOP = dict(names=["id"], with_score=True)
@@ -51,6 +52,16 @@ def test_few_blocks_are_read(blocked):
     assert all(r["score"] <= bounds[r[BLOCK]] + 1e-9 for r in scored)
 
 
+def test_bounds_are_grouped_where_the_texts_are_cut(texts, blocked):
+    most = TextIndex._bounds(texts.withColumn(SOURCE, F.lit("")), blocked.state, 5)
+    plan = most._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and most.rdd.getNumPartitions() == 5
+    of = [BUCKET, "term", BLOCK, SOURCE]
+    want = blocked._read("postings").groupBy(*of).agg(F.count("*").alias("rows"), F.max("tf").alias("tf"), F.min("length").alias("length"))
+    assert sorted(most.select(*want.columns).collect()) == sorted(want.collect())
+    assert sorted(blocked._read("bounds").select(*want.columns).collect()) == sorted(want.collect())
+
+
 def test_more_rows_than_the_first_blocks_hold(texts, blocked):
     want = bm25_search(texts, "w0 w9", "doc", 1500, key="id", **TOP).collect()
     assert blocked.search(texts, "w0 w9", 1500, **TOP).collect() == want

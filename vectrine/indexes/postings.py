@@ -21,21 +21,24 @@ from ..operators.projection import Output, output_columns
 from ..sources.table import SOURCE
 
 DOCUMENTS_PER_BUCKET = 1_000_000
+POSTINGS_PER_TASK = 1_000_000
 LEAST_BUCKETS = 8
 BUCKET = "__bucket"
 # The source of rows that belong to no versioned table.
 ANYWHERE = ""
 # Documents of like length and by hash: the unit that a top-k search reads or passes over.
 BLOCK = "__block"
+# A number of the key alone that the documents of a block share.
+SPLIT = "__split"
 LENGTH_CLASSES = 16
 FIRST_BLOCKS = 16
 MOST_ROUND_BLOCKS = 1024
 
 
 def postings_of(df: DataFrame, key: str, column: str | Column, places: bool = False) -> DataFrame:
-    """(key, term, tf, length[, places][, source]): one row per document and distinct token, counted inside the row."""
+    """(key, term, tf, length[, places][, source][, split]): one row per document and distinct token, counted inside the row."""
     text = F.col(column) if isinstance(column, str) else column
-    kept = [F.col(f"`{c}`") for c in (key, SOURCE) if c in df.columns]
+    kept = [F.col(f"`{c}`") for c in (key, SOURCE, SPLIT) if c in df.columns]
     counted = df.select(*kept, term_counts(text, places).alias("__c"))
     exploded = counted.select(*kept, F.col("__c.length").alias("length"), F.explode("__c.terms").alias("__t"))
     return exploded.select(kept[0], "__t.term", "__t.tf", "length", *(["__t.places"] if places else []), *kept[1:])
@@ -59,7 +62,7 @@ class TextIndex:
     phrases.
     """
 
-    RESERVED = ("term", "tf", "length", "places", BLOCK, BUCKET, SOURCE)
+    RESERVED = ("term", "tf", "length", "places", BLOCK, BUCKET, SOURCE, SPLIT)
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -116,29 +119,55 @@ class TextIndex:
         folder = f"{commits.root}/{part}"
         key, text = state["key"], cls._text(state["columns"])
         rows = df if SOURCE in df.columns else df.withColumn(SOURCE, F.lit(ANYWHERE))
-        postings = postings_of(rows, key, text, state["positions"])
-        if kept is not None:
-            postings = postings.unionByName(kept)
         state = {**state, "parts": [*state["parts"], part], "key_type": df.schema[key].dataType.simpleString()}
-        cls._write_postings(postings, folder, state)
+        cls._write_postings(rows, folder, state, kept)
         return cls._documents_of(rows, folder, state, commits, spark)
 
     @classmethod
-    def _write_postings(cls, postings: DataFrame, folder: str, state: dict) -> None:
-        """Postings by bucket, term and block; then what bounds a term's weight in each block."""
-        rows = postings.withColumn(BUCKET, cls._bucket(F.col("term"), state["buckets"]))
-        order = [BUCKET, "term"]
-        if state["splits"]:
-            # lengths of one class differ by a fifth at most, so that a block's least length says much
-            like = F.floor(F.log2(F.col("length").cast("double")) * 4).cast("long")
-            block = like * F.lit(1 << 32) + F.pmod(F.xxhash64(F.col(f"`{state['key']}`")), F.lit(state["splits"]))
-            rows, order = rows.withColumn(BLOCK, block), [*order, BLOCK]
+    def _write_postings(cls, docs: DataFrame, folder: str, state: dict, kept: DataFrame | None = None) -> None:
+        """Postings (of ``docs``, and those ``kept``) by bucket, term and block; then what bounds a term's weight in each block."""
+        key, text = state["key"], cls._text(state["columns"])
+        postings = postings_of(docs, key, text, state["positions"])
+        rows = cls._placed(postings if kept is None else postings.unionByName(kept), state)
+        order = [BUCKET, "term", *([BLOCK] if state["splits"] else [])]
         rows.hint("rebalance", BUCKET).sortWithinPartitions(*order).write.partitionBy(BUCKET).parquet(f"{folder}/postings")
         if state["splits"]:
-            stored = cls._read_part(postings.sparkSession, folder, state, "postings")
-            most = stored.groupBy(BUCKET, "term", BLOCK, SOURCE).agg(F.count("*").alias("rows"), F.max("tf").alias("tf"), F.min("length").alias("length"))
+            tasks = cls._read_part(docs.sparkSession, folder, state, "postings").count() // POSTINGS_PER_TASK + 1
+            most = cls._bounds(docs, state, tasks, kept)
             most.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "term").write.partitionBy(BUCKET).parquet(f"{folder}/bounds")
 
+    @staticmethod
+    def _split(state: Mapping) -> Column:
+        return F.pmod(F.xxhash64(F.col(f"`{state['key']}`")), F.lit(state["splits"]))
+
+    @classmethod
+    def _placed(cls, postings: DataFrame, state: dict) -> DataFrame:
+        """Postings with their bucket and block."""
+        rows = postings.withColumn(BUCKET, cls._bucket(F.col("term"), state["buckets"]))
+        if not state["splits"]:
+            return rows
+        # lengths of one class differ by a fifth at most, so that a block's least length says much
+        like = F.floor(F.log2(F.col("length").cast("double")) * 4).cast("long")
+        return rows.withColumn(BLOCK, like * F.lit(1 << 32) + cls._split(state))
+
+    @classmethod
+    def _bounds(cls, docs: DataFrame, state: dict, tasks: int, kept: DataFrame | None = None) -> DataFrame:
+        """Per term, block and source: its rows, largest count and least length.
+
+        Hardly any two postings share a block, so grouping them takes memory for most
+        rows of a task. Stored postings are dense, and a task would read very many; so
+        the texts are dealt by a number that a block's documents share, to ``tasks``
+        tasks, and each groups what it has cut itself.
+        """
+        key, text = state["key"], cls._text(state["columns"])
+        split = cls._split(state)
+        if kept is None:
+            rows = postings_of(docs.withColumn(SPLIT, split).repartition(tasks, SPLIT), key, text)
+        else:
+            rows = postings_of(docs, key, text).unionByName(kept.drop("places")).withColumn(SPLIT, split).repartition(tasks, SPLIT)
+        grouped = cls._placed(rows, state).groupBy(SPLIT, BUCKET, "term", BLOCK, SOURCE)
+        return grouped.agg(F.count("*").alias("rows"), F.max("tf").alias("tf"), F.min("length").alias("length")).drop(SPLIT)
+
     @classmethod
     def _documents_of(cls, rows: DataFrame, folder: str, state: dict, commits: Commits, spark: SparkSession) -> TextIndex:
         text = F.coalesce(cls._text(state["columns"]), F.lit(""))
@@ -185,8 +214,8 @@ class TextIndex:
         commits = Commits(self.spark, self.path)
         part = uuid.uuid4().hex
         folder = f"{commits.root}/{part}"
-        rows = postings_of(added.withColumn(SOURCE, F.lit(ANYWHERE)), self.key, self._text(self.columns), state["positions"]).unionByName(kept)
-        self._write_postings(rows, folder, {**state, "key_type": df.schema[self.key].dataType.simpleString()})
+        now = {**state, "key_type": df.schema[self.key].dataType.simpleString()}
+        self._write_postings(added.withColumn(SOURCE, F.lit(ANYWHERE)), folder, now, kept)
         state["parts"] = [part]
         return self._documents_of(df.withColumn(SOURCE, F.lit(ANYWHERE)), folder, state, commits, self.spark)
 
