@@ -62,6 +62,23 @@ def test_bounds_are_grouped_where_the_texts_are_cut(texts, blocked):
     assert sorted(blocked._read("bounds").select(*want.columns).collect()) == sorted(want.collect())
 
 
+def test_texts_not_indexed_yet_are_cut_twice_only(spark, texts, blocked, folder):
+    cut = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def made(t):
+        cut.add(1)
+        return t
+
+    index = TextIndex.build(texts.filter("id % 3 > 0"), folder, "id", "doc", 4)
+    fresh = texts.filter("id % 3 = 0").repartition(2).withColumn("doc", made("doc"))
+    n = texts.filter("id % 3 = 0").count()
+    for text in QUERIES:
+        cut.value = 0
+        assert sorted(index.scores(text, fresh=fresh).collect()) == sorted(blocked.scores(text).collect())
+        assert cut.value <= 2 * n
+
+
 def test_more_rows_than_the_first_blocks_hold(texts, blocked):
     want = bm25_search(texts, "w0 w9", "doc", 1500, key="id", **TOP).collect()
     assert blocked.search(texts, "w0 w9", 1500, **TOP).collect() == want

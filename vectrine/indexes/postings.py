@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..commits import Commits
 from ..functions.text import query_terms, term_counts, tokens
 from ..functions.vectors import rounded
-from ..operators.bm25 import DIGITS, term_weight
+from ..operators.bm25 import DIGITS, counted, term_weight
 from ..operators.filters import IN_LIST_LIMIT, Condition, apply_filter, in_partitions
 from ..operators.knn import SCORE
 from ..operators.projection import Output, output_columns
@@ -281,16 +281,30 @@ class TextIndex:
             counts = self._of_terms("bounds", wanted, sources).select("term", "rows")
         else:
             counts = self._of_terms("postings", wanted, sources).select("term", F.lit(1).cast("long").alias("rows"))
+        found = {r["term"]: r["df"] for r in counts.groupBy("term").agg(F.sum("rows").alias("df")).collect()}
         if fresh is not None:
-            new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns))
-            counts = counts.unionByName(new.filter(F.col("term").isin(list(wanted))).select("term", F.lit(1).cast("long").alias("rows")))
-            more = fresh.select(F.size(tokens(self._text(self.columns))).alias("x")).agg(F.count("*"), F.coalesce(F.sum("x"), F.lit(0))).first()
+            # one pass over the texts that counts these terms only
+            holding = [F.coalesce(F.sum((F.col("c.tf")[i] > 0).cast("long")), F.lit(0)) for i in range(len(wanted))]
+            more = self._counted(fresh, wanted).agg(F.count("*"), F.coalesce(F.sum("c.length"), F.lit(0)), *holding).first()
             n, total = n + more[0], total + more[1]
+            found |= {t: found.get(t, 0) + more[2 + i] for i, t in enumerate(wanted) if more[2 + i]}
         weight = F.lit(0.0)
-        for row in counts.groupBy("term").agg(F.sum("rows").alias("df")).collect():
-            weight = F.when(F.col("term") == row["term"], math.log(1 + (n - row["df"] + 0.5) / (row["df"] + 0.5))).otherwise(weight)
+        for term, df in found.items():
+            weight = F.when(F.col("term") == term, math.log(1 + (n - df + 0.5) / (df + 0.5))).otherwise(weight)
         return weight, F.lit(total / n if n else 0.0)
 
+    def _counted(self, fresh: DataFrame, wanted: Sequence[str]) -> DataFrame:
+        """(key, c): the length of each text not indexed yet, and how often it holds each of these terms."""
+        return fresh.select(F.col(f"`{self.key}`"), counted(self._text(self.columns), wanted).alias("c"))
+
+    def _fresh_hits(self, fresh: DataFrame, wanted: Sequence[str]) -> DataFrame:
+        """(key, term, tf, length) of these terms in texts not indexed yet."""
+        terms = F.lit(list(wanted)).cast("array<string>")
+        pairs = F.transform("c.tf", lambda f, i: F.struct(F.get(terms, i).alias("term"), f.cast("long").alias("tf")))
+        held = F.filter(pairs, lambda x: x["tf"] > 0)
+        hits = self._counted(fresh, wanted).select(F.col(f"`{self.key}`"), F.explode(held).alias("t"), F.col("c.length").alias("length"))
+        return hits.select(F.col(f"`{self.key}`"), "t.term", "t.tf", "length")
+
     def _in_blocks(self, rows: DataFrame, blocks: Sequence[int] | DataFrame | None) -> DataFrame:
         if blocks is None:
             return rows
@@ -316,8 +330,7 @@ class TextIndex:
         idf, mean_length = corpus or self._corpus(wanted, sources, fresh)
         hits = self._in_blocks(self._of_terms("postings", wanted, sources), blocks).select(self.key, "term", "tf", "length")
         if fresh is not None:
-            new = postings_of(fresh.drop(SOURCE), self.key, self._text(self.columns))
-            hits = hits.unionByName(new.filter(F.col("term").isin(wanted)))
+            hits = hits.unionByName(self._fresh_hits(fresh, wanted))
         part = idf * term_weight(F.col("tf"), F.col("length"), mean_length)
         return hits.groupBy(self.key).agg(rounded(F.sum(part), digits).alias(SCORE))
 

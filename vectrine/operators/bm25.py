@@ -46,7 +46,7 @@ def term_weight(tf: Column, length: Column, mean_length: Column, k1: float = K1,
     return F.when(tf > 0, tf * F.lit(k1 + 1.0) / (tf + F.lit(k1) * norm)).otherwise(F.lit(0.0))
 
 
-def _counted(text: Column, terms: Sequence[str]) -> Column:
+def counted(text: Column, terms: Sequence[str]) -> Column:
     """struct(length, tf per term) of a text, cutting it once.
 
     The one-element arrays bind a value to a name, so it is not computed per use.
@@ -91,7 +91,7 @@ def _by_text(spark: SparkSession, clauses: Sequence[tuple[str | Column, str]]) -
 
 def _corpus_statistics(corpus: DataFrame, texts: Sequence[_Texts]) -> Column:
     """Scalar subquery, one pass over the corpus: per text a struct(n, mean_length, df per term)."""
-    cuts = [_counted(F.col(f"x{i}"), t.terms).alias(f"c{i}") for i, t in enumerate(texts)]
+    cuts = [counted(F.col(f"x{i}"), t.terms).alias(f"c{i}") for i, t in enumerate(texts)]
     counts = spread(corpus.select(*[t.column.alias(f"x{i}") for i, t in enumerate(texts)])).select(*cuts)
     # SQL text: a Column call per term would take longer than the query itself
     parts = [
@@ -137,7 +137,7 @@ def with_bm25(
     if not texts:
         return df.withColumns({score: F.lit(0.0), matched: F.lit(False)})
     out = df if few_rows else spread(df)
-    counts = {f"__counts{i}": _counted(t.column, t.terms) for i, t in enumerate(texts)}
+    counts = {f"__counts{i}": counted(t.column, t.terms) for i, t in enumerate(texts)}
     out = out.withColumns({**counts, "__stats": _corpus_statistics(corpus, texts)})
     parts = [_summed_weights(F.col(c), t, F.col("__stats")[f"s{i}"], k1, b) for i, (c, t) in enumerate(zip(counts, texts))]
     hits = [F.array_max(F.col(c)["tf"]) > 0 for c in counts]
