@@ -3,6 +3,7 @@ from collections import defaultdict
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from hypothesis import given, settings
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from vectrine.llm.packing import Limits, Plan, pack, place, sequences
 from vectrine.llm.rans import CHECKPOINT_STEPS, LANES, TOTAL, Block, Corrupt, Decoder, Frequencies, encode
 from vectrine.llm.token_files import read_token_files, write_token_files
-from vectrine.llm.tokens import Encoder, cuttable, description_of
+from vectrine.llm.tokens import Encoder, cuts, cuttable, description_of
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,6 +57,29 @@ def test_documents_give_the_same_ids(docs, encoder, whole):
     assert [ids_of(b) for b in encoder(texts)] == [whole(t) for t in texts]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PARTS, "×", "÷.", "ж!", "ǂ,", "\u02b0.", "\u2003", "\u180e"]), max_size=8).map("".join), max_size=6))
+def test_arrow_texts_are_cut_where_ids_do_not_change(texts):
+    t, ours = both()
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    given = pa.array([None, *texts, ""])
+    assert [ids_of(b) for b in ours(given.slice(1))] == [*want, []] and ours(given)[0] == b""
+    ends = np.cumsum([len(x.encode()) for x in texts], dtype=np.int64)
+    data = "".join(texts).encode()
+    if data:
+        starts = np.unique(np.concatenate([[0], ends[:-1]]))
+        at = cuts(np.frombuffer(data, dtype=np.uint8), starts[starts < len(data)]).tolist()
+        alone = [t.encode(data[a:b].decode(), add_special_tokens=False).ids for a, b in zip(at, [*at[1:], len(data)])]
+        assert sum(alone, []) == sum(want, [])
+
+
+def test_segments_are_divided_at_newlines_and_punctuation():
+    data = "the end.\nThe été, don't  go: A×. (b)".encode()
+    at = cuts(np.frombuffer(data, dtype=np.uint8), np.array([0])).tolist()
+    found = [data[a:b].decode() for a, b in zip(at, [*at[1:], len(data)])]
+    assert found == ["the", " end", ".", "\n", "The", " été", ",", " don", "'t ", " go", ":", " A×.", " (b", ")"]
+
+
 def test_other_vocabularies_encode_whole_texts():
     assert cuttable(description_of(PATH))
     other = description_of(str(public_tokenizers.path("word_bpe_49k.json")))

@@ -147,7 +147,7 @@ def _cut(shared, capacity: int, with_ids: bool, cached: int):
         encoder = Encoder(shared.value, cached)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            docs = [ids + END for ids in encoder(batch.column(1).to_pylist())]
+            docs = [ids + END for ids in encoder(batch.column(1))]
             row, piece, start, length, sums, ids = [], [], [], [], [], []
             for i, doc in enumerate(docs):
                 for p, (at, end) in enumerate(cuts(len(doc) // 4, capacity)):

@@ -52,7 +52,7 @@ def _write_task(shared, key_type: pa.DataType):
 
         for batch in batches:
             for some in slices(batch, SLICE_BYTES):
-                for key, ids in zip(some.column(0).to_pylist(), encoder(some.column(1).to_pylist())):
+                for key, ids in zip(some.column(0).to_pylist(), encoder(some.column(1))):
                     keys.append(key)
                     docs.append(ids + END)
                     held += len(ids) // 4 + 1
