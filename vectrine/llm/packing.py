@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import over_batches, written
-from .tokens import CACHED_SEGMENTS, END, SLICE_BYTES, Encoder, give_back, shared_description
+from .tokens import CACHED_SEGMENTS, END, Encoder, give_back, shared_description
 
+# Text encoded at a time; the other stages of a pipeline need the memory, too.
+TEXT_BYTES = 4 << 20
 CAPACITY = 2048
 ROWS_PER_RANK_GROUP = 10_000
 MOST_RANK_GROUPS = 256
@@ -166,7 +168,7 @@ def _cut(shared, capacity: int, with_ids: bool, cached: int):
                 names.append("ids")
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        yield from over_batches(work, SLICE_BYTES)(batches)
+        yield from over_batches(work, TEXT_BYTES)(batches)
         encoder.forget()
         give_back()
 
